@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from checks.dataset_sql import SQL as DATASET_SQL
 from checks.report_sql import SQL as REPORT_SQL
-from claimspan.model import ClaimsModel
-from claimspan.plans import cohort, finance, fraud, provider, ranking, risk
+from claimspan.functions.measures import measure
+from claimspan.model import ClaimsModel, filter_model
+from claimspan.operators import quality
+from claimspan.plans import cohort, datasets, finance, fraud, provider, ranking, risk
+from claimspan.schema import PRIMARY_KEYS
 from claimspan.sources.star import from_star
+from claimspan.sources.tables import verify_counts
 
 _Report = Callable[[ClaimsModel], DataFrame]
 
@@ -30,6 +35,8 @@ def _reports() -> dict[str, _Report]:
         "cohort_retention": cohort.cohort_retention,
         "amount_zscore_outliers": fraud.amount_zscore_outliers,
         "amount_zscore_outliers_all": lambda m: fraud.amount_zscore_outliers(m, limit=None),
+        # The usual bound of 2 leaves no claim of the given tables either.
+        "amount_zscore_outliers_wide": lambda m: fraud.amount_zscore_outliers(m, 1.5, 1.7, limit=None),
         "hospital_insurer_performance": provider.hospital_insurer_performance,
         "hospital_insurer_performance_all": lambda m: provider.hospital_insurer_performance(m, limit=None),
         "claim_escalation": fraud.claim_escalation,
@@ -53,6 +60,40 @@ def _reports() -> dict[str, _Report]:
     }
 
 
+def _datasets() -> dict[str, _Report]:
+    reports = _reports()
+    found = {name: build for name, build in datasets.DATASETS.items() if name not in reports}
+    found.pop("geography")  # the state report itself
+    found["rank_of_states"] = lambda m: datasets.rank_by(m, "state", "total_claimed")
+    found["sliced_measures"] = lambda m: measure(
+        filter_model(m, year=[1996, 1997], city="ASIA"),
+        ["total_claims", "approval_rate_pct", "avg_settlement_days"],
+        ["insurer", "year"],
+    )
+    return found
+
+
+def _checks() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def keys(spark: SparkSession, folder: str) -> DataFrame:
+        tables = from_star(spark, folder).tables()
+        keyed = {t: (df, [PRIMARY_KEYS[t]]) for t, df in tables.items()}
+        lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+        return quality.key_summary({**keyed, "lineitem": (lines, ["l_orderkey", "l_linenumber"])})
+
+    def repeated(spark: SparkSession, folder: str) -> DataFrame:
+        lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+        return quality.key_violations(lines, "l_orderkey", "l_linenumber")
+
+    return {
+        "table_counts": _on_star(lambda m: verify_counts(m.tables())),
+        "calendar": _on_star(lambda m: m.dates),
+        "key_check": keys,
+        "repeated_line_keys": repeated,
+        "reference_check": _on_star(quality.reference_summary),
+        "value_check": _on_star(lambda m: quality.value_violations(m.claims, "fact_claims")),
+    }
+
+
 def _on_star(report: _Report) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: report(from_star(spark, folder))
 
@@ -63,8 +104,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _on_star(report) for name, report in _reports().items()}
+    on_model = {**_reports(), **_datasets()}
+    return {**{name: _on_star(build) for name, build in on_model.items()}, **_checks()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(REPORT_SQL)
+    return {**REPORT_SQL, **DATASET_SQL}
