@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,12 @@ from claimspan.model import ClaimsModel, filter_model
 from claimspan.operators import quality
 from claimspan.plans import cohort, datasets, finance, fraud, provider, ranking, risk
 from claimspan.schema import PRIMARY_KEYS
+from claimspan.sources import star
+from claimspan.sources.scratch import shared_folder
 from claimspan.sources.star import from_star
 from claimspan.sources.tables import verify_counts
+from claimspan.streaming import ingest
+from claimspan.streaming.alerts import frequency_alerts
 
 _Report = Callable[[ClaimsModel], DataFrame]
 
@@ -94,6 +99,43 @@ def _checks() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def _streams() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def files(spark: SparkSession, folder: str, name: str) -> DataFrame:
+        return (
+            spark.readStream.schema(star.SCHEMAS[name])
+            .option("pathGlobFilter", f"{name}.parquet")
+            .parquet(folder)
+        )
+
+    def claims(spark: SparkSession, folder: str) -> DataFrame:
+        """Ingest the order lines as claims, twice: the second run adds nothing."""
+        m, run = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        orders = spark.read.schema(star.SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet")
+        for attempt in ("first", "again"):
+            stream = star.claims_of(files(spark, folder, "lineitem"), orders)
+            ingest.ingest(stream, m.dates, f"{run}/claims", f"{run}/{attempt}").awaitTermination()
+        return spark.read.parquet(f"{run}/claims")
+
+    def alerts(spark: SparkSession, folder: str) -> DataFrame:
+        """Users with 20 events within 7 days, for every week that has closed."""
+        run = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        events = files(spark, folder, "events").selectExpr(
+            "user_id", "cast(convert_timezone('UTC', current_timezone(), ts) as timestamp) as event_time"
+        )
+        found = frequency_alerts(events, "user_id", days=7, threshold=20, lateness="1 day")
+        query = (
+            found.writeStream.format("parquet")
+            .option("path", f"{run}/alerts")
+            .option("checkpointLocation", f"{run}/state")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return spark.read.schema(found.schema).parquet(f"{run}/alerts")
+
+    return {"streamed_claims": claims, "streamed_alerts": alerts}
+
+
 def _on_star(report: _Report) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: report(from_star(spark, folder))
 
@@ -105,7 +147,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_model = {**_reports(), **_datasets()}
-    return {**{name: _on_star(build) for name, build in on_model.items()}, **_checks()}
+    return {**{name: _on_star(build) for name, build in on_model.items()}, **_checks(), **_streams()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -275,3 +275,15 @@ SQL["value_check"] = on_star(
         for rule, bad in _RULES.items()
     ),
 )
+
+# --- streams -------------------------------------------------------------------
+SQL["streamed_claims"] = on_star(
+    "", "SELECT f.*, year AS claim_year FROM fact_claims f JOIN dim_date USING (date_key)"
+)
+# A week is closed when its end is not after the newest event less the lateness.
+SQL["streamed_alerts"] = """
+WITH closed AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events),
+days AS (SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP BY 1, 2),
+weeks AS (SELECT user_id, d + CAST(k AS INT) AS before_day, n FROM days, (SELECT unnest(generate_series(1, 7)) AS k))
+SELECT user_id, before_day - 7 AS from_day, before_day, CAST(SUM(n) AS BIGINT) AS claims
+FROM weeks, closed WHERE before_day <= mark GROUP BY user_id, before_day HAVING SUM(n) >= 20"""

@@ -42,7 +42,7 @@ dim_policies AS (
     CAST((p_size % 20 + 80) / 100 AS DECIMAL(4,2)) AS claim_settlement_ratio
   FROM part),
 lines AS (
-  SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, CAST(round(l_discount * 100) AS BIGINT) AS off,
+  SELECT *, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS cents, CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS off,
     CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'Approved'
          WHEN l_returnflag = 'N' THEN 'Partially Approved'
          WHEN l_returnflag = 'R' THEN 'Rejected'

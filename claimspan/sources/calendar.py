@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 
 def calendar_columns(days: DataFrame) -> DataFrame:
     """Describe each ``full_date`` of a (date_key, full_date) table."""
-    day = F.col("full_date")
-    return days.select(
-        F.col("date_key").cast("int").alias("date_key"),
-        day,
-        F.dayofmonth(day).alias("day"),
-        F.month(day).alias("month"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.quarter(day).alias("quarter"),
-        F.year(day).alias("year"),
-        F.date_format(day, "EEEE").alias("day_of_week"),
-        F.dayofweek(day).isin(1, 7).cast("int").alias("is_weekend"),
+    return days.selectExpr(
+        "cast(date_key as int) as date_key",
+        "full_date",
+        "day(full_date) as day",
+        "month(full_date) as month",
+        "date_format(full_date, 'MMMM') as month_name",
+        "quarter(full_date) as quarter",
+        "year(full_date) as year",
+        "date_format(full_date, 'EEEE') as day_of_week",
+        "cast(dayofweek(full_date) in (1, 7) as int) as is_weekend",
     )
 
 

@@ -7,7 +7,7 @@ are derived from keys. A day's key is its distance from 1970-01-01.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspan.model import ClaimsModel
@@ -27,104 +27,119 @@ GENDERS = ("Male", "Female", "Other")
 BLOOD_GROUPS = ("A+", "A-", "B+", "B-", "O+", "O-", "AB+", "AB-")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
+# Column types of the tables used, so that no file is opened just to learn them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
-def _places(read) -> DataFrame:
-    return (
-        read("nation")
-        .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("n_nationkey").alias("_nation"), F.col("n_name").alias("state"),
-                F.col("r_name").alias("city"))
-    )
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({index} % {len(values)} + 1 as int))"
+
+
+_CONDITION = " ".join(f"when '{k}' then '{v}'" for k, v in CONDITION_OF_SEGMENT.items())
+
+_PATIENTS = [
+    "concat('P', c_custkey) as patient_id",
+    "cast(c_custkey % 90 + 1 as int) as age",
+    f"{_pick(GENDERS, 'c_custkey')} as gender",
+    "city",
+    "state",
+    f"case c_mktsegment {_CONDITION} end as chronic_condition",
+    f"{_pick(BLOOD_GROUPS, 'c_custkey')} as blood_group",
+    "date_add(date '1995-01-01', cast(c_custkey % 730 as int)) as registration_date",
+]
+_PROVIDERS = [
+    "concat('H', s_suppkey) as provider_id",
+    "s_name as hospital_name",
+    "concat('Speciality ', s_suppkey % 8) as speciality",
+    "city",
+    "state",
+    "concat('Tier ', s_suppkey % 3 + 1) as tier",
+    "cast(s_suppkey % 500 + 50 as int) as bed_capacity",
+    f"{_pick(ACCREDITATIONS, 's_suppkey')} as accreditation",
+]
+_POLICIES = [
+    "concat('POL', p_partkey) as policy_id",
+    "p_brand as insurer",
+    "p_type as plan_type",
+    "cast(floor(p_retailprice) as int) as annual_premium",
+    "cast(p_size as bigint) * 100000 as coverage_limit",
+    "p_size * 500 as deductible",
+    "p_size % 4 * 5 as copay_pct",
+    "p_size % 3 * 30 as waiting_period_days",
+    "cast((p_size % 20 + 80) / 100 as decimal(4,2)) as claim_settlement_ratio",
+]
+# Amounts in cents and discounts in percent, as whole numbers.
+_LINES = [
+    "*",
+    "cast(floor(l_extendedprice * 100 + 0.5) as bigint) as cents",
+    "cast(floor(l_discount * 100 + 0.5) as bigint) as off",
+    "unix_date(cast(o_orderdate as date)) as day_no",
+    "case when l_returnflag = 'N' and l_linestatus = 'O' then 'Approved'"
+    " when l_returnflag = 'N' then 'Partially Approved' when l_returnflag = 'R' then 'Rejected'"
+    " when l_linestatus = 'O' then 'Pending' else 'Under Review' end as outcome",
+]
+_CLAIMS = [
+    "concat_ws('-', 'C', l_orderkey, l_linenumber, l_partkey, l_suppkey) as claim_id",
+    "concat('P', o_custkey) as patient_id",
+    "concat('H', l_suppkey) as provider_id",
+    "concat('POL', l_partkey) as policy_id",
+    "day_no as date_key",
+    "concat('D', substring(o_orderpriority, 1, 1)) as diagnosis_code",
+    "substring(o_orderpriority, 3) as diagnosis_name",
+    f"{_pick(TREATMENTS, 'l_linenumber')} as treatment_type",
+    "cents as claim_amount",
+    "cents * case outcome when 'Approved' then 100 - off when 'Partially Approved' then 50 - off"
+    " else 0 end div 100 as approved_amount",
+    "outcome as status",
+    f"case when outcome = 'Rejected' then {_pick(REJECTION_REASONS, 'l_linenumber')} end"
+    " as rejection_reason",
+    "case when outcome not in ('Pending', 'Under Review')"
+    " then abs(unix_date(cast(l_shipdate as date)) - day_no) % 90 + 1 end as settlement_days",
+    "cast(floor(l_quantity) as int) as length_of_stay",
+    "cast(l_quantity > 40 as int) as is_emergency",
+    "cast(l_linenumber = 7 as int) as is_readmission",
+]
+
+
+def claims_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Claims from order lines, which may be a stream."""
+    joined = lines.join(orders, F.expr("l_orderkey = o_orderkey"))
+    return joined.selectExpr(*_LINES).selectExpr(*_CLAIMS)
 
 
 def from_star(spark: SparkSession, folder: str) -> ClaimsModel:
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
-
-    orders, customer, supplier, part = read("orders"), read("customer"), read("supplier"), read("part")
-    dates = calendar_between(orders, "o_orderdate")
-
-    cust = F.col("c_custkey")
-    patients = customer.join(_places(read), F.col("c_nationkey") == F.col("_nation")).select(
-        F.concat(F.lit("P"), cust).alias("patient_id"),
-        (cust % 90 + 1).cast("int").alias("age"),
-        _pick(GENDERS, cust).alias("gender"),
-        "city",
-        "state",
-        F.create_map(*[F.lit(x) for kv in CONDITION_OF_SEGMENT.items() for x in kv])[
-            F.col("c_mktsegment")
-        ].alias("chronic_condition"),
-        _pick(BLOOD_GROUPS, cust).alias("blood_group"),
-        F.date_add(F.lit("1995-01-01").cast("date"), (cust % 730).cast("int")).alias(
-            "registration_date"
-        ),
-    )
-    supp = F.col("s_suppkey")
-    providers = supplier.join(_places(read), F.col("s_nationkey") == F.col("_nation")).select(
-        F.concat(F.lit("H"), supp).alias("provider_id"),
-        F.col("s_name").alias("hospital_name"),
-        F.concat(F.lit("Speciality "), supp % 8).alias("speciality"),
-        "city",
-        "state",
-        F.concat(F.lit("Tier "), supp % 3 + 1).alias("tier"),
-        (supp % 500 + 50).cast("int").alias("bed_capacity"),
-        _pick(ACCREDITATIONS, supp).alias("accreditation"),
-    )
-    size = F.col("p_size")
-    policies = part.select(
-        F.concat(F.lit("POL"), F.col("p_partkey")).alias("policy_id"),
-        F.col("p_brand").alias("insurer"),
-        F.col("p_type").alias("plan_type"),
-        F.floor("p_retailprice").cast("int").alias("annual_premium"),
-        (size.cast("long") * 100_000).alias("coverage_limit"),
-        (size * 500).alias("deductible"),
-        (size % 4 * 5).alias("copay_pct"),
-        (size % 3 * 30).alias("waiting_period_days"),
-        ((size % 20 + 80) / F.lit(100)).cast("decimal(4,2)").alias("claim_settlement_ratio"),
-    )
+        return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
-    flag, line = F.col("l_returnflag"), F.col("l_linestatus")
-    status = (
-        F.when((flag == "N") & (line == "O"), "Approved")
-        .when(flag == "N", "Partially Approved")
-        .when(flag == "R", "Rejected")
-        .when(line == "O", "Pending")
-        .otherwise("Under Review")
+    orders = read("orders")
+    places = (
+        read("nation")
+        .join(read("region"), F.expr("n_regionkey = r_regionkey"))
+        .selectExpr("n_nationkey", "n_name as state", "r_name as city")
     )
-    amount = F.round(F.col("l_extendedprice") * 100).cast("long")  # cents
-    discount = F.round(F.col("l_discount") * 100).cast("long")
-    share = F.when(status == "Approved", 100 - discount).when(
-        status == "Partially Approved", 50 - discount
-    ).otherwise(0)
-    taken = F.date_diff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
-    number = F.col("l_linenumber")
-    claims = (
-        read("lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.concat_ws("-", F.lit("C"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
-                "claim_id"
-            ),
-            F.concat(F.lit("P"), F.col("o_custkey")).alias("patient_id"),
-            F.concat(F.lit("H"), F.col("l_suppkey")).alias("provider_id"),
-            F.concat(F.lit("POL"), F.col("l_partkey")).alias("policy_id"),
-            F.unix_date(F.col("o_orderdate").cast("date")).alias("date_key"),
-            F.concat(F.lit("D"), F.substring("o_orderpriority", 1, 1)).alias("diagnosis_code"),
-            F.substring("o_orderpriority", 3, 40).alias("diagnosis_name"),
-            _pick(TREATMENTS, number).alias("treatment_type"),
-            amount.alias("claim_amount"),
-            F.call_function("div", amount * share, F.lit(100)).alias("approved_amount"),
-            status.alias("status"),
-            F.when(status == "Rejected", _pick(REJECTION_REASONS, number)).alias("rejection_reason"),
-            F.when(
-                ~status.isin("Pending", "Under Review"), F.abs(taken) % 90 + 1
-            ).alias("settlement_days"),
-            F.floor("l_quantity").cast("int").alias("length_of_stay"),
-            (F.col("l_quantity") > 40).cast("int").alias("is_emergency"),
-            (number == 7).cast("int").alias("is_readmission"),
-        )
+    return ClaimsModel(
+        claims=claims_of(read("lineitem"), orders),
+        dates=calendar_between(orders, "o_orderdate"),
+        patients=read("customer")
+        .join(places, F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(*_PATIENTS),
+        providers=read("supplier")
+        .join(places, F.expr("s_nationkey = n_nationkey"))
+        .selectExpr(*_PROVIDERS),
+        policies=read("part").selectExpr(*_POLICIES),
     )
-    return ClaimsModel(claims, dates, patients, providers, policies)
