@@ -49,7 +49,7 @@ lines AS (
          WHEN l_linestatus = 'O' THEN 'Pending' ELSE 'Under Review' END AS st
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 fact_claims AS (
-  SELECT 'C-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS claim_id,
+  SELECT 'C-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || cents AS claim_id,
     'P' || o_custkey AS patient_id, 'H' || l_suppkey AS provider_id, 'POL' || l_partkey AS policy_id,
     CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INT) AS date_key,
     'D' || substring(o_orderpriority, 1, 1) AS diagnosis_code, substring(o_orderpriority, 3) AS diagnosis_name,

@@ -94,7 +94,7 @@ _LINES = [
     " when l_linestatus = 'O' then 'Pending' else 'Under Review' end as outcome",
 ]
 _CLAIMS = [
-    "concat_ws('-', 'C', l_orderkey, l_linenumber, l_partkey, l_suppkey) as claim_id",
+    "concat_ws('-', 'C', l_orderkey, l_linenumber, l_partkey, l_suppkey, cents) as claim_id",
     "concat('P', o_custkey) as patient_id",
     "concat('H', l_suppkey) as provider_id",
     "concat('POL', l_partkey) as policy_id",

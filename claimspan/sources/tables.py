@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from claimspan.model import ClaimsModel
 from claimspan.schema import DIAGNOSIS_REFERENCE, TABLES
+from claimspan.sources.scratch import written
 
 _BAD_ROW = "_bad_row"
 
@@ -16,23 +17,21 @@ def schema_of(name: str) -> T.StructType:
     return DIAGNOSIS_REFERENCE if name == "diagnosis_reference" else TABLES[name]
 
 
-def _csv(spark: SparkSession, root: str, name: str, schema: T.StructType, mode: str) -> DataFrame:
-    # Only an empty field is NULL, so the text "None" stays a value, and every
-    # number keeps its declared type.
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", _BAD_ROW)
-        .csv(f"{root}/{name}.csv")
-    )
-
-
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv") -> DataFrame:
-    """Read one table with its declared types; a bad row or missing file raises."""
+    """Read one table with its declared types; a bad row or missing file raises.
+
+    Only the columns a query uses are parsed; ``load_all`` uses them all.
+    """
     if fmt == "csv":
-        return _csv(spark, root, name, schema_of(name), "FAILFAST")
+        # Only an empty field is NULL, so the text "None" stays a value, and
+        # every number keeps its declared type.
+        return (
+            spark.read.schema(schema_of(name))
+            .option("header", True)
+            .option("enforceSchema", False)  # the header must name these columns
+            .option("mode", "FAILFAST")
+            .csv(f"{root}/{name}.csv")
+        )
     if fmt == "parquet":
         return spark.read.parquet(f"{root}/{name}")
     raise ValueError(f"unknown format {fmt!r}")
@@ -43,14 +42,16 @@ def read_with_rejects(
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows of a CSV table, and the raw text of the rows that do not parse."""
     schema = T.StructType([*schema_of(name).fields, T.StructField(_BAD_ROW, T.StringType())])
-    # Header checking would count the extra column, so it is off here.
-    rows = (
+    # A query that needs few columns parses only those and would miss errors in
+    # the others, so the whole rows are parsed and stored first.
+    parsed = (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BAD_ROW)
         .csv(f"{root}/{name}.csv")
     )
+    rows = written(parsed, f"parsed-{name}")
     good = rows.where(F.col(_BAD_ROW).isNull()).drop(_BAD_ROW)
     rejects = rows.where(F.col(_BAD_ROW).isNotNull()).select(
         F.lit(name).alias("table"), F.col(_BAD_ROW).alias("raw_row")

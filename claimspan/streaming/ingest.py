@@ -31,7 +31,8 @@ def append_new_claims(batch: DataFrame, target: str) -> None:
     Several copies of a claim in one batch become one row. Comparing with the
     stored years, rather than remembering keys for a while, has no horizon: a
     claim may arrive any time later, and a batch that is run again after a
-    failure adds nothing twice.
+    failure adds nothing twice. A claim keeps its id and its date: the same id
+    in another year is another claim.
     """
     spark = batch.sparkSession
     others = [c for c in batch.columns if c != "claim_id"]
