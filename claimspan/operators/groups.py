@@ -11,23 +11,29 @@ from claimspan.sources.scratch import written
 MAX_GROUP_ROWS = 200_000
 
 
-def hot_keys(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: str | list[str], max_rows: int) -> DataFrame | None:
     """Keys with more than ``max_rows`` rows as a stored table, or None.
 
     Counting combines on the map side, so the heavy keys themselves are cheap
     to find. There can be no more than total rows / ``max_rows`` of them.
     """
+    keys = [keys] if isinstance(keys, str) else keys
     heavy = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > max_rows)
-        .select(key)
+        .select(*keys)
     )
-    stored = written(heavy, f"hot-{key}")
+    stored = written(heavy, "hot-keys")
     return None if stored.isEmpty() else stored
 
 
+def split(df: DataFrame, heavy: DataFrame, keys: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the ordinary keys, and rows of the heavy ones."""
+    keys = [keys] if isinstance(keys, str) else keys
+    return tuple(null_safe_join(df, heavy, keys, how) for how in ("left_anti", "left_semi"))
+
+
 def rows_within(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has at most ``bound`` rows; reads no more than needed."""
     return df.limit(bound + 1).count() <= bound
@@ -38,8 +44,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     renamed = right.select(
         *[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns]
     )
+    renamed_keys = [f"_r_{k}" for k in keys]
     match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     condition = match[0]
     for more in match[1:]:
         condition = condition & more
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, condition, how).drop(*renamed_keys)

@@ -12,7 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspan.operators.groups import MAX_GROUP_ROWS, hot_keys, null_safe_join, rows_within
+from claimspan.operators.groups import (
+    MAX_GROUP_ROWS,
+    hot_keys,
+    null_safe_join,
+    rows_within,
+    split,
+)
 from claimspan.sources.scratch import written
 
 _SLICE = "_slice"
@@ -78,18 +84,17 @@ def running_sums(
     )
     plain = {name: F.sum(value).over(w) for name, value in sums.items()}
 
-    if len(keys) != 1:
+    if not keys:
         if rows_within(df, max_group_rows):
             return df.withColumns(plain)
         return sliced_running_sums(df, keys, order, sums, slices)
-
-    key = keys[0]
-    heavy = hot_keys(df, key, max_group_rows)
+    heavy = hot_keys(df, keys, max_group_rows)
     if heavy is None:
         return df.withColumns(plain)
-    usual = df.join(heavy, key, "left_anti").withColumns(plain)
-    large = sliced_running_sums(df.join(heavy, key, "left_semi"), keys, order, sums, slices)
-    return usual.unionByName(large)
+    usual, large = split(df, heavy, keys)
+    return usual.withColumns(plain).unionByName(
+        sliced_running_sums(large, keys, order, sums, slices)
+    )
 
 
 def exact_percentiles(
@@ -99,35 +104,80 @@ def exact_percentiles(
     fractions: dict[str, float],
     max_group_rows: int = MAX_GROUP_ROWS,
     slices: int | None = None,
+    accuracy: int = 1000,
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per name in ``fractions``.
 
-    Works on counts per (group, value): the rows of one group are combined
-    before the shuffle and spread over tasks by value, so no task holds a whole
-    group. NULL values are left out.
+    A sketch brackets each percentile first. A second pass counts every value
+    inside the brackets and merely the number of rows between them, so almost
+    nothing is shuffled and no task holds a group. A rank that falls outside
+    its bracket, which the sketch's error bound rules out, would be noticed and
+    counted over all values instead. NULL values are left out.
     """
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    margin = 3 / accuracy
+    ends = [min(max(p + d, 0.0), 1.0) for p in sorted(fractions.values()) for d in (-margin, margin)]
+    brackets = written(
+        rows.groupBy(*keys).agg(
+            F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("_ends"),
+            F.count(F.lit(1)).alias("_total"),
+        ),
+        "brackets",
+    )
+    known = null_safe_join(rows, brackets, keys)
+    inside = None
+    for i in range(0, len(ends), 2):
+        one = F.col(value).between(F.col("_ends")[i], F.col("_ends")[i + 1])
+        inside = one if inside is None else inside | one
+    # Rows between brackets stand right after the bracket end below them.
+    passed = [F.when(F.col("_ends")[i] < F.col(value), F.col("_ends")[i]) for i in range(len(ends))]
+    below = F.greatest(*passed)  # NULL below the first bracket
+    cells = known.select(
+        *keys,
+        "_total",
+        F.when(inside, F.col(value)).otherwise(below).alias("_value"),
+        (~inside).cast("int").alias("_gap"),
+    )
+    found = written(
+        _at_ranks(cells, keys, fractions, max_group_rows, slices), "percentile-ranks"
+    )
+    missed = None
+    for name in fractions:
+        gap = (F.col(f"_lo_{name}._gap") == 1) | (F.col(f"_hi_{name}._gap") == 1)
+        missed = gap if missed is None else missed | gap
+    if not found.where(missed).isEmpty():
+        everything = known.select(
+            *keys, "_total", F.col(value).alias("_value"), F.lit(0).alias("_gap")
+        )
+        found = _at_ranks(everything, keys, fractions, max_group_rows, slices)
+
+    def between(name: str, p: float) -> Column:
+        place = (F.col("_total") - 1) * F.lit(p)
+        lo, hi = F.col(f"_lo_{name}._value"), F.col(f"_hi_{name}._value")
+        return lo + (hi - lo) * (place - F.floor(place))
+
+    return found.select(*keys, *[between(n, p).alias(n) for n, p in fractions.items()])
+
+
+def _at_ranks(
+    cells: DataFrame,
+    keys: list[str],
+    fractions: dict[str, float],
+    max_group_rows: int,
+    slices: int | None,
+) -> DataFrame:
+    """Per group, the cells at the two ranks around each percentile."""
     counts = written(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")),
+        cells.groupBy(*keys, "_total", "_value", "_gap").agg(F.count(F.lit(1)).alias("_n")),
         "value-counts",
     )
-    sizes = written(counts.groupBy(*keys).agg(F.sum("_n").alias("_total")), "group-sizes")
-    upto = running_sums(counts, keys, [F.col(value)], {"_upto": F.col("_n")}, max_group_rows, slices)
-    placed = null_safe_join(upto, sizes, keys)
-
-    places = {name: (F.col("_total") - 1) * F.lit(p) for name, p in fractions.items()}
-    bounds = []
-    for name, place in places.items():
+    order = [F.col("_value").asc_nulls_first(), F.col("_gap")]
+    upto = running_sums(counts, keys, order, {"_upto": F.col("_n")}, max_group_rows, slices)
+    found = []
+    for name, p in fractions.items():
+        place = (F.col("_total") - 1) * F.lit(p)
         for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            # The value at a rank is the least one with more rows up to it.
-            bounds.append(F.min(F.when(F.col("_upto") > rank, F.col(value))).alias(f"_{side}_{name}"))
-    found = placed.groupBy(*keys).agg(F.first("_total").alias("_total"), *bounds)
-    return found.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{name}")
-                + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (place - F.floor(place))
-            ).alias(name)
-            for name, place in places.items()
-        ],
-    )
+            # The cell at a rank is the first with more rows up to it.
+            cell = F.when(F.col("_upto") > rank, F.struct("_value", "_gap"))
+            found.append(F.min(cell).alias(f"_{side}_{name}"))
+    return upto.groupBy(*keys, "_total").agg(*found)

@@ -22,7 +22,7 @@ def percent_rank_by_value(
     Equal values share a rank, so one row per distinct value is enough: the
     rank is (rows with a lower value) / (rows - 1), or 0 for a single row.
     """
-    sizes = written(counts.groupBy(key).agg(F.sum(n).alias("_total")), "rank-sizes")
+    sizes = counts.groupBy(key).agg(F.sum(n).alias("_total"))
     upto = running_sums(counts, [key], [F.col(value)], {"_upto": F.col(n)}, max_group_rows)
     below = F.col("_upto") - F.col(n)
     rank = F.when(F.col("_total") > 1, below / (F.col("_total") - 1)).otherwise(F.lit(0.0))

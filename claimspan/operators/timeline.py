@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimspan.operators.groups import MAX_GROUP_ROWS, hot_keys
+from claimspan.operators.groups import MAX_GROUP_ROWS, hot_keys, null_safe_join, split
 from claimspan.operators.ordered import running_sums, sliced_running_sums
 from claimspan.sources.scratch import written
 
@@ -38,15 +38,15 @@ def trailing_count(
     if heavy is None:
         return claims.withColumn(name, F.count(F.lit(1)).over(w))
 
-    usual = claims.join(heavy, key, "left_anti").withColumn(name, F.count(F.lit(1)).over(w))
+    usual, rows = split(claims, heavy, key)
+    usual = usual.withColumn(name, F.count(F.lit(1)).over(w))
     # The count depends on the day alone: combine to one row per day first, so
     # a key has no more rows than the calendar has days.
-    rows = claims.join(heavy, key, "left_semi")
     daily = rows.groupBy(key, date).agg(F.count(F.lit(1)).alias("_n"))
     counted = written(
         daily.select(key, date, F.sum("_n").over(w).alias(name)), "trailing-counts"
     )
-    return usual.unionByName(rows.join(counted, [key, date]).select(*usual.columns))
+    return usual.unionByName(null_safe_join(rows, counted, [key, date]).select(*usual.columns))
 
 
 def running_totals(
@@ -75,8 +75,8 @@ def running_totals(
     if heavy is None:
         return claims.withColumns(plain)
 
-    usual = claims.join(heavy, key, "left_anti").withColumns(plain)
-    rows = claims.join(heavy, key, "left_semi")
+    usual, rows = split(claims, heavy, key)
+    usual = usual.withColumns(plain)
     totals = sliced_running_sums(
         rows, [key], [F.col(date), F.col(tie_break)], {"running_total": F.col(amount)}, slices
     )
@@ -84,7 +84,7 @@ def running_totals(
     counted = written(
         daily.select(key, date, F.sum("_n").over(by_day).alias("cumulative_count")), "daily-counts"
     )
-    return usual.unionByName(totals.join(counted, [key, date]).select(*usual.columns))
+    return usual.unionByName(null_safe_join(totals, counted, [key, date]).select(*usual.columns))
 
 
 def next_two(
@@ -112,11 +112,12 @@ def next_two(
     if heavy is None:
         return led(rows, in_order).select(*out)
 
-    usual = led(rows.join(heavy, key, "left_anti"), in_order).select(*out)
+    usual, many = split(rows, heavy, key)
+    usual = led(usual, in_order).select(*out)
     # Number the rows, cut the numbers into blocks, and lend each block the
     # first two rows of the next.
     numbered = sliced_running_sums(
-        rows.join(heavy, key, "left_semi"),
+        many,
         [key],
         [F.col(date), F.col(tie_break)],
         {"_seq": F.lit(1)},

@@ -80,12 +80,12 @@ def with_claim_year(claims: DataFrame, dates: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace the table stored at ``path``.
 
-    Rows of a partitioned table are spread by partition value and a hash of
-    the row, so one large year is written by many tasks.
+    Rows of a partitioned table are gathered by partition value; adaptive
+    execution then splits a large value over many tasks and joins small ones,
+    so files have an even size whatever the spread of the values.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(64))
-        df = df.repartition(*partition_by, spread)
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 

@@ -35,6 +35,7 @@ def one_day(claims):
 
 def test_hot_keys(claims):
     assert [r[0] for r in hot_keys(claims, "patient_id", 200).collect()] == ["P0"]
+    assert hot_keys(claims, ["patient_id", "day"], 200) is None
     assert hot_keys(claims, "patient_id", 10_000) is None
 
 
@@ -87,15 +88,24 @@ def test_sliced_sums_without_keys(claims):
 
 
 @pytest.mark.parametrize("max_rows, slices", [(10_000, None), (50, 6)])
-def test_percentiles(claims, max_rows, slices):
+@pytest.mark.parametrize("accuracy", [1000, 20])
+def test_percentiles(claims, max_rows, slices, accuracy):
     names = {"p25": 0.25, "p50": 0.5, "p95": 0.95}
     plain = claims.groupBy("patient_id").agg(
         *[F.round(F.percentile("amount", F.lit(p)), 6).alias(n) for n, p in names.items()]
     )
-    ours = ordered.exact_percentiles(claims, ["patient_id"], "amount", names, max_rows, slices)
+    ours = ordered.exact_percentiles(claims, ["patient_id"], "amount", names, max_rows, slices, accuracy)
     same(plain, ours.select("patient_id", *[F.round(n, 6).alias(n) for n in names]))
 
 
+def test_percentiles_outside_their_bracket_are_still_exact(spark, monkeypatch):
+    """Brackets in the wrong place lead to the count over all values."""
+    monkeypatch.setattr(ordered.F, "percentile_approx", lambda v, p, a: F.array(*[F.lit(0)] * 4))
+    df = spark.range(1, 102).select(F.lit("a").alias("k"), F.col("id").alias("v"))
+    (r,) = ordered.exact_percentiles(df, ["k"], "v", {"a": 0.5, "b": 0.905}).collect()
+    assert (r["a"], r["b"]) == (51.0, 91.5)
+
+
 def test_percentiles_of_missing_keys_and_values(spark):
     df = spark.createDataFrame([(None, 1), (None, 3), ("a", None), ("a", 5)], "k string, v long")
     got = ordered.exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect()
