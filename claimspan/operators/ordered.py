@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimspan.operators.groups import (
     MAX_GROUP_ROWS,
@@ -108,22 +109,16 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per name in ``fractions``.
 
-    A sketch brackets each percentile first. A second pass counts every value
+    Sketches bracket each percentile first. A second pass counts every value
     inside the brackets and merely the number of rows between them, so almost
     nothing is shuffled and no task holds a group. A rank that falls outside
-    its bracket, which the sketch's error bound rules out, would be noticed and
-    counted over all values instead. NULL values are left out.
+    its bracket is noticed and counted over all values instead. NULL values are
+    left out.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    margin = 3 / accuracy
+    margin = 5 / accuracy
     ends = [min(max(p + d, 0.0), 1.0) for p in sorted(fractions.values()) for d in (-margin, margin)]
-    brackets = written(
-        rows.groupBy(*keys).agg(
-            F.percentile_approx(value, F.array(*[F.lit(e) for e in ends]), F.lit(accuracy)).alias("_ends"),
-            F.count(F.lit(1)).alias("_total"),
-        ),
-        "brackets",
-    )
+    brackets = written(_brackets(rows, keys, value, ends, accuracy), "brackets")
     known = null_safe_join(rows, brackets, keys)
     inside = None
     for i in range(0, len(ends), 2):
@@ -159,6 +154,42 @@ def exact_percentiles(
     return found.select(*keys, *[between(n, p).alias(n) for n, p in fractions.items()])
 
 
+# Tasks that share out the merging of one group's sketches.
+_MERGERS = 64
+
+
+def _brackets(
+    rows: DataFrame, keys: list[str], value: str, ends: list[float], accuracy: int
+) -> DataFrame:
+    """Per group, the row count and a close estimate of the given percentiles.
+
+    Every task that reads rows sends one sketch per group. They are merged in
+    ``_MERGERS`` parts and then the parts' quantiles are pooled by weight, so
+    that no single task merges the sketches of the whole cluster.
+    """
+    kind = rows.schema[value].dataType
+    grid = F.expr(f"array({', '.join(f'{(i + 0.5) / accuracy}D' for i in range(accuracy))})")
+    parts = (
+        rows.withColumn("_part", F.spark_partition_id() % _MERGERS)
+        .groupBy(*keys, "_part")
+        .agg(
+            F.percentile_approx(value, grid, F.lit(accuracy)).alias("_grid"),
+            F.count(F.lit(1)).alias("_n"),
+        )
+    )
+    pooled = parts.select(*keys, "_n", F.explode("_grid").alias("_v")).groupBy(*keys).agg(
+        # At most accuracy * _MERGERS points per group.
+        F.percentile("_v", F.array(*[F.lit(e) for e in ends]), F.col("_n")).alias("_at"),
+        F.call_function("div", F.sum("_n"), F.lit(accuracy)).alias("_total"),
+    )
+    whole = isinstance(kind, T.IntegralType)
+    rounded = [
+        ((F.ceil if i % 2 else F.floor)(F.col("_at")[i]) if whole else F.col("_at")[i]).cast(kind)
+        for i in range(len(ends))
+    ]
+    return pooled.select(*keys, "_total", F.array(*rounded).alias("_ends"))
+
+
 def _at_ranks(
     cells: DataFrame,
     keys: list[str],

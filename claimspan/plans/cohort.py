@@ -80,11 +80,7 @@ def first_last_claim(m: ClaimsModel, limit: int | None = 50) -> DataFrame:
             F.count(F.lit(1)).alias("total_claims")
         )
         kept = top(counts, order, limit).select(F.col("patient_id").alias("_kept"))
-        claims = claims.join(
-            F.broadcast(kept),  # ``limit`` rows
-            F.col("patient_id").eqNullSafe(F.col("_kept")),
-            "left_semi",
-        )
+        claims = claims.join(kept, F.col("patient_id").eqNullSafe(F.col("_kept")), "left_semi")
     dated = claims.join(m.dates.select("date_key", "full_date"), "date_key")
     place = F.struct("full_date", "claim_id")
     first = F.min_by(F.struct("claim_id", "full_date", "diagnosis_name", "claim_amount"), place)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from claimspan.schema import TABLES
+from claimspan.sources.scratch import written
 
 
 def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) -> DataFrame:
@@ -20,11 +21,6 @@ def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) ->
     )
 
 
-def _stored(spark: SparkSession, target: str, schema) -> DataFrame:
-    # With an explicit schema a folder that has no files yet reads as empty.
-    return spark.read.schema(schema).parquet(target)
-
-
 def append_new_claims(batch: DataFrame, target: str) -> None:
     """Append the claims of ``batch`` that ``target`` does not hold yet.
 
@@ -34,27 +30,30 @@ def append_new_claims(batch: DataFrame, target: str) -> None:
     failure adds nothing twice. A claim keeps its id and its date: the same id
     in another year is another claim.
     """
-    spark = batch.sparkSession
     others = [c for c in batch.columns if c != "claim_id"]
-    single = (
+    # Stored: the batch is used several times, and its size becomes known.
+    single = written(
         batch.groupBy("claim_id")
         .agg(F.min(F.struct(*others)).alias("row"))
         .select("claim_id", *[F.col(f"row.{c}").alias(c) for c in others])
-        .select(*batch.columns)
+        .select(*batch.columns),
+        "batch",
     )
     # One row per calendar year; prunes the stored folders to those years.
-    years = [r["claim_year"] for r in batch.select("claim_year").distinct().collect()]
+    years = [r["claim_year"] for r in single.select("claim_year").distinct().collect()]
     if not years:
         return
-    spark.createDataFrame([], batch.schema).write.mode("append").partitionBy("claim_year").parquet(target)
-    held = _stored(spark, target, batch.schema).where(F.col("claim_year").isin(years))
-    fresh = single.join(held.select("claim_id", "claim_year"), ["claim_id", "claim_year"], "left_anti")
-    (
-        fresh.select(*batch.columns)
-        .write.mode("append")
-        .partitionBy("claim_year")
-        .parquet(target)
+    single.limit(0).write.mode("append").partitionBy("claim_year").parquet(target)  # the folder
+    held = batch.sparkSession.read.schema(batch.schema).parquet(target)
+    # The stored side is large and is only scanned: a batch that is small
+    # enough is broadcast to it, and what it finds is smaller still.
+    key = ["claim_id", "claim_year"]
+    known = held.where(F.col("claim_year").isin(years)).select(*key).join(
+        single.select(*key), key, "left_semi"
     )
+    single.join(known, key, "left_anti").select(*batch.columns).write.mode("append").partitionBy(
+        "claim_year"
+    ).parquet(target)
 
 
 def ingest(

@@ -100,12 +100,30 @@ def test_percentiles(claims, max_rows, slices, accuracy):
 
 def test_percentiles_outside_their_bracket_are_still_exact(spark, monkeypatch):
     """Brackets in the wrong place lead to the count over all values."""
-    monkeypatch.setattr(ordered.F, "percentile_approx", lambda v, p, a: F.array(*[F.lit(0)] * 4))
+    def wrong(rows, keys, value, ends, accuracy):
+        zeros = F.array(*[F.lit(0).cast("long")] * len(ends)).alias("_ends")
+        return rows.groupBy(*keys).agg(F.count("*").alias("_total")).select(*keys, "_total", zeros)
+
+    monkeypatch.setattr(ordered, "_brackets", wrong)
     df = spark.range(1, 102).select(F.lit("a").alias("k"), F.col("id").alias("v"))
     (r,) = ordered.exact_percentiles(df, ["k"], "v", {"a": 0.5, "b": 0.905}).collect()
     assert (r["a"], r["b"]) == (51.0, 91.5)
 
 
+def test_brackets_are_close(spark):
+    df = spark.range(0, 100_000, 1, 9).select((F.col("id") % 7 % 2).alias("k"), F.col("id").alias("v"))
+    ends = [0.1, 0.5, 0.9]
+    for r in ordered._brackets(df, ["k"], "v", ends, 200).collect():
+        assert r["_total"] == df.where(F.col("k") == r["k"]).count()
+        assert all(abs(got - 100_000 * p) < 100_000 * 3 / 200 for got, p in zip(r["_ends"], ends))
+
+
+def test_percentiles_of_doubles(spark):
+    df = spark.range(1001).select(F.lit("a").alias("k"), (F.col("id") / 8).alias("v"))
+    (r,) = ordered.exact_percentiles(df, ["k"], "v", {"m": 0.5, "h": 0.95}).collect()
+    assert (r["m"], r["h"]) == (62.5, 118.75)
+
+
 def test_percentiles_of_missing_keys_and_values(spark):
     df = spark.createDataFrame([(None, 1), (None, 3), ("a", None), ("a", 5)], "k string, v long")
     got = ordered.exact_percentiles(df, ["k"], "v", {"m": 0.5}).collect()

@@ -120,6 +120,11 @@ def test_small_lookups_are_broadcast_by_size(stored, spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_top_patients_are_broadcast_as_few_rows(stored):
+    text = plan(cohort.first_last_claim(stored))
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text and "TakeOrderedAndProject" in text
+
+
 def test_partitioned_write_spreads_one_year(spark, tmp_path):
     df = spark.range(20_000).select("id", F.lit(2022).alias("y"))
     write_table(df.repartition(8), str(tmp_path / "t"), ("y",))
