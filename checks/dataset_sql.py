@@ -10,7 +10,6 @@ from checks.report_sql import (
     RISK_TABLES,
     ZSCORES,
     _ends,
-    average,
     big,
     exact,
     integer,

@@ -123,7 +123,7 @@ def next_two(
         {"_seq": F.lit(1)},
         slices,
     )
-    own = F.floor((F.col("_seq") - 1) / block)
+    own = F.call_function("div", F.col("_seq") - 1, F.lit(block))
     lent = ((F.col("_seq") - 1) % block < 2) & (own > 0)
     blocks = numbered.withColumn("_own", own).withColumn(
         "_block", F.explode(F.when(lent, F.array("_own", F.col("_own") - 1)).otherwise(F.array("_own")))
