@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from checks.report_sql import (
     APPROVED,
+    ENDS,
     FREQUENT,
     REJECTED,
     RISK_COLUMNS,
     RISK_TABLES,
     ZSCORES,
-    _ends,
     big,
     exact,
     integer,
@@ -178,9 +178,8 @@ SELECT h.tier AS hospital_tier, COUNT(*) AS all_claims, {big('SUM(is_emergency)'
   {exact("COUNT(*) FILTER (WHERE is_emergency = 1 AND status = 'Approved')", 'SUM(is_emergency)')} AS approved_emergency_pct
 FROM fact_claims JOIN dim_providers h USING (provider_id) GROUP BY h.tier""",
 )
-_profile_ends = _ends("").split("ends AS", 1)[1].rsplit("SELECT * FROM ends", 1)[0].strip()
 SQL["patient_profile"] = on_star(
-    RISK_TABLES.rstrip() + ",\nends AS " + _profile_ends,
+    RISK_TABLES.rstrip() + ",\n" + ENDS.strip(),
     f"SELECT {RISK_COLUMNS}, ends.* EXCLUDE (patient_id, total_claims) FROM banded JOIN ends USING (patient_id)",
 )
 

@@ -26,7 +26,7 @@ from claimspan.functions.numeric import mean, ratio
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import MAX_GROUP_ROWS
 from claimspan.operators.ranking import MAX_GLOBAL_ROWS, ranked_with_tiles
-from claimspan.plans import cohort, finance, fraud, risk
+from claimspan.plans import cohort, finance, fixed, fraud, risk
 from claimspan.schema import APPROVED, STATUSES, TREATMENTS
 from claimspan.sources.scratch import written
 
@@ -276,7 +276,7 @@ def high_frequency_claimants(m: ClaimsModel) -> DataFrame:
         F.count(F.lit(1)).alias("flagged_claims"),
         F.sum("claim_amount").alias("flagged_amount"),
         F.max("claims_in_90_days").alias("most_in_90_days"),
-        F.count_if(F.col("fraud_risk_level") == "HIGH RISK").alias("high_risk_claims"),
+        F.count_if(F.col("fraud_risk_level") == fixed.HIGH_RISK).alias("high_risk_claims"),
     )
     who = m.patients.select("patient_id", "age", "city", "chronic_condition")
     return kept.join(who, "patient_id").orderBy(F.col("most_in_90_days").desc(), "patient_id")

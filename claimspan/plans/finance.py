@@ -10,19 +10,15 @@ from claimspan.functions.numeric import banded, mean, ratio
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import null_safe_join
 from claimspan.operators.ordered import MAX_GROUP_ROWS, exact_percentiles
-from claimspan.plans import top
+from claimspan.plans import fixed, top
 from claimspan.schema import REJECTED
 
 
 def loss_ratio_by_insurer_quarter(
     m: ClaimsModel,
     policies_per_plan: int = 50,
-    bands: tuple[tuple[float, str], ...] = (
-        (100, "LOSS MAKING"),
-        (80, "HIGH RISK"),
-        (60, "MODERATE"),
-    ),
-    otherwise: str = "PROFITABLE",
+    bands: tuple[tuple[float, str], ...] = fixed.LOSS_BANDS,
+    otherwise: str = fixed.LOSS_OTHERWISE,
 ) -> DataFrame:
     """Claims paid against an estimate of the premium earned, per insurer and quarter."""
     quarters = totals(
@@ -180,9 +176,9 @@ def diagnosis_cost_benchmark(
 
 def insurer_scorecard(
     m: ClaimsModel,
-    grade_a: tuple[float, float] = (60, 30),
-    grade_b: tuple[float, float] = (50, 45),
-    grade_d: float = 20,
+    grade_a: tuple[float, float] = fixed.GRADE_A,
+    grade_b: tuple[float, float] = fixed.GRADE_B,
+    grade_d: float = fixed.GRADE_D,
 ) -> DataFrame:
     """Volumes, payout, rates and a grade per insurer.
 
@@ -193,10 +189,10 @@ def insurer_scorecard(
     n, days = F.col("claim_count"), mean("settlement_total", "settled_count")
     approved, rejected = F.col("approved_count") * 100 / n, F.col("rejected_count") * 100 / n
     grade = (
-        F.when((approved > grade_a[0]) & (days < grade_a[1]), "A - EXCELLENT")
-        .when((approved > grade_b[0]) & (days < grade_b[1]), "B - GOOD")
-        .when(rejected > grade_d, "D - POOR")
-        .otherwise("C - AVERAGE")
+        F.when((approved > grade_a[0]) & (days < grade_a[1]), fixed.GRADE_A_LABEL)
+        .when((approved > grade_b[0]) & (days < grade_b[1]), fixed.GRADE_B_LABEL)
+        .when(rejected > grade_d, fixed.GRADE_D_LABEL)
+        .otherwise(fixed.GRADE_C_LABEL)
     )
     return t.select(
         "insurer",

@@ -9,15 +9,15 @@ from claimspan.functions.numeric import mean
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import MAX_GROUP_ROWS
 from claimspan.operators.timeline import MAX_TRAILING_ROWS, next_two, trailing_count
-from claimspan.plans import top
+from claimspan.plans import fixed, top
 from claimspan.sources.scratch import written
 
 
 def frequent_claims(
     m: ClaimsModel,
-    days: int = 90,
-    medium: int = 3,
-    high: int = 5,
+    days: int = fixed.FREQUENT_DAYS,
+    medium: int = fixed.FREQUENT_MEDIUM,
+    high: int = fixed.FREQUENT_HIGH,
     max_group_rows: int = MAX_TRAILING_ROWS,
 ) -> DataFrame:
     """Claims that have at least ``medium`` claims of their patient in the
@@ -40,15 +40,15 @@ def frequent_claims(
     n = F.col("claims_in_90_days")
     return counted.where(n >= medium).withColumn(
         "fraud_risk_level",
-        F.when(n >= high, "HIGH RISK").otherwise("MEDIUM RISK"),
+        F.when(n >= high, fixed.HIGH_RISK).otherwise(fixed.MEDIUM_RISK),
     )
 
 
 def fraud_frequency_90d(
     m: ClaimsModel,
-    days: int = 90,
-    medium: int = 3,
-    high: int = 5,
+    days: int = fixed.FREQUENT_DAYS,
+    medium: int = fixed.FREQUENT_MEDIUM,
+    high: int = fixed.FREQUENT_HIGH,
     limit: int | None = 100,
     max_group_rows: int = MAX_TRAILING_ROWS,
 ) -> DataFrame:
@@ -88,15 +88,18 @@ def amount_zscores(m: ClaimsModel) -> DataFrame:
 
 
 def amount_zscore_outliers(
-    m: ClaimsModel, outlier: float = 2, extreme: float = 3, limit: int | None = 50
+    m: ClaimsModel,
+    outlier: float = fixed.OUTLIER_Z,
+    extreme: float = fixed.EXTREME_Z,
+    limit: int | None = 50,
 ) -> DataFrame:
     """Claims far from the mean of their diagnosis, furthest first."""
     z = F.col("z_score")
     flag = (
-        F.when(z > extreme, "EXTREME OUTLIER - Investigate")
-        .when(z > outlier, "HIGH OUTLIER - Review")
-        .when(z < -outlier, "UNUSUALLY LOW - Verify")
-        .otherwise("NORMAL")
+        F.when(z > extreme, fixed.EXTREME_LABEL)
+        .when(z > outlier, fixed.OUTLIER_LABEL)
+        .when(z < -outlier, fixed.LOW_LABEL)
+        .otherwise(fixed.NORMAL_LABEL)
     )
     out = amount_zscores(m).where(F.abs(z) > outlier).select(
         "claim_id",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimspan.functions.numeric import mean, ratio
 from claimspan.model import ClaimsModel
 from claimspan.operators.ranking import MAX_GLOBAL_ROWS, ranked_with_tiles
-from claimspan.plans import top
+from claimspan.plans import fixed, top
 from claimspan.schema import APPROVED, REJECTED
 from claimspan.sources.scratch import written
 
@@ -31,11 +31,12 @@ def hospital_insurer_performance(
     )
     rate, days = F.col("rejection_rate"), F.col("avg_settlement_days")
     # Graded on the rounded rate, as the report shows it.
+    poor, below, best = fixed.PAIR_POOR, fixed.PAIR_BELOW, fixed.PAIR_BEST
     grade = (
-        F.when((rate > 25) & (days > 45), "POOR")
-        .when((rate > 15) | (days > 30), "BELOW AVERAGE")
-        .when((rate <= 10) & (days <= 15), "EXCELLENT")
-        .otherwise("AVERAGE")
+        F.when((rate > poor[0]) & (days > poor[1]), fixed.PAIR_POOR_LABEL)
+        .when((rate > below[0]) | (days > below[1]), fixed.PAIR_BELOW_LABEL)
+        .when((rate <= best[0]) & (days <= best[1]), fixed.PAIR_BEST_LABEL)
+        .otherwise(fixed.PAIR_LABEL)
     )
     out = (
         pairs.join(m.providers.select("provider_id", "hospital_name", "tier"), "provider_id")

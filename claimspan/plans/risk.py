@@ -9,25 +9,25 @@ from pyspark.sql import functions as F
 
 from claimspan.functions.numeric import banded, mean
 from claimspan.model import ClaimsModel
-from claimspan.plans import top
+from claimspan.plans import fixed, top
 
 
 @dataclass(frozen=True)
 class RiskRules:
     """Points and thresholds of the five factors; a count must exceed its bound."""
 
-    full_age: int = 60
-    age_points: int = 20
-    severe: tuple[str, ...] = ("Diabetes+Hypertension", "Heart Disease", "COPD")
-    moderate: tuple[str, ...] = ("Diabetes", "Hypertension", "Obesity")
-    healthy: str = "None"
-    condition_points: tuple[int, int, int, int] = (25, 15, 0, 10)  # severe, moderate, healthy, other
-    claim_bands: tuple[tuple[int, int], ...] = ((15, 20), (10, 15), (5, 10))
-    claim_base: int = 5
-    emergency_bands: tuple[tuple[int, int], ...] = ((3, 15), (1, 10))
-    readmission_bands: tuple[tuple[int, int], ...] = ((2, 20), (0, 10))
-    high: int = 65
-    medium: int = 40
+    full_age: int = fixed.FULL_AGE
+    age_points: int = fixed.AGE_POINTS
+    severe: tuple[str, ...] = fixed.SEVERE_CONDITIONS
+    moderate: tuple[str, ...] = fixed.MODERATE_CONDITIONS
+    healthy: str = fixed.NO_CONDITION
+    condition_points: tuple[int, int, int, int] = fixed.CONDITION_POINTS
+    claim_bands: tuple[tuple[int, int], ...] = fixed.CLAIM_POINTS
+    claim_base: int = fixed.CLAIM_BASE
+    emergency_bands: tuple[tuple[int, int], ...] = fixed.EMERGENCY_POINTS
+    readmission_bands: tuple[tuple[int, int], ...] = fixed.READMISSION_POINTS
+    high: int = fixed.HIGH_SCORE
+    medium: int = fixed.MEDIUM_SCORE
 
     def score(self) -> Column:
         age, condition = F.col("age"), F.col("chronic_condition")
@@ -52,9 +52,9 @@ class RiskRules:
     def category(self, score: str) -> Column:
         s = F.col(score)
         return (
-            F.when(s >= self.high, "HIGH RISK")
-            .when(s >= self.medium, "MEDIUM RISK")
-            .otherwise("LOW RISK")
+            F.when(s >= self.high, fixed.HIGH_RISK)
+            .when(s >= self.medium, fixed.MEDIUM_RISK)
+            .otherwise(fixed.LOW_RISK)
         )
 
 
