@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+if str(Path(__file__).resolve().parent) not in sys.path:
+    sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from checks.dataset_sql import SQL as DATASET_SQL
 from checks.report_sql import SQL as REPORT_SQL
 from claimspan.functions.measures import measure

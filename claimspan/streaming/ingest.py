@@ -4,18 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimspan.schema import TABLES
 from claimspan.sources.scratch import written
 
 
+BAD_ROW = "_bad_row"
+
+
+class RejectedClaims(ValueError):
+    """Rows arrived that cannot be stored, and there is no place to set them aside."""
+
+
 def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of the claim CSV files that arrive in a folder."""
+    """Stream of the claim CSV files that arrive in a folder. Rows that do not
+    parse keep their text in ``_bad_row``."""
+    schema = T.StructType([*TABLES["fact_claims"].fields, T.StructField(BAD_ROW, T.StringType())])
     return (
-        spark.readStream.schema(TABLES["fact_claims"])
+        spark.readStream.schema(schema)
         .option("header", True)
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_ROW)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(inbox)
     )
@@ -57,13 +68,34 @@ def append_new_claims(batch: DataFrame, target: str) -> None:
 
 
 def ingest(
-    claims: DataFrame, dates: DataFrame, target: str, checkpoint: str
+    claims: DataFrame,
+    dates: DataFrame,
+    target: str,
+    checkpoint: str,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived and stop; a restart goes on from ``checkpoint``."""
+    """Process what has arrived and stop; a restart goes on from ``checkpoint``.
+
+    Rows that do not parse or whose day is not in the calendar go to
+    ``rejects``, one folder per batch; without that folder they stop the run.
+    """
     years = dates.select("date_key", F.col("year").alias("claim_year"))
-    dated = claims.join(years, "date_key").select(*claims.columns, "claim_year")
+
+    def store(batch: DataFrame, number: int) -> None:
+        # Stored with all columns: a query on a few would parse only those.
+        arrived = written(batch.join(years, "date_key", "left").select(*batch.columns, "claim_year"), "arrived")
+        bad = F.col("claim_year").isNull()
+        if BAD_ROW in arrived.columns:
+            bad = bad | F.col(BAD_ROW).isNotNull()
+        refused = arrived.where(bad)
+        if rejects:
+            refused.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        elif not refused.isEmpty():
+            raise RejectedClaims(f"batch {number} has rows that cannot be stored")
+        append_new_claims(arrived.where(~bad).drop(BAD_ROW), target)
+
     return (
-        dated.writeStream.foreachBatch(lambda batch, _: append_new_claims(batch, target))
+        claims.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

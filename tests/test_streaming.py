@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from claimspan.schema import TABLES
 from claimspan.sources.calendar import date_dim
 from claimspan.streaming import alerts, ingest
@@ -35,6 +37,26 @@ def test_ingest_keeps_each_claim_once(spark, tmp_path):
     assert run(str(tmp_path / "other")) == [("A", 2022), ("B", 2023), ("C", 2022)]
 
 
+def test_ingest_sets_rejects_aside(spark, tmp_path):
+    inbox, target, rejects = tmp_path / "in", str(tmp_path / "claims"), str(tmp_path / "rejects")
+    inbox.mkdir()
+    dates = date_dim(spark, "2022-01-01", "2022-12-31")
+    _drop(inbox, "1.csv", dict(claim_id="A", date_key=1), dict(claim_id="B", date_key=9999),
+          dict(claim_id="C", date_key=2, claim_amount="many"))
+
+    def run(name, **kw):
+        stream = ingest.claim_files(spark, str(inbox))
+        ingest.ingest(stream, dates, target, str(tmp_path / name), **kw).awaitTermination()
+
+    with pytest.raises(Exception, match="cannot be stored"):
+        run("strict")
+    run("lenient", rejects=rejects)
+    run("lenient", rejects=rejects)
+    assert [r["claim_id"] for r in rows(spark.read.parquet(target))] == ["A"]
+    refused = {r["claim_id"]: r["_bad_row"] for r in rows(spark.read.parquet(rejects))}
+    assert set(refused) == {"B", "C"} and refused["B"] is None and "many" in refused["C"]
+
+
 def test_ingest_adds_an_empty_batch(spark, tmp_path):
     schema = spark.createDataFrame([], "claim_id string, claim_year int, amount long")
     ingest.append_new_claims(schema, str(tmp_path / "t"))
