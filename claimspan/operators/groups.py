@@ -35,8 +35,9 @@ def split(df: DataFrame, heavy: DataFrame, keys: str | list[str]) -> tuple[DataF
 
 
 def rows_within(df: DataFrame, bound: int) -> bool:
-    """Whether ``df`` has at most ``bound`` rows; reads no more than needed."""
-    return df.limit(bound + 1).count() <= bound
+    """Whether ``df`` has at most ``bound`` rows. Meant for stored tables, whose
+    rows are counted from the file footers."""
+    return df.count() <= bound
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

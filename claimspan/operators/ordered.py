@@ -77,7 +77,7 @@ def running_sums(
     """Add, per group of ``keys`` and in ``order``, the sum of each expression
     over the rows up to and including the current one.
 
-    ``order`` must be total within a group. Groups above ``max_group_rows``
+    ``df`` is a stored table and ``order`` is total within a group. Groups above ``max_group_rows``
     take the sliced way, all others one window.
     """
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
@@ -85,9 +85,9 @@ def running_sums(
     )
     plain = {name: F.sum(value).over(w) for name, value in sums.items()}
 
+    if rows_within(df, max_group_rows):
+        return df.withColumns(plain)
     if not keys:
-        if rows_within(df, max_group_rows):
-            return df.withColumns(plain)
         return sliced_running_sums(df, keys, order, sums, slices)
     heavy = hot_keys(df, keys, max_group_rows)
     if heavy is None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimspan.operators.groups import MAX_GROUP_ROWS, hot_keys, null_safe_join, split
-from claimspan.operators.ordered import running_sums, sliced_running_sums
+from claimspan.operators.ordered import sliced_running_sums
 from claimspan.sources.scratch import written
 
 # A trailing window re-reads its frame for every row, so it gets a lower bound.
@@ -131,22 +131,3 @@ def next_two(
     in_block = Window.partitionBy(key, "_block").orderBy("_seq")
     large = led(blocks, in_block).where(F.col("_block") == F.col("_own")).select(*out)
     return usual.unionByName(large)
-
-
-def numbered(
-    claims: DataFrame,
-    key: str,
-    date: str,
-    tie_break: str,
-    max_group_rows: int = MAX_GROUP_ROWS,
-    slices: int | None = None,
-) -> DataFrame:
-    """Add ``claim_seq``: 1, 2, 3 … per key in date order."""
-    return running_sums(
-        claims,
-        [key],
-        [F.col(date), F.col(tie_break)],
-        {"claim_seq": F.lit(1)},
-        max_group_rows,
-        slices,
-    )

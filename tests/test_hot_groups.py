@@ -65,8 +65,9 @@ def test_next_two(request, table, block):
 
 def test_sequence_numbers(claims):
     w = Window.partitionBy("patient_id").orderBy("day", "claim_id")
-    plain = claims.withColumn("claim_seq", F.row_number().over(w).cast("long"))
-    same(plain, timeline.numbered(claims, "patient_id", "day", "claim_id", max_group_rows=200, slices=6))
+    plain = claims.withColumn("seq", F.row_number().over(w).cast("long"))
+    order = [F.col("day"), F.col("claim_id")]
+    same(plain, ordered.running_sums(claims, ["patient_id"], order, {"seq": F.lit(1)}, 200, 6))
 
 
 @pytest.mark.parametrize("slices", [1, 2, 9])
