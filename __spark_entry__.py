@@ -26,6 +26,14 @@ from claimspan.sources.tables import verify_counts
 from claimspan.streaming import ingest
 from claimspan.streaming.alerts import frequency_alerts
 
+try:  # these folders may be absent; everything else works without them
+    import corpus_pipeline
+    from claimspan.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("claimspan.llm", "corpus_pipeline"):
+        raise
+    corpus_pipeline = llm = None
+
 _Report = Callable[[ClaimsModel], DataFrame]
 
 
@@ -152,8 +160,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_model = {**_reports(), **_datasets()}
-    return {**{name: _on_star(build) for name, build in on_model.items()}, **_checks(), **_streams()}
+    found = {**{name: _on_star(build) for name, build in on_model.items()}, **_checks(), **_streams()}
+    if llm:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**REPORT_SQL, **DATASET_SQL}
+    return {**REPORT_SQL, **DATASET_SQL, **(llm.oracle_sql() if llm else {})}
