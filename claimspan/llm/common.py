@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Spark hand this package's code to the Python workers of all executors, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    path = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}-code.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in package.rglob("*.py"):
+            archive.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
+
+
+def map_arrow(df: DataFrame, run: Callable, ddl: str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, ddl)
+
+
 class Scratch:
     """Intermediate tables of one run, in the folder that all executors share.
 

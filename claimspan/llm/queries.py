@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimspan.llm.common import read
 from claimspan.llm.interleave import interleave
 from claimspan.llm.mixture import plan
+from claimspan.llm.near_dup import near_duplicates
 
 
 def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +31,12 @@ def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(read(spark, sf_dir, "documents"), shards=8).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_interleave, op9_mixture)}
+    return {f.__name__: f for f in (op4_interleave, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,11 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from claimspan.llm.common import Scratch, read
 from claimspan.llm.interleave import interleave
 from claimspan.llm.mixture import mix
+from claimspan.llm.near_dup import one_of_each
 
 #: SQL has no counterpart of the language, near-duplicate and mixing stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return one_of_each(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
     return mix(docs).select(*docs.columns)
@@ -27,7 +33,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return interleave(docs)
 
 
-STAGES = [("mixing", mixing), ("sharding", sharding)]
+STAGES = [("near duplicates", near_duplicates), ("mixing", mixing), ("sharding", sharding)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
