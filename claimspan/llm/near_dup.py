@@ -256,4 +256,6 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **how: object) -> DataFrame:
     """The rows of ``docs`` without the near duplicates: the smallest id of each component stays."""
     gone = near_duplicates(docs, doc_id, **how).where("not kept").select(F.col(doc_id).alias("_gone")).distinct()
+    # stored, so that Spark knows its size and broadcasts it only if that is small
+    gone = Scratch(docs.sparkSession, "duplicates").table(gone, "ids", keep=True)
     return docs.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspan.llm.common import read
+from claimspan.llm.decontaminate import contaminated, passages
 from claimspan.llm.interleave import interleave
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
@@ -27,6 +28,19 @@ def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort("items"), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(read(spark, sf_dir, "documents"), shards=8).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,7 +50,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_interleave, op9_mixture, op10_near_dup)}
+    return {f.__name__: f for f in (op4_interleave, op6_decontaminate, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from claimspan.llm.common import Scratch, read
+from claimspan.llm.decontaminate import clean
 from claimspan.llm.interleave import interleave
 from claimspan.llm.mixture import mix
 from claimspan.llm.near_dup import one_of_each
@@ -23,6 +24,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return one_of_each(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose words are not copied from test items by a twentieth or more."""
+    return clean(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
     return mix(docs).select(*docs.columns)
@@ -33,7 +39,7 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return interleave(docs)
 
 
-STAGES = [("near duplicates", near_duplicates), ("mixing", mixing), ("sharding", sharding)]
+STAGES = [("near duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mixing), ("sharding", sharding)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
