@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimspan.sources.scratch import shared_folder
 
@@ -40,12 +41,36 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def map_arrow(df: DataFrame, run: Callable, ddl: str) -> DataFrame:
+def map_arrow(df: DataFrame, run: Callable, ddl: str | T.StructType) -> DataFrame:
     """``df.mapInArrow`` with this package at hand in the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(run, ddl)
 
 
+def extended(df: DataFrame, added: str, text: str, setup: Callable) -> DataFrame:
+    """All rows and columns of ``df`` with the columns ``added`` (a schema text) behind them.
+
+    ``setup()`` runs once per task and returns a function from a batch with at
+    most ``CHUNK_BYTES`` of ``text`` (or one row) to the added columns' values.
+    Columns of ``df`` that bear an added name are replaced.
+    """
+    fields = T.StructType.fromDDL(added)
+    base = without(df, fields.names)
+    new = arrow(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = setup()
+        for batch in chunks(batches, text):
+            more = [
+                v if isinstance(v, pa.Array) else pa.array(v, type=f.type) for v, f in zip(made(batch), new, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *more], schema=pa.schema([*batch.schema, *new], metadata=batch.schema.metadata)
+            )
+
+    return map_arrow(base, run, T.StructType([*base.schema, *fields]))
+
+
 class Scratch:
     """Intermediate tables of one run, in the folder that all executors share.
 
@@ -96,6 +121,19 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def aliased(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``df`` under column names that clash with none, the new name of each column, and the way back.
+
+    The way back takes a frame that holds the new columns, and gives those of ``df`` alone.
+    """
+    names = {c: f"_column_{i}" for i, c in enumerate(df.columns)}
+    return (
+        df.toDF(*names.values()),
+        names,
+        lambda out: out.select(*[F.col(new).alias(old) for old, new in names.items()]),
+    )
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text, or one row."""
     for batch in batches:

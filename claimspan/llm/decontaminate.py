@@ -15,7 +15,6 @@ with more words take one pass over the documents for each block.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, arrow, batch_of, chunks, map_arrow, ship, utf8
+from claimspan.llm.common import Scratch, aliased, extended, ship, utf8, without
 from claimspan.llm.words import WORD_CHARS, words
 
 WINDOW = 13
@@ -211,13 +210,12 @@ def passages(
     docs: DataFrame,
     benchmark: DataFrame,
     window: int = WINDOW,
-    doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """What each document holds of the benchmark: ``doc_id``, ``text``, ``n_words``, ``n_hit``,
-    ``longest`` (words of the longest match), ``spans`` and ``items``.
+    """``docs`` with what each document holds of the benchmark: ``n_words``, ``n_hit``, ``longest``
+    (words of the longest match), ``spans`` and ``items``.
 
     Words are runs of digits, letters (A-Z lower-cased) and characters outside
     ASCII. A window is ``window`` successive words of an item; an item of fewer
@@ -228,91 +226,92 @@ def passages(
     * A null text has no words, and a null or wordless item no window. An empty
       table on either side gives no rows, or rows without hits.
     * Items that share an id count as one; a null id counts as "".
-    * Repeated documents each get their row. Long texts are read whole. Other
-      columns have no part.
+    * Repeated documents each get their row. Long texts are read whole. Columns
+      named as the results are replaced; others are carried along, nulls too.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
+    scratch = Scratch(docs.sparkSession, "decontaminate")
     table = _blocks(benchmark, item_id, item_text, window, scratch)
     numbers = sorted(r["block"] for r in table.select("block").collect())
-    kind = docs.select(F.col(f"`{doc_id}`")).schema[0].dataType.simpleString()
-    ddl = f"id {kind}, text string, {_FOUND}"
-    schema = arrow(ddl)
-    now = docs.select(
-        F.col(f"`{doc_id}`").alias("id"),
-        F.col(f"`{text}`").alias("text"),
-        *[F.lit(None).cast(t).alias(n) for n, t in _columns()],
-    )
+    now = without(docs, ["_longest", "_spans", "_items"])
     for turn, number in enumerate(numbers or [None]):
         held = None
         if number is not None:
             row = table.where(F.col("block") == number).first()
-            held = spark.sparkContext.broadcast((bytes(row["made"]), list(row["items"])))
-        found = map_arrow(now, _pass(held, window, schema), ddl)
-        now = found if turn == len(numbers) - 1 or not numbers else scratch.table(found, f"pass-{turn}")
+            held = docs.sparkSession.sparkContext.broadcast((bytes(row["made"]), list(row["items"])))
+        if turn:
+            for name, _ in _CARRIED:
+                now = now.withColumnRenamed(name, f"_{name}")
+        else:
+            now = now.select("*", *[F.lit(None).cast(kind).alias(f"_{name}") for name, kind in _CARRIED])
+        now = extended(now, _FOUND, text, _pass(held, window, text)).drop(*[f"_{name}" for name, _ in _CARRIED])
+        if turn < len(numbers) - 1:
+            now = scratch.table(now, f"pass-{turn}")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return now.select(
-        F.col("id").alias(doc_id), F.col("text").alias(text), "n_words", hit.alias("n_hit"), "longest", "spans", "items"
-    )
+    return without(now, ["n_hit"]).withColumn("n_hit", hit)
 
 
-def _columns() -> list[tuple[str, str]]:
-    return [("n_words", "long"), ("longest", "int"), ("spans", f"array<{_SPAN}>"), ("items", "array<string>")]
+_CARRIED = [("longest", "int"), ("spans", f"array<{_SPAN}>"), ("items", "array<string>")]
 
 
-def _pass(held: object, window: int, schema: pa.Schema):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pass(held: object, window: int, text: str):
+    def setup():
         if held is None:
             matcher = Matcher(_build([], window), [], window)
         else:
             made, names = held.value
             with np.load(io.BytesIO(made)) as arrays:
                 matcher = Matcher(dict(arrays), names, window)
-        for batch in chunks(batches, "text"):
-            data, offsets = utf8(batch.column("text"))
-            w = words(data, offsets, WORD_CHARS)
-            codes = matcher.code(w.hash)
-            known = codes >= 0
-            # runs of known words inside one document, long enough to hold a window
-            starts, ends = known.copy(), known.copy()
-            inner = w.first[(w.first > 0) & (w.first < len(known))]
-            starts[1:] &= ~known[:-1]
-            ends[:-1] &= ~known[1:]
-            starts[inner] = known[inner]
-            ends[inner - 1] = known[inner - 1]
-            a, b = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-            long_ = b - a >= matcher.least
-            a, b = a[long_], b[long_]
-            owner = np.searchsorted(w.first, a, side="right") - 1
-            spans: dict[int, list[tuple[int, int]]] = {}
-            items: dict[int, set[str]] = {}
-            longest: dict[int, int] = {}
-            for d, x, y in zip(owner.tolist(), a.tolist(), b.tolist(), strict=True):
-                got, hit, most = matcher.scan(codes[x:y].tolist())
-                longest[d] = max(longest.get(d, 0), most)
-                if got:
-                    base = x - int(w.first[d])
-                    spans.setdefault(d, []).extend((base + p, base + q) for p, q in got)
-                    items.setdefault(d, set()).update(matcher.names[i] for i in hit)
-            out_spans, out_items, out_longest = [], [], []
-            old = [batch.column(n) for n in ("longest", "spans", "items")]
-            for d in range(batch.num_rows):
-                was, had, hit = (c[d].as_py() for c in old)
-                mine = _merged(spans.get(d, []) + [(s["first"], s["last"]) for s in had or []])
-                first = int(w.first[d])
-                out_spans.append(
-                    [
-                        {"first": p, "last": q, "start": int(w.start[first + p] - offsets[d]), "end": int(w.end[first + q] - offsets[d])}
-                        for p, q in mine
-                    ]
-                )
-                out_items.append(sorted(items.get(d, set()) | set(hit or [])))
-                out_longest.append(max(longest.get(d, 0), was or 0))
-            yield batch_of(
-                schema, batch.column("id"), batch.column("text"), w.counts.astype(np.int64), out_longest, out_spans, out_items
-            )
-
-    return run
+        return lambda batch: _found(matcher, batch, text)
+
+    return setup
+
+
+def _found(matcher: Matcher, batch: pa.RecordBatch, text: str) -> tuple[np.ndarray, list, list, list]:
+    """n_words, longest, spans and items of a batch, with what earlier passes found."""
+    data, offsets = utf8(batch.column(text))
+    w = words(data, offsets, WORD_CHARS)
+    codes = matcher.code(w.hash)
+    known = codes >= 0
+    # runs of known words inside one document, long enough to hold a window
+    starts, ends = known.copy(), known.copy()
+    inner = w.first[(w.first > 0) & (w.first < len(known))]
+    starts[1:] &= ~known[:-1]
+    ends[:-1] &= ~known[1:]
+    starts[inner] = known[inner]
+    ends[inner - 1] = known[inner - 1]
+    a, b = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    long_ = b - a >= matcher.least
+    a, b = a[long_], b[long_]
+    owner = np.searchsorted(w.first, a, side="right") - 1
+    spans: dict[int, list[tuple[int, int]]] = {}
+    items: dict[int, set[str]] = {}
+    longest: dict[int, int] = {}
+    for d, x, y in zip(owner.tolist(), a.tolist(), b.tolist(), strict=True):
+        got, hit, most = matcher.scan(codes[x:y].tolist())
+        longest[d] = max(longest.get(d, 0), most)
+        if got:
+            base = x - int(w.first[d])
+            spans.setdefault(d, []).extend((base + p, base + q) for p, q in got)
+            items.setdefault(d, set()).update(matcher.names[i] for i in hit)
+    out_longest, out_spans, out_items = [], [], []
+    old = [batch.column(f"_{n}") for n, _ in _CARRIED]
+    for d in range(batch.num_rows):
+        was, had, hit = (c[d].as_py() for c in old)
+        first = int(w.first[d])
+        out_spans.append(
+            [
+                {
+                    "first": p,
+                    "last": q,
+                    "start": int(w.start[first + p] - offsets[d]),
+                    "end": int(w.end[first + q] - offsets[d]),
+                }
+                for p, q in _merged(spans.get(d, []) + [(s["first"], s["last"]) for s in had or []])
+            ]
+        )
+        out_items.append(sorted(items.get(d, set()) | set(hit or [])))
+        out_longest.append(max(longest.get(d, 0), was or 0))
+    return w.counts.astype(np.int64), out_longest, out_spans, out_items
 
 
 def contaminated(coverage: int = COVERAGE) -> Column:
@@ -320,12 +319,12 @@ def contaminated(coverage: int = COVERAGE) -> Column:
     return (F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, doc_id: str = "doc_id", **how: object) -> DataFrame:
+def clean(
+    docs: DataFrame, benchmark: DataFrame, coverage: int = COVERAGE, text: str = "text", **how: object
+) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, as they are."""
-    bad = passages(docs, benchmark, doc_id=doc_id, **how).where(contaminated(coverage)).select(F.col(doc_id).alias("_bad"))
-    # stored, so that Spark knows its size and broadcasts it only if that is small
-    bad = Scratch(docs.sparkSession, "contaminated").table(bad.distinct(), "ids", keep=True)
-    return docs.join(bad, F.col(f"`{doc_id}`") == F.col("_bad"), "left_anti")
+    rows, name, back = aliased(docs)
+    return back(passages(rows, benchmark, text=name[text], **how).where(~contaminated(coverage)))
 
 
 def cut(found: DataFrame, text: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, without
+from claimspan.llm.common import Scratch, aliased, without
 from claimspan.llm.slices import hashable, position, running, slice_of, source_key
 
 SEED = 20_240_617
@@ -199,12 +199,23 @@ def _nearest(dealt: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, seed: int = SEED, **how: object) -> DataFrame:
-    """The mixed documents: the columns of ``docs`` once per copy, with ``copy``, ``block``, ``shard`` and
+def mix(docs: DataFrame, seed: int = SEED, text: str = "text", source: str = "source", **how: object) -> DataFrame:
+    """The mixed documents: the rows of ``docs`` once per copy, with ``copy``, ``block``, ``shard`` and
     ``place``, the seeded random key by which a shard's rows are shuffled. Takes what ``plan`` takes.
     """
-    planned = plan(docs, seed=seed, **how)
-    rows = planned.withColumn("_copy", F.explode("copies"))
-    own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in _MINE]
-    place = position(seed + 2, *hashable(docs), F.col("_copy.copy"))
-    return rows.select(*own, "_copy.copy", "_copy.block", "_copy.shard", place.alias("place"))
+    rows, name, _ = aliased(docs)
+    planned = plan(rows, text=name[text], source=name[source], seed=seed, **how)
+    mixed = planned.withColumn("_copy", F.explode("copies"))
+    place = position(seed + 2, *hashable(rows), F.col("_copy.copy"))
+    new = {"copy": "_copy.copy", "block": "_copy.block", "shard": "_copy.shard"}
+    return mixed.select(
+        *[F.col(n).alias(c) for c, n in name.items() if c.lower() not in [*new, "place"]],
+        *[F.col(path).alias(c) for c, path in new.items()],
+        place.alias("place"),
+    )
+
+
+def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", **how: object) -> DataFrame:
+    """The rows of ``mix`` with the columns of ``docs`` alone."""
+    rows, name, back = aliased(docs)
+    return back(mix(rows, text=name[text], source=name[source], **how))

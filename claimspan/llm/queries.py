@@ -12,6 +12,7 @@ from claimspan.llm.decontaminate import contaminated, passages
 from claimspan.llm.interleave import interleave
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
+from claimspan.llm.rank_order import held_out, identified
 
 
 def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +42,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identified(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(read(spark, sf_dir, "documents"), shards=8).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,7 +56,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_interleave, op6_decontaminate, op9_mixture, op10_near_dup)}
+    return {f.__name__: f for f in (op4_interleave, op6_decontaminate, op7_rank_order, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,13 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from claimspan.llm.common import Scratch, read
 from claimspan.llm.decontaminate import clean
 from claimspan.llm.interleave import interleave
-from claimspan.llm.mixture import mix
+from claimspan.llm.mixture import mixed_rows
 from claimspan.llm.near_dup import one_of_each
+from claimspan.llm.rank_order import with_language
 
 #: SQL has no counterpart of the language, near-duplicate and mixing stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are in some language: those without a text or a letter go."""
+    return with_language(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id."""
     return one_of_each(docs)
@@ -31,7 +37,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of its source takes it."""
-    return mix(docs).select(*docs.columns)
+    return mixed_rows(docs)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +45,13 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return interleave(docs)
 
 
-STAGES = [("near duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mixing), ("sharding", sharding)]
+STAGES = [
+    ("language", language),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
