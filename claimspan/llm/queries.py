@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 from claimspan.llm.common import read
 from claimspan.llm.decontaminate import contaminated, passages
 from claimspan.llm.interleave import interleave
+from claimspan.llm.line_dedup import without_common_lines
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
 from claimspan.llm.rank_order import held_out, identified
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_common_lines(read(spark, sf_dir, "documents"))
+    sha = F.sha2(F.col("kept").cast("binary"), 256)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
+
+
 def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = interleave(read(spark, sf_dir, "documents"), shards=8)
     text = F.coalesce("text", F.lit(""))
@@ -56,7 +63,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_interleave, op6_decontaminate, op7_rank_order, op9_mixture, op10_near_dup)}
+    return {f.__name__: f for f in (op1_line_dedup, op4_interleave, op6_decontaminate, op7_rank_order, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
