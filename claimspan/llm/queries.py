@@ -14,6 +14,18 @@ from claimspan.llm.line_dedup import without_common_lines
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
 from claimspan.llm.rank_order import held_out, identified
+from claimspan.llm.token_counts import token_counts
+from claimspan.llm.token_files import ids_crc32, stored_tokens
+
+#: The public tokenizer that the contracts of the token operators name, and the id it ends documents with there.
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +34,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", sha.alias("kept_sha256"))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"), _tokenizer(), limit=512)
+
+
 def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = interleave(read(spark, sf_dir, "documents"), shards=8)
     text = F.coalesce("text", F.lit(""))
@@ -36,6 +52,11 @@ def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = stored_tokens(read(spark, sf_dir, "documents"), _tokenizer(), END_ID)
+    return ids_crc32(files.select("doc_id", "start", "n_tokens", "ids"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort("items"), ",")
@@ -63,7 +84,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op4_interleave, op6_decontaminate, op7_rank_order, op9_mixture, op10_near_dup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op4_interleave, op5_token_files, op6_decontaminate, op7_rank_order, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
