@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimspan.llm.bit_sliced import top_k
 from claimspan.llm.common import read
 from claimspan.llm.decontaminate import contaminated, passages
 from claimspan.llm.interleave import interleave
@@ -75,6 +76,10 @@ def op7_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(read(spark, sf_dir, "documents"), shards=8).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -84,7 +89,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op4_interleave, op5_token_files, op6_decontaminate, op7_rank_order, op9_mixture, op10_near_dup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op4_interleave, op5_token_files, op6_decontaminate, op7_rank_order, op8_bit_sliced, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
