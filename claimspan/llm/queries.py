@@ -12,6 +12,7 @@ from claimspan.llm.common import read
 from claimspan.llm.decontaminate import contaminated, passages
 from claimspan.llm.interleave import interleave
 from claimspan.llm.line_dedup import without_common_lines
+from claimspan.llm.main_text import main_text
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
 from claimspan.llm.rank_order import held_out, identified
@@ -39,6 +40,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), _tokenizer(), limit=512)
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text(read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = interleave(read(spark, sf_dir, "documents"), shards=8)
     text = F.coalesce("text", F.lit(""))
@@ -89,7 +95,7 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op4_interleave, op5_token_files, op6_decontaminate, op7_rank_order, op8_bit_sliced, op9_mixture, op10_near_dup)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_main_text, op4_interleave, op5_token_files, op6_decontaminate, op7_rank_order, op8_bit_sliced, op9_mixture, op10_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
