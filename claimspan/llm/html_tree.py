@@ -16,7 +16,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_DIGITS = re.compile(r"\d+")
+_DIGITS = re.compile(r"\d{2,}")
 
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "template", "svg", "math",
         "object", "canvas", "xmp"}

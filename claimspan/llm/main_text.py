@@ -31,7 +31,7 @@ from claimspan.llm.common import Scratch, arrow, batch_of, chunks, extended, map
 from claimspan.llm.html_tree import Element, digest, read
 
 CONTENT = 0.9
-LEAST = 0.4
+LEAST = 0.5
 MIN_PAGES = 8
 #: Of the text that is left, the share that must stand in ``article`` or ``main`` to drop the rest.
 MAIN_SHARE = 0.3

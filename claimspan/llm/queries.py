@@ -15,6 +15,7 @@ from claimspan.llm.line_dedup import without_common_lines
 from claimspan.llm.main_text import main_text
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
+from claimspan.llm.oracles import SQL
 from claimspan.llm.rank_order import held_out, identified
 from claimspan.llm.token_counts import token_counts
 from claimspan.llm.token_files import ids_crc32, stored_tokens
@@ -99,4 +100,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
