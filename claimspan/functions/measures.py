@@ -21,6 +21,7 @@ def additive_totals() -> dict[str, Column]:
     return {
         "claim_count": F.count(F.lit(1)),
         "claimed": F.sum("claim_amount"),
+        "claimed_count": F.count("claim_amount"),
         "approved": F.sum("approved_amount"),
         "approved_count": F.count_if(status == APPROVED),
         "rejected_count": F.count_if(status == REJECTED),
@@ -82,7 +83,7 @@ MEASURES: dict[str, tuple[list[str], object]] = {
     "total_claimed": (["claimed"], lambda: F.col("claimed")),
     "total_claimed_crore": (["claimed"], lambda: F.col("claimed") / F.lit(1e7)),
     "approved_value": (["approved"], lambda: F.col("approved")),
-    "avg_claim": (["claimed", "claim_count"], lambda: mean("claimed", "claim_count", 2)),
+    "avg_claim": (["claimed", "claimed_count"], lambda: mean("claimed", "claimed_count", 2)),
     "approval_rate_pct": (["approved_count", "claim_count"],
                           lambda: ratio("approved_count", "claim_count")),
     "rejection_rate_pct": (["rejected_count", "claim_count"],

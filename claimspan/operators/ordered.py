@@ -62,7 +62,8 @@ def sliced_running_sums(
     # broadcast however large the data.
     joined = null_safe_join(local, F.broadcast(offsets), [*keys, _SLICE], "left")
     return joined.withColumns(
-        {n: F.col(n) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)) for n in sums}
+        # A sum is NULL as long as it has met only NULLs, in this slice or in those before.
+        {n: F.coalesce(F.col(n) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)), F.col(f"_before_{n}")) for n in sums}
     ).select(*df.columns, *sums)
 
 

@@ -15,7 +15,10 @@ from claimspan.schema import (
     OPEN_STATUSES,
     PRIMARY_KEYS,
     REJECTED,
+    REJECTION_REASONS,
     STATUSES,
+    TIERS,
+    TREATMENTS,
 )
 
 
@@ -75,24 +78,37 @@ def reference_summary(m: ClaimsModel) -> DataFrame:
     )
 
 
+def _not_in(column: str, *known: object) -> Column:
+    """Whether a value is none of the known ones; NULL is none of them."""
+    return ~F.coalesce(F.col(column).isin(*known), F.lit(False))
+
+
 def value_rules(table: str) -> dict[str, Column]:
     """Rule name -> condition that marks a row as breaking it."""
     rules = {f"{c} missing": F.col(c).isNull() for c in NOT_NULL[table]}
     for column, longest in MAX_LENGTHS[table].items():
         rules[f"{column} longer than {longest}"] = F.length(column) > longest
     if table == "fact_claims":
-        rejected, is_open = F.col("status") == REJECTED, F.col("status").isin(*OPEN_STATUSES)
+        rejected = F.coalesce(F.col("status") == REJECTED, F.lit(False))
+        is_open = F.coalesce(F.col("status").isin(*OPEN_STATUSES), F.lit(False))
         rules |= {
-            "status unknown": ~F.col("status").isin(*STATUSES),
+            "status unknown": _not_in("status", *STATUSES),
+            "treatment unknown": _not_in("treatment_type", *TREATMENTS),
+            "reason unknown": F.col("rejection_reason").isNotNull() & _not_in("rejection_reason", *REJECTION_REASONS),
+            "claimed amount negative": F.col("claim_amount") < 0,
+            "approved amount negative": F.col("approved_amount") < 0,
+            "settlement days negative": F.col("settlement_days") < 0,
             "reason without rejection": F.col("rejection_reason").isNotNull() & ~rejected,
             "rejection without reason": F.col("rejection_reason").isNull() & rejected,
             "open claim settled": F.col("settlement_days").isNotNull() & is_open,
             "closed claim unsettled": F.col("settlement_days").isNull() & ~is_open,
             "approved above claimed": F.col("approved_amount") > F.col("claim_amount"),
             "unpaid status with payment": (rejected | is_open) & (F.col("approved_amount") != 0),
-            "emergency flag not 0 or 1": ~F.col("is_emergency").isin(0, 1),
-            "readmission flag not 0 or 1": ~F.col("is_readmission").isin(0, 1),
+            "emergency flag not 0 or 1": _not_in("is_emergency", 0, 1),
+            "readmission flag not 0 or 1": _not_in("is_readmission", 0, 1),
         }
+    if table == "dim_providers":
+        rules["tier unknown"] = _not_in("tier", *TIERS)
     return rules
 
 

@@ -231,7 +231,7 @@ def monthly_trend_cube(m: ClaimsModel) -> DataFrame:
         "unique_patients",
         F.col("claimed").alias("gross_claims"),
         F.col("approved").alias("net_paid"),
-        mean("claimed", "claim_count").alias("avg_claim"),
+        mean("claimed", "claimed_count").alias("avg_claim"),
         "approved_count",
         "rejected_count",
         mean("settlement_total", "settled_count").alias("avg_settlement_days"),
@@ -246,7 +246,7 @@ def insurer_moving_average(m: ClaimsModel, months: int = 3) -> DataFrame:
 
     Rows, not calendar months: a month without claims is skipped, not zero.
     """
-    monthly = totals(m, ["insurer", "year", "month"], ["claimed", "claim_count"])
+    monthly = totals(m, ["insurer", "year", "month"], ["claimed", "claimed_count"])
     w = Window.partitionBy("insurer").orderBy("year", "month").rowsBetween(1 - months, 0)
     return monthly.select(
         "insurer",
@@ -254,7 +254,7 @@ def insurer_moving_average(m: ClaimsModel, months: int = 3) -> DataFrame:
         "month",
         F.col("claimed").alias("total_claim_amount"),
         mean(F.sum("claimed").over(w), F.count("claimed").over(w), 0).alias("moving_avg_3month"),
-        F.round(F.avg(mean("claimed", "claim_count")).over(w), 0).alias("moving_avg_per_claim"),
+        F.round(F.avg(mean("claimed", "claimed_count")).over(w), 0).alias("moving_avg_per_claim"),
     ).orderBy("insurer", "year", "month")
 
 

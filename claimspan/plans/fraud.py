@@ -58,8 +58,15 @@ def fraud_frequency_90d(
         F.col("claim_amount").desc_nulls_first(),
         F.col("claim_id").asc(),
     ]
-    # Cut first, describe after: only the kept claims meet the dimensions.
-    kept = top(frequent_claims(m, days, medium, high, max_group_rows), order, limit)
+    # Claims of unknown patients or hospitals have no place in the report, so
+    # they go before the cut; only the kept claims are described. The counts
+    # are partitioned by patient already, and hospitals are joined on the map side.
+    known = (
+        frequent_claims(m, days, medium, high, max_group_rows)
+        .join(m.patients.select("patient_id"), "patient_id", "left_semi")
+        .join(m.providers.select("provider_id"), "provider_id", "left_semi")
+    )
+    kept = top(known, order, limit)
     return (
         kept.join(m.patients.select("patient_id", "age", "city", "chronic_condition"), "patient_id")
         .join(m.providers.select("provider_id", "hospital_name"), "provider_id")
@@ -144,7 +151,7 @@ def claim_escalation(
         F.col("max_claim_in_escalation").desc(),
         F.col("patient_id").asc(),
     ]
-    kept = top(runs, order, limit)
+    kept = top(runs.join(m.patients.select("patient_id"), "patient_id", "left_semi"), order, limit)
     return (
         kept.join(m.patients.select("patient_id", "age", "chronic_condition", "city"), "patient_id")
         .select(
@@ -170,7 +177,8 @@ def claims_above_provider_avg(
         .agg(
             mean(F.sum("claim_amount"), F.count("claim_amount")).alias("_mean"),
             mean(F.sum("claim_amount"), F.count("claim_amount"), 0).alias("provider_avg_claim"),
-        ),
+        )
+        .join(m.providers.select("provider_id"), "provider_id", "left_semi"),
         "provider-means",
     )
     amount = F.col("claim_amount")

@@ -47,6 +47,7 @@ def read_with_rejects(
     parsed = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)  # the header must name these columns, in this order
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BAD_ROW)
         .csv(f"{root}/{name}.csv")

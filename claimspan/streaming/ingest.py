@@ -25,6 +25,7 @@ def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) ->
     return (
         spark.readStream.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)  # the header must name these columns, in this order
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .option("maxFilesPerTrigger", files_per_batch)

@@ -33,13 +33,24 @@ def one_day(claims):
     )
 
 
+@pytest.fixture(scope="module")
+def gaps(claims):
+    """NULL amounts: some anywhere, the hot patient's first ones (more than a slice), all of one patient."""
+    unknown = (
+        (F.pmod(F.xxhash64("claim_id"), F.lit(3)) == 0)
+        | ((F.col("patient_id") == "P0") & (F.col("day") < "2022-04-15"))
+        | (F.col("patient_id") == "P7")
+    )
+    return claims.withColumn("amount", F.when(~unknown, F.col("amount")))
+
+
 def test_hot_keys(claims):
     assert [r[0] for r in hot_keys(claims, "patient_id", 200).collect()] == ["P0"]
     assert hot_keys(claims, ["patient_id", "day"], 200) is None
     assert hot_keys(claims, "patient_id", 10_000) is None
 
 
-@pytest.mark.parametrize("table", ["claims", "one_day"])
+@pytest.mark.parametrize("table", ["claims", "one_day", "gaps"])
 def test_trailing_count(request, table):
     df = request.getfixturevalue(table)
     plain = timeline.trailing_count(df, "patient_id", "day", 90, "n")
@@ -47,14 +58,14 @@ def test_trailing_count(request, table):
     assert len(same(plain, spread)) == 1500
 
 
-@pytest.mark.parametrize("table", ["claims", "one_day"])
+@pytest.mark.parametrize("table", ["claims", "one_day", "gaps"])
 def test_running_totals(request, table):
     df = request.getfixturevalue(table)
     args = (df, "patient_id", "day", "claim_id", "amount")
     same(timeline.running_totals(*args), timeline.running_totals(*args, max_group_rows=200, slices=7))
 
 
-@pytest.mark.parametrize("table", ["claims", "one_day"])
+@pytest.mark.parametrize("table", ["claims", "one_day", "gaps"])
 @pytest.mark.parametrize("block", [2, 5, 4096])
 def test_next_two(request, table, block):
     df = request.getfixturevalue(table)
@@ -70,8 +81,10 @@ def test_sequence_numbers(claims):
     same(plain, ordered.running_sums(claims, ["patient_id"], order, {"seq": F.lit(1)}, 200, 6))
 
 
+@pytest.mark.parametrize("table", ["claims", "gaps"])
 @pytest.mark.parametrize("slices", [1, 2, 9])
-def test_sliced_sums(claims, slices):
+def test_sliced_sums(request, table, slices):
+    claims = request.getfixturevalue(table)
     order = [F.col("day").desc(), F.col("claim_id")]
     w = Window.partitionBy("patient_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     plain = claims.withColumns({"s": F.sum("amount").over(w), "n": F.count("*").over(w)})
