@@ -31,14 +31,14 @@ SELECT COUNT(*) AS total_claims, {big('SUM(claim_amount)')} AS total_claimed, {b
 SQL["insurer_kpis"] = on_star(
     f"""
 k AS (
-  SELECT insurer, COUNT(*) AS n, SUM(claim_amount) AS gross, SUM(approved_amount) AS paid, {APPROVED} AS ok, {REJECTED} AS no,
-    SUM(is_emergency) AS em, SUM(is_readmission) AS re, SUM(settlement_days) AS sd, COUNT(settlement_days) AS sn,
+  SELECT insurer, COUNT(*) AS n, SUM(claim_amount) AS gross, COUNT(claim_amount) AS gn, SUM(approved_amount) AS paid,
+    {APPROVED} AS ok, {REJECTED} AS no, SUM(is_emergency) AS em, SUM(is_readmission) AS re, SUM(settlement_days) AS sd, COUNT(settlement_days) AS sn,
     SUM(length_of_stay) AS ls, (SELECT COUNT(*) FROM fact_claims) AS whole
   {JOINED} GROUP BY insurer)
 """,
     f"""
 SELECT insurer, n AS total_claims, {big('gross')} AS total_claimed, CAST(gross AS DOUBLE) / 1e7 AS total_claimed_crore,
-  {big('paid')} AS approved_value, {exact('gross', 'n', 2, 1)} AS avg_claim, {exact('ok', 'n')} AS approval_rate_pct,
+  {big('paid')} AS approved_value, {exact('gross', 'gn', 2, 1)} AS avg_claim, {exact('ok', 'n')} AS approval_rate_pct,
   {exact('no', 'n')} AS rejection_rate_pct, {exact('paid', 'gross')} AS payout_ratio_pct, {exact('em', 'n')} AS emergency_rate_pct,
   {exact('re', 'n')} AS readmission_rate_pct, {exact('sd', 'sn', 1, 1)} AS avg_settlement_days,
   {exact('ls', 'n', 1, 1)} AS avg_length_of_stay, {exact('n', 'whole')} AS share_of_claims_pct,
@@ -256,15 +256,21 @@ _RULES = {
     "treatment_type longer than 20": "length(treatment_type) > 20",
     "status longer than 25": "length(status) > 25",
     "rejection_reason longer than 50": "length(rejection_reason) > 50",
-    "status unknown": "status NOT IN ('Approved', 'Rejected', 'Pending', 'Partially Approved', 'Under Review')",
+    "status unknown": "status IS NULL OR status NOT IN ('Approved', 'Rejected', 'Pending', 'Partially Approved', 'Under Review')",
     "reason without rejection": "rejection_reason IS NOT NULL AND status <> 'Rejected'",
     "rejection without reason": "rejection_reason IS NULL AND status = 'Rejected'",
     "open claim settled": "settlement_days IS NOT NULL AND status IN ('Pending', 'Under Review')",
     "closed claim unsettled": "settlement_days IS NULL AND status NOT IN ('Pending', 'Under Review')",
+    "treatment unknown": "treatment_type IS NULL OR treatment_type NOT IN ('IPD', 'OPD', 'Day Care', 'Emergency')",
+    "reason unknown": "rejection_reason NOT IN ('Incomplete Documents', 'Pre-existing Condition', 'Waiting Period Not Over',"
+    " 'Policy Lapsed', 'Claim Exceeds Coverage', 'Non-Covered Treatment', 'Fraud Suspected')",
+    "claimed amount negative": "claim_amount < 0",
+    "approved amount negative": "approved_amount < 0",
+    "settlement days negative": "settlement_days < 0",
     "approved above claimed": "approved_amount > claim_amount",
     "unpaid status with payment": "status IN ('Rejected', 'Pending', 'Under Review') AND approved_amount <> 0",
-    "emergency flag not 0 or 1": "is_emergency NOT IN (0, 1)",
-    "readmission flag not 0 or 1": "is_readmission NOT IN (0, 1)",
+    "emergency flag not 0 or 1": "is_emergency IS NULL OR is_emergency NOT IN (0, 1)",
+    "readmission flag not 0 or 1": "is_readmission IS NULL OR is_readmission NOT IN (0, 1)",
 }
 SQL["value_check"] = on_star(
     "",
