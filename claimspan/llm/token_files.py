@@ -11,6 +11,7 @@ group, which suits skewed vocabularies) or ``delta`` (differences, bit-packed).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from zlib import crc32
 
 import numpy as np
@@ -31,8 +32,9 @@ HELD = 400_000
 _FILE = "part int, start_in_part long, n_tokens long, ids array<int>"
 
 
+@cache
 def _encoder(path: str):
-    """A function from texts to the bytes of their ids (32-bit, little-endian)."""
+    """A function from texts to the bytes of their ids (32-bit, little-endian); one for all tasks of a worker."""
     made, specials = open_tokenizer(path)
     split, held = splitter(specials), {}
 
@@ -97,6 +99,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     lengths = files.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = lengths.select(F.col("part").alias("_part"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    # stored, so that Spark knows how small it is and does not shuffle the files for it
+    starts = Scratch(spark, "starts").table(starts, "starts", keep=True)
     return files.join(starts, F.col("part") == F.col("_part")).withColumn("start", F.col("start_in_part") + F.col("_start")).drop("_part", "_start")
 
 
