@@ -12,7 +12,10 @@ Equal sets are merged first. In each bucket the members are compared with one
 of them, the pivot, and linked ones form components; only then are members of
 *different* components of a bucket compared with each other, all of them. So a
 large group of copies costs about one comparison a member and no link between
-components is left out. A comparison reads the whole texts of both documents.
+components is left out. Pairs that cannot be similar enough are not compared:
+by the sizes of the sets, by how many shingles of a set no other open document
+has, and by the bits that differ in bitmaps of the sets. All three bound what is
+shared from above, so no link is lost. A comparison reads the whole texts of both documents.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ GROUPS = 13
 PER_GROUP = 2
 #: Members of one pivot that are compared in one run; a larger star is split into several.
 STAR_ROWS = 512
+#: 64-bit words of the bitmap of a document that stands in for its set where pairs are ruled out.
+MAP_WORDS = 16
 
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, GROUPS * PER_GROUP, dtype=np.uint64) * np.uint64(
     2
@@ -187,17 +192,21 @@ def _link(reps: DataFrame, named: DataFrame, shingle: int, percent: int, scratch
     """(node, component) of the documents that are linked with a different text."""
     keys = F.array(
         *[
-            F.xxhash64(F.lit(i * GROUPS + j), F.col("groups")[i], F.col("groups")[j])
+            F.struct(
+                F.xxhash64(F.lit(i * GROUPS + j), F.col("groups")[i], F.col("groups")[j]).alias("key"),
+                F.lit(i).alias("i"),
+                F.lit(j).alias("j"),
+            )
             for i, j in combinations(range(GROUPS), 2)
         ]
     )
-    rows = reps.select("id", F.col("n_shingles").cast("int").alias("n"), F.explode(keys).alias("key"))
+    rows = reps.select("id", F.col("n_shingles").cast("int").alias("n"), F.inline(keys))
     bucket = Window.partitionBy("key")
     pivot = F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).over(bucket)
     members = scratch.table(
-        rows.select("key", "id", "n", F.count("*").over(bucket).alias("rows"), pivot.alias("pivot"))
+        rows.select("key", "i", "j", "id", "n", F.count("*").over(bucket).alias("rows"), pivot.alias("pivot"))
         .where("rows > 1")
-        .selectExpr("key", "id", "n", "pivot.id as pivot", "pivot.n as pivot_n"),
+        .selectExpr("key", "i", "j", "id", "n", "pivot.id as pivot", "pivot.n as pivot_n"),
         "members",
     )
     fits = "id <> pivot and 100L * least(n, pivot_n) >= {p}L * greatest(n, pivot_n)".format(p=percent)
@@ -212,25 +221,45 @@ def _link(reps: DataFrame, named: DataFrame, shingle: int, percent: int, scratch
     links = _verified(done, texts, shingle, percent, scratch)
     labels = components(links, scratch)
 
+    # Members of buckets that still hold several components, with how many of their shingles another one has.
+    open_ = _open(members, labels, scratch)
+    own = scratch.table(_own(texts.join(open_.select("id").distinct(), "id", "left_semi"), shingle), "own")
+    open_ = open_.join(own, "id", "left").selectExpr("key", "i", "j", "id", "n", "n - coalesce(own, 0L) as s")
+    # Even the best partner has no more than these in common.
+    open_ = scratch.table(open_.where(f"100L * s >= {percent}L * n"), "hopeful")
+
     # The other pivots, where they stand in another component.
-    more = _apart(star.selectExpr("pivot a", "id b"), labels).join(done, ["a", "b"], "left_anti")
+    near = open_.select("id", "n", "s").distinct()
+    more = (
+        _apart(star.selectExpr("pivot a", "id b"), labels).join(done, ["a", "b"], "left_anti")
+        .join(near.selectExpr("id as a", "n as a_n", "s as a_s"), "a")
+        .join(near.selectExpr("id as b", "n as b_n", "s as b_s"), "b")
+        .where(_enough("a_n", "a_s", "b_n", "b_s", percent)).select("a", "b")
+    )
     more = scratch.table(more, "more")
     if not more.isEmpty():
         done = scratch.table(done.union(more), "done")
         links = scratch.table(links.union(_verified(more, texts, shingle, percent, scratch)), "links")
         labels = components(links, scratch)
 
-    # Whatever still stands in different components of one bucket.
-    placed = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    open_ = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = scratch.table(placed.join(open_.select("key"), "key"), "open")
-    other = placed.selectExpr("key", "id as b", "n as b_n", "component as b_component")
+    # Whatever still stands in different components of one bucket, each pair from the first bucket it shares.
+    open_ = _open(open_.select("key", "i", "j", "id", "n", "s"), labels, scratch)
+    # (the collections before the later one of this table, but for the first: none of them may agree)
+    tagged = F.array(*[F.xxhash64(F.lit(k), F.col("groups")[k]) for k in range(GROUPS)]).alias("tagged")
+    values = reps.join(open_.select("id").distinct(), "id", "left_semi").select("id", tagged)
+    before = F.array_except(F.slice("tagged", F.lit(1), F.col("j")), F.array(F.col("tagged")[F.col("i")]))
+    maps = scratch.table(_bitmaps(texts.join(open_.select("id").distinct(), "id", "left_semi"), shingle), "bitmaps")
+    open_ = open_.join(values.join(maps, "id"), "id").withColumn("before", before).drop("tagged", "i", "j")
+    open_ = scratch.table(open_, "crossing-members")
+    other = open_.select("key", F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in open_.columns if c not in ("key", "id")])
+    # each bit that one has and the other has not is a shingle at least that they do not share
+    differ = " + ".join(f"bit_count(m{k} & ~b_m{k})" for k in range(MAP_WORDS))
     crossing = (
-        placed.join(other, "key")
+        open_.join(other, "key")
         .where("component <> b_component and id < b")
-        .where(f"100L * least(n, b_n) >= {percent}L * greatest(n, b_n)")
+        .where(_enough("n", "s", "b_n", "b_s", percent))
+        .where(f"{100 + percent}L * (n - ({differ})) >= {percent}L * (n + b_n)")
+        .where("not arrays_overlap(before, b_before)")
         .selectExpr("id as a", "b")
         .distinct()
         .join(done, ["a", "b"], "left_anti")
@@ -243,6 +272,58 @@ def _link(reps: DataFrame, named: DataFrame, shingle: int, percent: int, scratch
     return labels
 
 
+def _enough(n: str, s: str, other_n: str, other_s: str, percent: int) -> str:
+    """Whether two sets can be similar enough, by their sizes and by how much of each is shared with any other."""
+    return (
+        f"{100 + percent}L * least({s}, {other_s}) >= {percent}L * ({n} + {other_n})"
+        f" and 100L * least({n}, {other_n}) >= {percent}L * greatest({n}, {other_n})"
+    )
+
+
+def _open(members: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """The members of buckets with more than one component, and their components."""
+    placed = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
+    )
+    ends = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return scratch.table(placed.join(ends.where("low < high").select("key"), "key"), "open")
+
+
+def _own(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, own): how many shingles of a document no other document of ``texts`` has, where there are any."""
+    kind = texts.schema["id"].dataType.simpleString()
+    ddl = f"id {kind}, h long"
+    schema = arrow(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            bounds, hashes = _sets(batch, shingle)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            yield batch_of(schema, batch.column("id").take(pa.array(owner)), hashes.view(np.int64))
+
+    rows = map_arrow(texts, run, ddl)
+    alone = rows.groupBy("h").agg(F.count("*").alias("rows"), F.min("id").alias("id")).where("rows = 1")
+    return alone.groupBy("id").agg(F.count("*").alias("own"))
+
+
+def _bitmaps(texts: DataFrame, shingle: int) -> DataFrame:
+    """(id, m0, m1 ...): for each document the bits at which its shingles fall in ``64 * MAP_WORDS``."""
+    kind = texts.schema["id"].dataType.simpleString()
+    ddl = f"id {kind}, " + ", ".join(f"m{k} long" for k in range(MAP_WORDS))
+    schema = arrow(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            bounds, hashes = _sets(batch, shingle)
+            out = np.zeros((batch.num_rows, MAP_WORDS * 64), np.uint8)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            out[owner, (hashes % np.uint64(64 * MAP_WORDS)).astype(np.int64)] = 1
+            words_ = np.packbits(out, axis=1, bitorder="little").view(np.int64)
+            yield batch_of(schema, batch.column("id"), *[np.ascontiguousarray(words_[:, k]) for k in range(MAP_WORDS)])
+
+    return map_arrow(texts, run, ddl)
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are not in one component."""
     left = labels.selectExpr("node a", "component a_component")
