@@ -127,9 +127,11 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
       parents; a page of plain text is its own main text.
     * Pages without a host (a null or odd URL) are merged as one host, "".
     * Repeated pages count as pages of their own. Pages are read whole. An empty
-      table gives no rows. A column named ``text`` is replaced; others are
-      carried along, nulls too.
+      table gives no rows. A column named ``text`` is replaced, even if it holds
+      the pages; others are carried along, nulls too.
     """
+    if html.lower() == "text":
+        pages, html = pages.withColumnRenamed(html, "_html"), "_html"
     scratch = Scratch(pages.sparkSession, "styletree")
     sites = pages.select(host(url).alias("host"), F.col(f"`{html}`").alias("html"))
     low = style_tree(sites).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
@@ -152,4 +154,4 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
 
         return run
 
-    return extended(joined, "text string", html, setup).drop("_host", "_low")
+    return extended(joined, "text string", html, setup).drop("_host", "_low", "_html")
