@@ -8,32 +8,61 @@ from pyspark.sql import functions as F
 from claimspan.model import ClaimsModel
 from claimspan.operators.quality import findings
 from claimspan.schema import TABLES
-from claimspan.sources.scratch import written
-from claimspan.sources.tables import read_table, verify_counts, with_claim_year, write_table
+from claimspan.sources.tables import read_table, refresh_statistics, verify_counts, with_claim_year, write_table
+from claimspan.sources.versions import new_version, publish, remove
 
 
 class QualityError(ValueError):
     """Loaded tables break a rule; the published tables were left as they were."""
 
 
-def load_all(spark: SparkSession, source: str, target: str) -> DataFrame:
+def load_all(spark: SparkSession, source: str, target: str, catalog: str | None = None) -> DataFrame:
     """Refresh every table under ``target`` from the CSV files under ``source``.
 
-    All files are read into staging and checked as a whole before the first
-    target is replaced, dimensions before the fact. A missing file or a bad
-    row raises. Returns (table, rows) of what is now published.
+    The tables are written to a folder of their own, checked as a whole, and
+    published together by switching a pointer, so a failure at any point leaves
+    the published tables as they were. A missing file or a bad row raises.
+    ``catalog``, if given, is a database in which the new version's tables are
+    registered and their statistics collected. Returns (table, rows) of what is
+    now published.
     """
-    staged = {name: written(read_table(spark, source, name), f"stage-{name}") for name in TABLES}
-    model = ClaimsModel.from_tables(staged)
-    broken = findings(model).where(F.col("violations") > 0)
+    version = new_version(target)
+    try:
+        _write(spark, source, version)
+        publish(spark, target, version)
+    except Exception:
+        remove(spark, version)
+        raise
+    if catalog:
+        _register(spark, version, catalog)
+    return verify_counts({name: read_table(spark, version, name, "parquet") for name in TABLES})
+
+
+def _write(spark: SparkSession, source: str, version: str) -> None:
+    """Write and check a version. Dimensions are checked as they are stored; the
+    fact is parsed once, into the version itself."""
+    for name in TABLES:
+        if name != "fact_claims":
+            write_table(read_table(spark, source, name), f"{version}/{name}")
+    dims = {name: read_table(spark, version, name, "parquet") for name in TABLES if name != "fact_claims"}
+    claims = read_table(spark, source, "fact_claims")
+    # Claims of unknown days are kept here, for the checks to find.
+    claims = with_claim_year(claims, dims["dim_date"], "left")
+    write_table(claims, f"{version}/fact_claims", ("claim_year",))
+    stored = {**dims, "fact_claims": read_table(spark, version, "fact_claims", "parquet")}
+    broken = findings(ClaimsModel.from_tables(stored)).where(F.col("violations") > 0)
     # At most one row per rule, whatever the size of the data.
     problems = [f"{r['check']} {r['table']}.{r['rule']}: {r['violations']}" for r in broken.collect()]
     if problems:
         raise QualityError("; ".join(sorted(problems)))
 
+
+def _register(spark: SparkSession, version: str, catalog: str) -> None:
+    """Point the database's tables at a version and collect their statistics."""
     for name in TABLES:
+        table = f"{catalog}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=f"{version}/{name}", source="parquet")
         if name == "fact_claims":
-            write_table(with_claim_year(model.claims, model.dates), f"{target}/{name}", ("claim_year",))
-        else:
-            write_table(staged[name], f"{target}/{name}")
-    return verify_counts({name: read_table(spark, target, name, "parquet") for name in TABLES})
+            spark.catalog.recoverPartitions(table)
+        refresh_statistics(spark, table)

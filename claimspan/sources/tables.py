@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from claimspan.model import ClaimsModel
 from claimspan.schema import DIAGNOSIS_REFERENCE, TABLES
 from claimspan.sources.scratch import written
+from claimspan.sources.versions import current
 
 _BAD_ROW = "_bad_row"
 
@@ -69,13 +70,16 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def read_model(spark: SparkSession, root: str, fmt: str = "parquet") -> ClaimsModel:
+    """All tables of one published version."""
+    if fmt == "parquet":
+        root = current(spark, root)
     return ClaimsModel.from_tables({t: read_table(spark, root, t, fmt) for t in TABLES})
 
 
-def with_claim_year(claims: DataFrame, dates: DataFrame) -> DataFrame:
+def with_claim_year(claims: DataFrame, dates: DataFrame, how: str = "inner") -> DataFrame:
     """Add the year a claim falls in, the column the stored fact is split by."""
     years = dates.select("date_key", F.col("year").alias("claim_year"))
-    return claims.join(years, "date_key").select(*claims.columns, "claim_year")
+    return claims.join(years, "date_key", how).select(*claims.columns, "claim_year")
 
 
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -115,6 +115,39 @@ def test_failed_load_keeps_what_was_published(spark, folder, tmp_path):
     assert tables.read_model(spark, target).claims.count() == 2
 
 
+@pytest.mark.parametrize("failing", range(5))
+def test_a_failing_write_leaves_the_old_model_whole(spark, folder, tmp_path, monkeypatch, failing):
+    target = str(tmp_path / "out")
+    load.load_all(spark, str(folder), target)
+    before = {t: sorted(map(tuple, df.collect()), key=repr) for t, df in tables.read_model(spark, target).tables().items()}
+    done = []
+
+    def write(df, path, partition_by=()):
+        if len(done) == failing:
+            raise OSError("no space left")
+        done.append(path)
+        tables.write_table(df, path, partition_by)
+
+    monkeypatch.setattr(load, "write_table", write)
+    (folder / "dim_patients.csv").write_text(CSV["dim_patients"].replace("P00001", "P00002"))
+    with pytest.raises(OSError, match="no space"):
+        load.load_all(spark, str(folder), target)
+    after = {t: sorted(map(tuple, df.collect()), key=repr) for t, df in tables.read_model(spark, target).tables().items()}
+    assert after == before
+    assert len(list((tmp_path / "out").glob("version=*"))) == 1  # nothing is left of the failed one
+
+
+def test_old_versions_go_and_tables_are_registered(spark, folder, tmp_path):
+    target = str(tmp_path / "out")
+    spark.sql("CREATE DATABASE IF NOT EXISTS loaded")
+    for _ in range(4):
+        load.load_all(spark, str(folder), target, "loaded")
+    assert len(list((tmp_path / "out").glob("version=*"))) == 2  # the published one and the one before
+    assert spark.table("loaded.fact_claims").count() == 2
+    stats = {r["col_name"]: r["data_type"] for r in spark.sql("DESCRIBE EXTENDED loaded.dim_patients").collect()}
+    assert "1 rows" in stats["Statistics"]
+
+
 def test_calendar(spark):
     d = date_dim(spark, "2022-01-01", "2024-12-31")
     assert d.count() == 1096
@@ -193,7 +226,7 @@ def test_each_broken_rule_is_found(make_model):
         ("value", "rejection without reason"): 1, ("value", "open claim settled"): 1,
         ("value", "closed claim unsettled"): 1, ("value", "approved above claimed"): 1,
         ("value", "emergency flag not 0 or 1"): 1, ("value", "unpaid status with payment"): 1,
-        ("value", "patient_id longer than 10"): 1,
+        ("value", "patient_id longer than 10"): 1, ("value", "reason unknown"): 2,
     }
 
 
