@@ -11,7 +11,7 @@ from claimspan.functions.numeric import mean, quarter_label
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import MAX_GROUP_ROWS
 from claimspan.operators.timeline import running_totals
-from claimspan.plans import top
+from claimspan.plans import fixed, top
 
 
 def cohort_retention(m: ClaimsModel) -> DataFrame:
@@ -45,13 +45,9 @@ def cohort_retention(m: ClaimsModel) -> DataFrame:
     )
 
 
-# The patients the report shows unless told otherwise.
-DEFAULT_PATIENTS = ("P00001", "P00002", "P00003")
-
-
 def patient_running_total(
     m: ClaimsModel,
-    patients: Sequence[str] | None = DEFAULT_PATIENTS,
+    patients: Sequence[str] | None = fixed.DEFAULT_PATIENTS,
     max_group_rows: int = MAX_GROUP_ROWS,
     slices: int | None = None,
 ) -> DataFrame:

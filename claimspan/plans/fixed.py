@@ -39,3 +39,6 @@ EXTREME_LABEL = "EXTREME OUTLIER - Investigate"
 OUTLIER_LABEL = "HIGH OUTLIER - Review"
 LOW_LABEL = "UNUSUALLY LOW - Verify"
 NORMAL_LABEL = "NORMAL"
+
+# The patients whose running totals are shown.
+DEFAULT_PATIENTS = ("P00001", "P00002", "P00003")

@@ -21,7 +21,7 @@ CSV = {
     "H0001,City Hospital,Urology,Pune,Maharashtra,Tier 1,300,None\n",
     "dim_policies": "policy_id,insurer,plan_type,annual_premium,coverage_limit,deductible,copay_pct,"
     "waiting_period_days,claim_settlement_ratio\n"
-    "POL0001,Alpha,Individual,24623,1500000,0,10,90,0.97\n",
+    "POL0001,Alpha,Individual,18040,750000,2000,15,45,0.83\n",
     "fact_claims": "claim_id,patient_id,provider_id,policy_id,date_key,diagnosis_code,diagnosis_name,"
     "treatment_type,claim_amount,approved_amount,status,rejection_reason,settlement_days,length_of_stay,"
     "is_emergency,is_readmission\n"
@@ -47,7 +47,7 @@ def test_text_none_is_a_value_and_empty_is_null(spark, folder):
 
 def test_ratio_keeps_its_decimals(spark, folder):
     (p,) = rows(tables.read_table(spark, str(folder), "dim_policies"))
-    assert p["claim_settlement_ratio"] == Decimal("0.97")
+    assert p["claim_settlement_ratio"] == Decimal("0.83")
 
 
 def test_types_are_declared(spark, folder):
