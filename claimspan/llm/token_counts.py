@@ -54,6 +54,22 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
     return map_arrow(counted, encode, ddl_out)
 
 
+def _most_frequent(known: DataFrame) -> DataFrame:
+    """At most ``COMMON`` of the most frequent pre-tokens, cut between classes of frequency.
+
+    There are at most 512 classes, eight to each doubling, so nothing but their
+    sizes is gathered to find the cut.
+    """
+    grade = F.floor(8 * F.log2("n")).cast("int")
+    room, cut = COMMON, None
+    for r in sorted(known.groupBy(grade.alias("grade")).count().collect(), key=lambda r: -r["grade"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        cut = r["grade"]
+    return known.where(F.lit(False) if cut is None else grade >= cut)
+
+
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(``doc_id``, ``n_bytes``, ``n_tokens``, ``over_limit``) for each row of ``docs``.
 
@@ -69,8 +85,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 512, doc_id: str
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     with Scratch(spark, "tokens") as scratch:
         known = scratch.table(pieces(rows, tokenizer), "pieces")
-        # Ties at the end of the common part are open; rare or common, a pre-token has the same pieces.
-        common = known.orderBy(F.desc("n"), "pre").limit(COMMON).select("pre", "pieces").toPandas()
+        common = _most_frequent(known).select("pre", "pieces").toPandas()
         held = spark.sparkContext.broadcast(dict(zip(common["pre"], common["pieces"].tolist(), strict=True)))
 
         def setup():
