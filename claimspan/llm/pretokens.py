@@ -37,23 +37,33 @@ def _class_of() -> np.ndarray:
     return _classes[0]
 
 
-def _plain(text: str) -> list[str]:
-    """The pre-tokens of a text without an apostrophe."""
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+def starts_of(points: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where the pre-tokens of texts without an apostrophe start.
+
+    ``points`` are the code points of the texts on end, ``edges`` where each of
+    the (non-empty) texts starts.
+    """
     kind = _class_of()[points]
     n = len(kind)
     starts = np.empty(n, bool)
     starts[0] = True
     np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    starts[edges] = True
     space = kind == _SPACE
     # The last white space before other text: a blank joins what follows, anything else stands alone.
     last = np.zeros(n, bool)
     last[:-1] = space[:-1] & ~space[1:]
+    last[edges[1:] - 1] = False
     at = np.flatnonzero(last)
     starts[at] = True
     starts[at[points[at] == 0x20] + 1] = False
-    cut = np.flatnonzero(starts).tolist()
-    return [text[a:b] for a, b in zip(cut, [*cut[1:], n], strict=True)]
+    return np.flatnonzero(starts)
+
+
+def _plain(text: str) -> list[str]:
+    """The pre-tokens of a text without an apostrophe."""
+    cut = starts_of(np.frombuffer(text.encode("utf-32-le"), np.uint32), np.zeros(1, np.int64)).tolist()
+    return [text[a:b] for a, b in zip(cut, [*cut[1:], len(text)], strict=True)]
 
 
 def splitter(specials: list[str]) -> Callable[[str], list[str]]:

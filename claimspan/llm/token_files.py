@@ -10,6 +10,7 @@ group, which suits skewed vocabularies) or ``delta`` (differences, bit-packed).
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import cache
 from zlib import crc32
@@ -21,34 +22,79 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimspan.llm.common import Scratch, arrow, chunks, map_arrow
-from claimspan.llm.pretokens import open_tokenizer, splitter
+from claimspan.llm.pretokens import open_tokenizer, splitter, starts_of
+from claimspan.llm.words import hashes_of
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-#: Distinct pre-tokens whose ids a task keeps; then it starts anew.
-HELD = 400_000
+#: Distinct pre-tokens whose ids a worker keeps, twice.
+HELD = 300_000
 
 _FILE = "part int, start_in_part long, n_tokens long, ids array<int>"
 
 
-@cache
-def _encoder(path: str):
-    """A function from texts to the bytes of their ids (32-bit, little-endian); one for all tasks of a worker."""
-    made, specials = open_tokenizer(path)
-    split, held = splitter(specials), {}
-
-    def encode(texts: list[str]) -> list[bytes]:
-        found = [split(t) for t in texts]
-        new = list({p for pre in found for p in pre if p not in held})
-        for p, e in zip(new, made.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            held[p] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join([held[p] for p in pre]) for pre in found]
-        if len(held) > HELD:
-            held.clear()
+class _Encoder:
+    """Texts to the bytes of their ids (32-bit, little-endian); one for all tasks of a worker.
+
+    The pre-tokens of a chunk are hashed with arrays (64 bits); only the
+    distinct ones become strings, and only those not met lately are encoded.
+    """
+
+    def __init__(self, path: str):
+        self.made, self.specials = open_tokenizer(path)
+        self.split = splitter(self.specials)
+        self.held: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.values = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, 0x110000, dtype=np.uint64)
+
+    def ids_of(self, pre: list[str]) -> list[bytes]:
+        if len(self.held) > HELD:  # what is still in use comes back from the older ones
+            self.held, self.older = {}, self.held
+        held, older = self.held, self.older
+        new = list({p for p in pre if p not in held})
+        for p in new:
+            if p in older:
+                held[p] = older[p]
+        fresh = [p for p in new if p not in held]
+        for p, e in zip(fresh, self.made.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
+            held[p] = array("I", e.ids).tobytes()
+        return [held[p] for p in pre]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        out = [b""] * len(texts)
+        plain = []
+        for i, t in enumerate(texts):
+            if "'" in t or any(s in t for s in self.specials):
+                out[i] = b"".join(self.ids_of(self.split(t)))
+            elif t:
+                plain.append(i)
+        if plain:
+            for i, ids in zip(plain, self._together([texts[i] for i in plain]), strict=True):
+                out[i] = ids
         return out
 
-    return encode
+    def _together(self, texts: list[str]) -> list[bytes]:
+        text = "".join(texts)
+        edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        start = starts_of(points, edges[:-1])
+        end = np.append(start[1:], len(points))
+        _, at, which = np.unique(hashes_of(self.values[points], start, end), return_index=True, return_inverse=True)
+        known = self.ids_of([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
+        ids = np.frombuffer(b"".join(known), "<u4")
+        n = np.array([len(b) // 4 for b in known])
+        first = np.cumsum(n) - n
+        many = n[which]
+        before = np.concatenate([[0], np.cumsum(many)])
+        flat = ids[np.arange(before[-1]) + np.repeat(first[which] - before[:-1], many)]
+        cut = before[np.searchsorted(start, edges)].tolist()
+        return [flat[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+
+@cache
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
 
 
 def write_tokens(
@@ -69,7 +115,7 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "_text"):
+        for batch in chunks(batches, "_text", 2 << 20):
             coded = [b + last for b in encode(batch.column("_text").to_pylist())]
             n = np.array([len(b) // 4 for b in coded], np.int64)
             ends = np.concatenate([[0], np.cumsum(n)])

@@ -71,10 +71,15 @@ def words(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray, hashes: bo
     first = np.searchsorted(start, offsets)
     if not hashes:
         return Words(start, end, first, np.empty(0, np.uint64))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * _power(_BASE, len(data)), out=total[1:])
-    inverse = _power(pow(_BASE, -1, 2**64), len(data) + 1)
-    return Words(start, end, first, mix((total[end] - total[start]) * inverse[start]))
+    return Words(start, end, first, hashes_of(_VALUES[data], start, end))
+
+
+def hashes_of(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the stretches from ``start`` to ``end`` of a sequence of random values."""
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _power(_BASE, len(values)), out=total[1:])
+    inverse = _power(pow(_BASE, -1, 2**64), len(values) + 1)
+    return mix((total[end] - total[start]) * inverse[start])
 
 
 def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
