@@ -229,23 +229,23 @@ def passages(
     * Repeated documents each get their row. Long texts are read whole. Columns
       named as the results are replaced; others are carried along, nulls too.
     """
-    scratch = Scratch(docs.sparkSession, "decontaminate")
-    table = _blocks(benchmark, item_id, item_text, window, scratch)
-    numbers = sorted(r["block"] for r in table.select("block").collect())
-    now = without(docs, ["_longest", "_spans", "_items"])
-    for turn, number in enumerate(numbers or [None]):
-        held = None
-        if number is not None:
-            row = table.where(F.col("block") == number).first()
-            held = docs.sparkSession.sparkContext.broadcast((bytes(row["made"]), list(row["items"])))
-        if turn:
-            for name, _ in _CARRIED:
-                now = now.withColumnRenamed(name, f"_{name}")
-        else:
-            now = now.select("*", *[F.lit(None).cast(kind).alias(f"_{name}") for name, kind in _CARRIED])
-        now = extended(now, _FOUND, text, _pass(held, window, text)).drop(*[f"_{name}" for name, _ in _CARRIED])
-        if turn < len(numbers) - 1:
-            now = scratch.table(now, f"pass-{turn}")
+    with Scratch(docs.sparkSession, "decontaminate") as scratch:
+        table = _blocks(benchmark, item_id, item_text, window, scratch)
+        numbers = sorted(r["block"] for r in table.select("block").collect())
+        now = without(docs, ["_longest", "_spans", "_items"])
+        for turn, number in enumerate(numbers or [None]):
+            held = None
+            if number is not None:
+                row = table.where(F.col("block") == number).first()
+                held = docs.sparkSession.sparkContext.broadcast((bytes(row["made"]), list(row["items"])))
+            if turn:
+                for name, _ in _CARRIED:
+                    now = now.withColumnRenamed(name, f"_{name}")
+            else:
+                now = now.select("*", *[F.lit(None).cast(kind).alias(f"_{name}") for name, kind in _CARRIED])
+            now = extended(now, _FOUND, text, _pass(held, window, text)).drop(*[f"_{name}" for name, _ in _CARRIED])
+            if turn < len(numbers) - 1:
+                now = scratch.table(now, f"pass-{turn}", keep=True)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     return without(now, ["n_hit"]).withColumn("n_hit", hit)
 

@@ -154,31 +154,31 @@ def without_common_lines(
       are carried along, nulls too.
     """
     spark = docs.sparkSession
-    scratch = Scratch(spark, "lines")
-    counted = scratch.table(line_counts(docs, text, min_chars).where(F.col("n") >= min_docs), "counted")
-    made, shards = index(counted, scratch)
-    weights = made.select("shard", sum(F.octet_length(k) for k in _KINDS).alias("bytes")).orderBy("shard").collect()
-    groups: list[list[int]] = [[]]
-    size = 0
-    for row in weights:
-        if groups[-1] and size + row["bytes"] > GROUP_BYTES:
-            groups.append([])
-            size = 0
-        groups[-1].append(row["shard"])
-        size += row["bytes"]
-    now = docs.withColumn("_dropped", F.lit(None).cast("binary"))
-    for turn, group in enumerate(groups):
-        rows = made.where(F.col("shard").isin(group)).collect() if group else []
-        held = spark.sparkContext.broadcast(
-            {r["shard"]: {k: np.frombuffer(r[k], kind) for k, kind in _KINDS.items()} for r in rows}
-        )
-        last = turn == len(groups) - 1
-        setup = _probe(held, shards, text, min_docs, min_chars, last)
-        if last:
-            return extended(now, "n_lines long, n_dropped long, kept string", text, setup).drop("_dropped")
-        now = extended(now, "_more binary", text, setup).drop("_dropped").withColumnRenamed("_more", "_dropped")
-        now = scratch.table(now, f"pass-{turn}")
-    raise AssertionError("there is always a group")
+    with Scratch(spark, "lines") as scratch:
+        counted = scratch.table(line_counts(docs, text, min_chars).where(F.col("n") >= min_docs), "counted")
+        made, shards = index(counted, scratch)
+        weights = made.select("shard", sum(F.octet_length(k) for k in _KINDS).alias("bytes")).orderBy("shard").collect()
+        groups: list[list[int]] = [[]]
+        size = 0
+        for row in weights:
+            if groups[-1] and size + row["bytes"] > GROUP_BYTES:
+                groups.append([])
+                size = 0
+            groups[-1].append(row["shard"])
+            size += row["bytes"]
+        now = docs.withColumn("_dropped", F.lit(None).cast("binary"))
+        for turn, group in enumerate(groups):
+            rows = made.where(F.col("shard").isin(group)).collect() if group else []
+            held = spark.sparkContext.broadcast(
+                {r["shard"]: {k: np.frombuffer(r[k], kind) for k, kind in _KINDS.items()} for r in rows}
+            )
+            last = turn == len(groups) - 1
+            setup = _probe(held, shards, text, min_docs, min_chars, last)
+            if last:
+                return extended(now, "n_lines long, n_dropped long, kept string", text, setup).drop("_dropped")
+            now = extended(now, "_more binary", text, setup).drop("_dropped").withColumnRenamed("_more", "_dropped")
+            now = scratch.table(now, f"pass-{turn}", keep=True)
+        raise AssertionError("there is always a group")
 
 
 def _probe(held: object, shards: int, text: str, min_docs: int, min_chars: int, last: bool):
