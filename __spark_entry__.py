@@ -30,7 +30,7 @@ try:  # these folders may be absent; everything else works without them
     import corpus_pipeline
     from claimspan.llm import queries as llm
 except ModuleNotFoundError as missing:
-    if missing.name not in ("claimspan.llm", "corpus_pipeline"):
+    if missing.name not in ("claimspan.llm", "claimspan.llm.common", "corpus_pipeline"):
         raise
     corpus_pipeline = llm = None
 
