@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from claimspan.sources.scratch import shared_folder
 
 #: Bytes of text that a task turns into arrays at a time (a longer text is taken alone).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -94,13 +94,6 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, df: DataFrame) -> None:
-        """Delete a table that no later step reads."""
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            for known in self._tables:
-                if path.split(":", 1)[-1].lstrip("/") == known.split(":", 1)[-1].lstrip("/"):
-                    self._delete(known)
-
     def _delete(self, path: str) -> None:
         jvm = self.spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
