@@ -1,9 +1,11 @@
 """Main text of web pages with a site style tree.
 
 The pages of a host are merged: elements with the same path of tags, classes
-and ids are one node of the host's tree. For each node it is counted in how
-many pages it stands, which sequences of children it has there (its
-presentation), and in how many pages each of its texts stands (its content).
+and ids are one node of the host's tree. Pages of a host with the same text
+are one page there, so an article in many copies does not look like a menu.
+For each node it is counted in how many pages it stands, which sequences of
+children it has there (its presentation), and in how many pages each of its
+texts stands (its content).
 
 * Presentation importance: the entropy of its child sequences over its pages.
 * Content importance: the entropy of the texts below it, weighted by length,
@@ -20,19 +22,23 @@ and lists of links outside the main part are too.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from claimspan.llm.common import Scratch, arrow, batch_of, chunks, extended, map_arrow
 from claimspan.llm.html_tree import Element, digest, read
 
 CONTENT = 0.9
 LEAST = 0.5
-MIN_PAGES = 8
+#: Of two pages that share a text nothing tells whether it is their menu or their article.
+MIN_PAGES = 3
 #: Of the text that is left, the share that must stand in ``article`` or ``main`` to drop the rest.
 MAIN_SHARE = 0.3
 #: Link text of a list, table or division that is a menu.
@@ -49,6 +55,41 @@ def host(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(f"`{url}`"), F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _contents(pages: DataFrame) -> DataFrame:
+    """(host, content, features): what the tree counts of each page, once per host and text.
+
+    ``content`` is a digest of the text that the page does not mark as noise.
+    Of pages with one text and different elements the least ``features`` stand.
+    """
+    ddl = "host string, content long, features binary"
+    schema = arrow(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: set[tuple] = set()
+        for batch in chunks(batches, "html"):
+            rows = []
+            for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                elements, blocks = read(html)
+                features = {(e.path, _PAGE, 0, 0) for e in elements}
+                features |= {(e.path, _STYLE, digest(" ".join(e.kids)), 0) for e in elements}
+                features |= {(e.path, _TEXT, digest(t), len(t)) for e, t in blocks}
+                content = digest("\n\n".join(t for e, t in blocks if not e.noise))
+                held: dict[str, list[tuple]] = {}
+                for path, *feature in sorted(features):
+                    held.setdefault(path, []).append(tuple(feature))
+                packed = zlib.compress(pickle.dumps(list(held.items()), 4), 1)
+                key = (name, content, xxh3_64_intdigest(packed))
+                if key not in passed:
+                    passed.add(key)
+                    rows.append((name, content, packed))
+            if len(passed) > HELD:
+                passed.clear()
+            yield batch_of(schema, *[[r[i] for r in rows] for i in range(3)])
+
+    parsed = map_arrow(pages.select("host", F.coalesce("html", F.lit("")).alias("html")), run, ddl)
+    return parsed.groupBy("host", "content").agg(F.min("features").alias("features"))
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of each node of each host's tree; ``pages`` has host and html."""
     ddl = "host string, path string, kind int, feature long, n long, size long"
@@ -61,18 +102,15 @@ def style_tree(pages: DataFrame) -> DataFrame:
             keys = list(zip(*held, strict=True)) or [()] * 5
             return batch_of(schema, *[list(k) for k in keys[:4]], list(held.values()), list(keys[4]))
 
-        for batch in chunks(batches, "html"):
-            for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                elements, blocks = read(html)
-                held.update({(name, e.path, _PAGE, 0, 0) for e in elements})
-                held.update({(name, e.path, _STYLE, digest(" ".join(e.kids)), 0) for e in elements})
-                held.update({(name, e.path, _TEXT, digest(t), len(t)) for e, t in blocks})
-            if len(held) > HELD:
-                yield out()
-                held.clear()
+        for batch in chunks(batches, "features"):
+            for name, packed in zip(batch.column("host").to_pylist(), batch.column("features").to_pylist(), strict=True):
+                held.update((name, path, *f) for path, found in pickle.loads(zlib.decompress(packed)) for f in found)
+                if len(held) > HELD:
+                    yield out()
+                    held.clear()
         yield out()
 
-    seen = map_arrow(pages.select("host", F.coalesce("html", F.lit("")).alias("html")), run, ddl)
+    seen = map_arrow(_contents(pages), run, ddl)
     features = seen.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
     of = lambda kind, e: F.coalesce(F.sum(F.when(F.col("kind") == kind, e)), F.lit(0.0))
     n, ln = F.col("n").cast("double"), F.log(F.col("n"))
@@ -126,8 +164,8 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     * A null or empty page has the empty text. Unclosed elements end with their
       parents; a page of plain text is its own main text.
     * Pages without a host (a null or odd URL) are merged as one host, "".
-    * Repeated pages count as pages of their own. Pages are read whole. An empty
-      table gives no rows. A column named ``text`` is replaced, even if it holds
+    * Repeated pages have equal texts, and count once in the tree. Pages are read
+      whole. An empty table gives no rows. A column named ``text`` is replaced, even if it holds
       the pages; others are carried along, nulls too.
     """
     if html.lower() == "text":

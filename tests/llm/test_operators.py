@@ -146,6 +146,30 @@ def test_style_tree_removes_what_repeats(spark):
     assert alone["text"].startswith("Same banner")  # one page tells nothing of its site
 
 
+def texts_of(spark, pages):
+    """{number: main text} of pages of one host."""
+    frame = spark.createDataFrame([(i, "http://h/", html) for i, html in enumerate(pages)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in main_text.main_text(frame.repartition(3)).collect()}
+
+
+def test_style_tree_counts_copies_of_a_page_once(spark):
+    own = "Own story number {0} of this page, as long as the copied story is"
+    copied = "The copied story of this host, which stands in very many pages"
+    html = "<body><div class=q1>Same banner</div><div class=content><p>{0}</div>"
+    pages = [html.format(copied)] * 60 + [html.format(own.format(i * 7919)) for i in range(40)]
+    got = texts_of(spark, pages)
+    assert [got[i] for i in range(60)] == [copied] * 60
+    assert [got[60 + i] for i in range(40)] == [own.format(i * 7919) for i in range(40)]
+    # nothing but copies: nothing tells a menu from an article
+    assert set(texts_of(spark, pages[:20]).values()) == {"Same banner\n\n" + copied}
+
+
+def test_style_tree_of_three_pages(spark):
+    html = "<body><div class=q1>Same banner text everywhere</div><div class=q2><p>Own text number {0} of this page</div>"
+    got = texts_of(spark, [html.format(i * 7919) for i in range(3)])
+    assert got == {i: f"Own text number {i * 7919} of this page" for i in range(3)}
+
+
 def test_interleave(docs, rows):
     for shards in (1, 8, 200):
         got = interleave.interleave(docs, shards).collect()
