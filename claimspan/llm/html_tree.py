@@ -7,7 +7,7 @@ from html import unescape
 
 from xxhash import xxh3_64_intdigest
 
-#: Elements beyond this depth count as part of the one at it; their text is kept.
+#: Elements beyond this depth are nodes of their own on the page, but have the path of the one at it.
 MAX_DEPTH = 64
 
 _TAG = re.compile(
@@ -18,15 +18,26 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _DIGITS = re.compile(r"\d{2,}")
 
-_RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "template", "svg", "math",
-        "object", "canvas", "xmp"}
-_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I) for tag in _RAW}
+#: Their content is no HTML and ends at the first end tag.
+_RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "noembed", "noframes", "xmp"}
+#: Their content is HTML that is not shown as text; it ends at the end tag that belongs to it.
+_HIDDEN = {"template", "svg", "object", "canvas", "annotation", "annotation-xml"}
+_SAME = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*>", re.I) for tag in _RAW | _HIDDEN}
+#: Where the text of an unclosed raw element ends: before the next tag that structures a page.
+_STRUCTURE = re.compile(
+    r"<(?:/?(?:html|head|body|main|article|section|header|footer|nav|aside|div|p|h[1-6]|ul|ol|dl|table|form|figure|blockquote"
+    r"|pre)|meta|link|base|script|style|title|noscript|iframe|textarea)(?=[\s/>])|\Z",
+    re.I,
+)
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
          "frame", "keygen"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
            "ins", "kbd", "mark", "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
            "sub", "sup", "time", "tt", "u", "var", "picture", "audio", "video", "map", "wbr", "label", "img", "br",
-           "input", "embed", "area", "source", "track", "param"}
+           "input", "embed", "area", "source", "track", "param", "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext",
+           "mspace", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom", "mfenced", "menclose", "msub",
+           "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "none", "mtable", "mtr",
+           "mlabeledtr", "mtd", "maction"}
 #: A start tag ends the nearest open element of these, unless one of the others stands between.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -85,6 +96,18 @@ def _is_noise(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
     return any(n and _NOISE_NAME.fullmatch(n) for n in names)
 
 
+def _ends(html: str, tag: str) -> dict[int, int]:
+    """Where the elements of a hidden tag end, by where they start; those without an end tag of their own are left out."""
+    out, starts = {}, []
+    for m in _SAME[tag].finditer(html):
+        if not m[1]:
+            if not (tag == "svg" and m[0].endswith("/>")):
+                starts.append(m.start())
+        elif starts:
+            out[starts.pop()] = m.end()
+    return out
+
+
 def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
     """The block elements of a page in order, and its blocks of text as (element, text).
 
@@ -94,22 +117,47 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
     root = Element("", "", None, False, False)
     elements, blocks, stack = [root], [], [root]
     parts: list[str] = []
+    depths: dict[str, list[int]] = {}  # of the open elements of each tag
+    ends_of: dict[str, dict[int, int]] = {}
+    endless: set[str] = set()
     in_link = False
     linked = links = 0
 
+    def nearest(tags: set[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths.get(t)), default=0)
+
+    def close(depth: int) -> None:
+        for e in stack[depth:]:
+            depths[e.tag].pop()
+        del stack[depth:]
+
+    def raw_end(tag: str, start: int, after: int, slashed: bool) -> int:
+        """Where the content of a raw or hidden element ends; ``after`` its start tag if it has none."""
+        if tag in _HIDDEN:
+            if tag not in ends_of:
+                ends_of[tag] = _ends(html, tag)
+            return ends_of[tag].get(start, after)
+        if tag not in endless:
+            for m in _SAME[tag].finditer(html, after):
+                if m[1]:
+                    return m.end()
+                if slashed:  # another one starts before any ends: this one is closed as in XHTML
+                    return after
+            if not slashed:
+                endless.add(tag)
+        return after if slashed else _STRUCTURE.search(html, after).start()
+
     def flush() -> None:
         nonlocal linked, links
         if parts:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                at: Element | None = stack[-1]
-                blocks.append((stack[-1], text))
-                while at is not None:
-                    at.chars += len(text)
-                    at.linked += min(linked, len(text))
-                    at.links += links
-                    at = at.parent
+                at = stack[-1]
+                blocks.append((at, text))
+                at.chars += len(text)
+                at.linked += min(linked, len(text))
+                at.links += links
         linked = links = 0
 
     def add(raw: str) -> None:
@@ -136,16 +184,14 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
             if tag == "a":
                 in_link = False
             elif tag not in _INLINE:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag == tag:
-                        flush()
-                        in_link = False
-                        del stack[depth:]
-                        break
+                depth = nearest({tag})
+                if depth:
+                    flush()
+                    in_link = False
+                    close(depth)
             continue
-        closed = m[3].endswith("/") and tag in ("svg", "math")
-        if tag in _RAW and not closed:
-            at = _RAW_END[tag].search(html, at).end()
+        if tag in _RAW or tag in _HIDDEN:
+            at = raw_end(tag, m.start(), at, m[3].endswith("/"))
             continue
         if tag in _INLINE:
             if tag == "a":
@@ -158,27 +204,29 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
         if tag in _VOID:
             continue
         if stack[-1].tag == "p":
-            stack.pop()
+            close(len(stack) - 1)
         if tag in _ENDS:
             ends, stops = _ENDS[tag]
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in stops:
-                    break
-                if stack[depth].tag in ends:
-                    del stack[depth:]
-        if len(stack) > MAX_DEPTH:
-            continue
+            stop = nearest(stops)
+            while (depth := nearest(ends)) > stop:
+                close(depth)
         up = stack[-1]
         found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3] else {}
         sign = _signature(tag, found)
         main = up.main or tag in ("article", "main") or found.get("role", "").lower() == "main"
         noise = up.noise or _is_noise(tag, found, up.main)
-        element = Element(tag, f"{up.path}/{sign}", up, noise, main and not noise)
-        if not up.kids or up.kids[-1] != sign:
+        deep = len(stack) > MAX_DEPTH
+        element = Element(tag, up.path if deep else f"{up.path}/{sign}", up, noise, main and not noise)
+        if not deep and (not up.kids or up.kids[-1] != sign):
             up.kids.append(sign)
         elements.append(element)
+        depths.setdefault(tag, []).append(len(stack))
         stack.append(element)
     flush()
+    for e in reversed(elements[1:]):  # children stand behind their parents
+        e.parent.chars += e.chars
+        e.parent.linked += e.linked
+        e.parent.links += e.links
     return elements, blocks
 
 

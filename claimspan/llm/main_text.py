@@ -71,7 +71,7 @@ def _contents(pages: DataFrame) -> DataFrame:
             for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
                 elements, blocks = read(html)
                 features = {(e.path, _PAGE, 0, 0) for e in elements}
-                features |= {(e.path, _STYLE, digest(" ".join(e.kids)), 0) for e in elements}
+                features |= {(e.path, _STYLE, digest(" ".join(e.kids)), 0) for e in elements if not e.parent or e.path != e.parent.path}
                 features |= {(e.path, _TEXT, digest(t), len(t)) for e, t in blocks}
                 content = digest("\n\n".join(t for e, t in blocks if not e.noise))
                 held: dict[str, list[tuple]] = {}

@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from claimspan.llm import bit_sliced, decontaminate, interleave, line_dedup, main_text, mixture, near_dup, rank_order
+from claimspan.llm import bit_sliced, decontaminate, html_tree, interleave, line_dedup, main_text, mixture, near_dup, rank_order
 from claimspan.llm.common import CHUNK_BYTES
 from claimspan.llm.pretokens import PATTERN, splitter
 from claimspan.llm.token_counts import token_counts
@@ -170,6 +170,35 @@ def test_style_tree_of_three_pages(spark):
     assert got == {i: f"Own text number {i * 7919} of this page" for i in range(3)}
 
 
+def shown(html, low=frozenset()):
+    return main_text._text(html, set(low))
+
+
+def test_deep_elements_keep_their_ends_and_marks():
+    nest = lambda n, inner: "<div>" * n + inner + "</div>" * n
+    for n in (3, 70, 300):
+        html = f"<body><div><article><p>Head {nest(n, 'deep')}<p>Tail</article></div>"
+        assert shown(html) == "Head\n\ndeep\n\nTail"
+        elements, blocks = html_tree.read(html)
+        assert [e.main for e, _ in blocks] == [True] * 3
+        hidden = "<nav>n</nav><footer>f</footer><form>o</form><aside>a</aside>"
+        assert shown(f"<body><article>{nest(n, hidden + 'deep')}</article>") == "deep"
+    assert shown("<div>" * 50_000 + "text" + "</i></p></div>" * 50_000) == "text"
+
+
+def test_unclosed_raw_elements_go_alone():
+    for tag in ("object", "canvas", "template", "svg"):
+        assert shown(f"<p>a<{tag} id=1/><p>b<{tag}>x</{tag}><p>c") == "a\n\nb\n\nc"
+        assert shown(f"<p>a<{tag} id=1><p>b<{tag}>x</{tag}><p>c") == "a\n\nb\n\nc"
+        assert shown(f"<p>a<{tag}><{tag}>x</{tag}>y</{tag}>b") == "ab"
+        assert shown(f"<p>a<{tag}><p>b") == "a\n\nb"
+    for tag in ("script", "style", "title", "iframe", "textarea"):
+        assert shown(f"<p>a<{tag} id=1/><p>b<{tag}>x</{tag}><p>c") == "a\n\nb\n\nc"
+        assert shown(f"<p>a<{tag}>x<p>b") == "a\n\nb"
+        assert shown(f"<p>a<{tag} src=/x/><i>x</i></{tag}>b") == "ab"
+    assert shown("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds") == "So x=2 holds"
+
+
 def test_interleave(docs, rows):
     for shards in (1, 8, 200):
         got = interleave.interleave(docs, shards).collect()
