@@ -17,7 +17,8 @@ From each page the branches under ``LEAST`` are removed. Nodes of fewer than
 ``MIN_PAGES`` pages say too little: they stay, as do the page's own roots and
 main parts. What a page itself marks as no text of its own (menus, footers,
 forms, adverts, comments ... by tag, role, class or id) is removed in any case,
-and lists of links outside the main part are too.
+and lists of links outside the main part are too. Nothing goes for standing outside
+of ``article`` or ``main`` alone.
 """
 
 from __future__ import annotations
@@ -39,8 +40,6 @@ CONTENT = 0.9
 LEAST = 0.5
 #: Of two pages that share a text nothing tells whether it is their menu or their article.
 MIN_PAGES = 3
-#: Of the text that is left, the share that must stand in ``article`` or ``main`` to drop the rest.
-MAIN_SHARE = 0.3
 #: Link text of a list, table or division that is a menu.
 LINK_SHARE = 0.8
 #: Distinct counts a task holds before it passes them on.
@@ -146,11 +145,7 @@ def _text(html: str, low: set[str]) -> str:
         )
         kept_root = e.tag in ("", "html", "body", "article", "main")
         gone[id(e)] = up or e.noise or menu or (not kept_root and not _prose(e) and e.path in low)
-    left = [(e, t) for e, t in blocks if not gone[id(e)]]
-    inside = [t for e, t in left if e.main]
-    if sum(map(len, inside)) >= MAIN_SHARE * sum(len(t) for _, t in left):
-        return "\n\n".join(inside)
-    return "\n\n".join(t for _, t in left)
+    return "\n\n".join(t for e, t in blocks if not gone[id(e)])
 
 
 def _prose(e: Element) -> bool:

@@ -199,6 +199,14 @@ def test_unclosed_raw_elements_go_alone():
     assert shown("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds") == "So x=2 holds"
 
 
+def test_text_outside_of_articles_stays():
+    story = "<div class=story><p>The story of this page.<p>It has two parts.</div>"
+    cards = "".join(f"<article class=card><p>Card number {i} with quite a long text.</article>" for i in range(3))
+    got = shown(f"<body><nav><a href=x>n</a></nav>{story}{cards}<ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul>")
+    assert got.split("\n\n") == ["The story of this page.", "It has two parts.", *[f"Card number {i} with quite a long text." for i in range(3)]]
+    assert shown("<div class=lead>The lead.</div><main><p>A middle.</main><div>And the end.</div>") == "The lead.\n\nA middle.\n\nAnd the end."
+
+
 def test_interleave(docs, rows):
     for shards in (1, 8, 200):
         got = interleave.interleave(docs, shards).collect()
