@@ -60,16 +60,30 @@ _NOISE_NAME = re.compile(
     r"|copyright|outbrain|taboola|legal|disclaimer|tags|byline-share|toc-nav)(?:[-_].*)?",
     re.I,
 )
+#: Of these, classes (and ids of other than headings and sections) that no text of an article bears, inside it neither.
+_NOISE_FOR_SURE = re.compile(
+    r"(?:ads?|adv|advert|advertisement|adsense|adsby\w*|sponsored|cookies?|consent|gdpr|newsletter|comments?|commentlist|respond"
+    r"|disqus\w*|outbrain|taboola|breadcrumbs?|pagination|pager|navbar|share|sharing)"
+    r"(?:[-_](?:area|bar|block|box|buttons?|container|content|form|inner|links?|list|nav|notice|section|slot|thread|unit|wrap|wrapper|\d+))*",
+    re.I,
+)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: What running text ends with.
+_SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
 _ROOTS = {"html", "body", "main", "article"}
 
 
 class Element:
-    """A block element: what it is, where it stands, and how much text and link text it holds."""
+    """A block element: what it is, where it stands, and how much text and link text it holds.
 
-    __slots__ = ("tag", "path", "parent", "noise", "main", "chars", "linked", "links", "kids")
+    ``suspect`` elements of the main part are named like noise, ``running`` ones hold a sentence or a heading.
+    """
 
-    def __init__(self, tag: str, path: str, parent: Element | None, noise: bool, main: bool):
-        self.tag, self.path, self.parent, self.noise, self.main = tag, path, parent, noise, main
+    __slots__ = ("tag", "path", "parent", "noise", "main", "suspect", "running", "chars", "linked", "links", "kids")
+
+    def __init__(self, tag: str, path: str, parent: Element | None, noise: bool, main: bool, suspect: bool = False):
+        self.tag, self.path, self.parent, self.noise, self.main, self.suspect = tag, path, parent, noise, main, suspect
+        self.running = False
         self.chars = self.linked = self.links = 0
         self.kids: list[str] = []
 
@@ -81,19 +95,38 @@ def _signature(tag: str, attributes: dict[str, str]) -> str:
 
 
 def _is_noise(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
+    """Whether an element is noise by its tag, role or style, whatever its names."""
     if tag in _NOISE_TAGS or (tag == "header" and not inside_main):
         return True
     style = attributes.get("style", "").replace(" ", "").lower()
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style:
         return True
-    if attributes.get("role", "").lower() in _NOISE_ROLES:
-        return True
+    return attributes.get("role", "").lower() in _NOISE_ROLES
+
+
+def _named(tag: str, attributes: dict[str, str], inside_main: bool) -> tuple[bool, bool]:
+    """Whether classes and id name an element as noise, and whether they only make it suspect.
+
+    Ids of headings come from their words and say nothing. In an article, an
+    article's own names, and ids of sections there and elsewhere, are no proof.
+    """
     if tag in _ROOTS and tag != "article":
-        return False
-    names = attributes.get("class", "").split() + [attributes.get("id", "")]
+        return False, False
+    classes, mark = attributes.get("class", "").split(), attributes.get("id", "")
+    if tag in _HEADINGS:
+        mark = ""
     if inside_main and tag in ("header", "h1", "h2", "h3"):
-        names = [n for n in names if not n.lower().endswith("header")]
-    return any(n and _NOISE_NAME.fullmatch(n) for n in names)
+        classes, mark = [n for n in classes if not n.lower().endswith("header")], "" if mark.lower().endswith("header") else mark
+    if tag == "section" and mark:
+        if inside_main:
+            mark = ""
+        elif _NOISE_NAME.fullmatch(mark) and not any(_NOISE_NAME.fullmatch(n) for n in classes):
+            return False, True
+    names = [n for n in [*classes, mark] if n and _NOISE_NAME.fullmatch(n)]
+    if not names:
+        return False, False
+    sure = not (inside_main or tag == "article") or (tag not in _HEADINGS and any(_NOISE_FOR_SURE.fullmatch(n) for n in names))
+    return sure, not sure
 
 
 def _ends(html: str, tag: str) -> dict[int, int]:
@@ -158,6 +191,7 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
                 at.chars += len(text)
                 at.linked += min(linked, len(text))
                 at.links += links
+                at.running = at.running or at.tag in _HEADINGS or bool(_SENTENCE.search(text))
         linked = links = 0
 
     def add(raw: str) -> None:
@@ -214,9 +248,10 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
         found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3] else {}
         sign = _signature(tag, found)
         main = up.main or tag in ("article", "main") or found.get("role", "").lower() == "main"
-        noise = up.noise or _is_noise(tag, found, up.main)
+        sure, suspect = _named(tag, found, up.main)
+        noise = up.noise or sure or _is_noise(tag, found, up.main)
         deep = len(stack) > MAX_DEPTH
-        element = Element(tag, up.path if deep else f"{up.path}/{sign}", up, noise, main and not noise)
+        element = Element(tag, up.path if deep else f"{up.path}/{sign}", up, noise, main and not noise, suspect)
         if not deep and (not up.kids or up.kids[-1] != sign):
             up.kids.append(sign)
         elements.append(element)
@@ -227,6 +262,7 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
         e.parent.chars += e.chars
         e.parent.linked += e.linked
         e.parent.links += e.links
+        e.parent.running = e.parent.running or (e.running and not e.noise)
     return elements, blocks
 
 

@@ -16,8 +16,11 @@ Both, weighted ``1 - CONTENT`` to ``CONTENT``, make the importance of a node.
 From each page the branches under ``LEAST`` are removed. Nodes of fewer than
 ``MIN_PAGES`` pages say too little: they stay, as do the page's own roots and
 main parts. What a page itself marks as no text of its own (menus, footers,
-forms, adverts, comments ... by tag, role, class or id) is removed in any case,
-and lists of links outside the main part are too. Nothing goes for standing outside
+forms, adverts, comments ... by tag, role, class or id) is removed in any case;
+inside ``article`` and ``main`` a name that could also be one of the article's
+own parts (discussion, related, notice ...) needs further evidence: low
+importance, mostly links, or neither a sentence nor a heading below it. And
+lists of links outside the main part are too. Nothing goes for standing outside
 of ``article`` or ``main`` alone.
 """
 
@@ -42,6 +45,8 @@ LEAST = 0.5
 MIN_PAGES = 3
 #: Link text of a list, table or division that is a menu.
 LINK_SHARE = 0.8
+#: Link text of an element inside the main part that is named like noise.
+NAMED_LINK_SHARE = 0.5
 #: Distinct counts a task holds before it passes them on.
 HELD = 100_000
 
@@ -143,8 +148,9 @@ def _text(html: str, low: set[str]) -> str:
         menu = (
             e.tag in _LISTS and not e.main and e.links >= 3 and e.chars > 0 and e.linked >= LINK_SHARE * e.chars
         )
+        named = e.suspect and e.chars > 0 and (not e.running or e.path in low or e.linked >= NAMED_LINK_SHARE * e.chars)
         kept_root = e.tag in ("", "html", "body", "article", "main")
-        gone[id(e)] = up or e.noise or menu or (not kept_root and not _prose(e) and e.path in low)
+        gone[id(e)] = up or e.noise or menu or named or (not kept_root and not _prose(e) and e.path in low)
     return "\n\n".join(t for e, t in blocks if not gone[id(e)])
 
 

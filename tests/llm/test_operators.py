@@ -207,6 +207,22 @@ def test_text_outside_of_articles_stays():
     assert shown("<div class=lead>The lead.</div><main><p>A middle.</main><div>And the end.</div>") == "The lead.\n\nA middle.\n\nAnd the end."
 
 
+def test_names_alone_remove_no_part_of_an_article():
+    for name in ("discussion", "related-work", "recommendations", "social-effects", "legal-framework", "search", "notices", "header"):
+        for part in (f"<h2 id={name}>Head</h2><p>Text.", f"<section id={name}><h2>Head</h2><p>Text.</section>",
+                     f"<div class={name}><h2>Head</h2><p>Text.</div>", f"<div id={name}><h2>Head</h2><p>Text.</div>"):
+            for main in ("article", "main"):
+                assert shown(f"<body><{main}><p>a{part}</{main}>") == "a\n\nHead\n\nText.", (name, part)
+    assert shown("<div><h2 id=recommendations>Head</h2><p>a</div>") == "Head\n\na"
+    assert shown("<div><section id=discussion><p>Text.</section><p>a</div>") == "Text.\n\na"
+    # with further evidence, or names that no article has for its own text, they go
+    path = "/body/article/div.related"
+    for part in ("<div class=related><p>See <a href=1>one other page</a>.</div>", "<div class=social-bar>Share this</div>",
+                 "<div class=comments><p>A comment.</div>", "<div class=ad-slot><p>Buy this.</div>", "<div class=related><p>Said on each page.</div>"):
+        assert shown(f"<body><article><p>a{part}</article>", {path}) == "a"
+    assert shown("<body><div class=related><p>Other text.</div><p>a") == "a"
+
+
 def test_interleave(docs, rows):
     for shards in (1, 8, 200):
         got = interleave.interleave(docs, shards).collect()
