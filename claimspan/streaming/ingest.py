@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,8 @@ from claimspan.sources.scratch import written
 
 
 BAD_ROW = "_bad_row"
+#: When and with which file a row arrived.
+ARRIVED = "_arrived"
 
 
 class RejectedClaims(ValueError):
@@ -20,7 +24,7 @@ class RejectedClaims(ValueError):
 
 def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) -> DataFrame:
     """Stream of the claim CSV files that arrive in a folder. Rows that do not
-    parse keep their text in ``_bad_row``."""
+    parse keep their text in ``_bad_row``; ``_arrived`` orders the files."""
     schema = T.StructType([*TABLES["fact_claims"].fields, T.StructField(BAD_ROW, T.StringType())])
     return (
         spark.readStream.schema(schema)
@@ -30,42 +34,61 @@ def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) ->
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(inbox)
+        .select("*", F.struct("_metadata.file_modification_time", "_metadata.file_path").alias(ARRIVED))
     )
 
 
-def append_new_claims(batch: DataFrame, target: str) -> None:
-    """Append the claims of ``batch`` that ``target`` does not hold yet.
-
-    Several copies of a claim in one batch become one row. Comparing with the
-    stored years, rather than remembering keys for a while, has no horizon: a
-    claim may arrive any time later, and a batch that is run again after a
-    failure adds nothing twice. A claim keeps its id and its date: the same id
-    in another year is another claim.
-    """
-    others = [c for c in batch.columns if c != "claim_id"]
+def _sorted_out(batch: DataFrame, target: str) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of ``batch`` that ``target`` lacks, and those that contradict it or an earlier row; None without rows."""
+    content = [c for c in batch.columns if c != ARRIVED]
+    arrived = F.min(ARRIVED) if ARRIVED in batch.columns else F.lit(0)
     # Stored: the batch is used several times, and its size becomes known.
-    single = written(
-        batch.groupBy("claim_id")
-        .agg(F.min(F.struct(*others)).alias("row"))
-        .select("claim_id", *[F.col(f"row.{c}").alias(c) for c in others])
-        .select(*batch.columns),
-        "batch",
+    rows = written(batch.groupBy(*content).agg(arrived.alias(ARRIVED)), "batch")
+    if rows.isEmpty():
+        return None
+    rows.select(content).limit(0).write.mode("append").partitionBy("claim_year").parquet(target)  # the folder
+    held = batch.sparkSession.read.schema(rows.select(content).schema).parquet(target).select(content)
+    # The stored side is large and its ids are only scanned: a batch that is
+    # small enough is broadcast to it. Whole rows are read of the years found.
+    ids = rows.select(F.col("claim_id").alias("id")).distinct()
+    found = written(
+        held.select("claim_id", "claim_year").join(ids, F.col("claim_id").eqNullSafe(F.col("id")), "left_semi"), "found"
     )
-    # One row per calendar year; prunes the stored folders to those years.
-    years = [r["claim_year"] for r in single.select("claim_year").distinct().collect()]
-    if not years:
-        return
-    single.limit(0).write.mode("append").partitionBy("claim_year").parquet(target)  # the folder
-    held = batch.sparkSession.read.schema(batch.schema).parquet(target)
-    # The stored side is large and is only scanned: a batch that is small
-    # enough is broadcast to it, and what it finds is smaller still.
-    key = ["claim_id", "claim_year"]
-    known = held.where(F.col("claim_year").isin(years)).select(*key).join(
-        single.select(*key), key, "left_semi"
+    years = [r["claim_year"] for r in found.select("claim_year").distinct().collect()]
+    known = found.select(F.col("claim_id").alias("known_id"), F.lit(True).alias("known")).distinct()
+    stored = held.where(F.col("claim_year").isin(years)).select(*[F.col(c).alias(f"_held_{c}") for c in content])
+    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in content]
+    order = F.struct(ARRIVED, *[c for c in content if c != "claim_id"])
+    first = rows.groupBy(F.col("claim_id").alias("first_id")).agg(F.min(order).alias("first"))
+    left = written(
+        rows.join(stored, same, "left_anti")
+        .join(known, F.col("claim_id").eqNullSafe(F.col("known_id")), "left")
+        .join(first, F.col("claim_id").eqNullSafe(F.col("first_id")))
+        .withColumn("new", F.col("known").isNull() & order.eqNullSafe(F.col("first")))
+        .select(*content, ARRIVED, "new"),
+        "sorted",
     )
-    single.join(known, key, "left_anti").select(*batch.columns).write.mode("append").partitionBy(
-        "claim_year"
-    ).parquet(target)
+    return left.where("new").select(content), left.where("not new").select(batch.columns)
+
+
+def append_new_claims(batch: DataFrame, target: str, aside: Callable[[DataFrame | None], None] | None = None) -> None:
+    """Append the claims of ``batch`` that ``target`` does not hold yet.
+
+    Several equal rows become one. A claim is known by its id alone: a row that
+    differs from the stored one of its id, or from the one that arrived first,
+    is not stored but handed to ``aside`` (called before anything is stored,
+    with None for a batch without rows); without it such rows stop the run.
+    Comparing with all that is stored, rather than remembering keys for a
+    while, has no horizon: a claim may arrive any time later, and a batch that
+    is run again after a failure adds nothing twice.
+    """
+    found = _sorted_out(batch, target)
+    if aside:
+        aside(found and found[1])
+    elif found and not found[1].isEmpty():
+        raise RejectedClaims("rows differ from an earlier row with the same claim_id")
+    if found:
+        found[0].write.mode("append").partitionBy("claim_year").parquet(target)
 
 
 def ingest(
@@ -77,8 +100,9 @@ def ingest(
 ) -> StreamingQuery:
     """Process what has arrived and stop; a restart goes on from ``checkpoint``.
 
-    Rows that do not parse or whose day is not in the calendar go to
-    ``rejects``, one folder per batch; without that folder they stop the run.
+    Rows that do not parse, whose day is not in the calendar or that differ from
+    an earlier row with their id go to ``rejects``, one folder per batch; without
+    that folder they stop the run.
     """
     years = dates.select("date_key", F.col("year").alias("claim_year"))
 
@@ -89,11 +113,14 @@ def ingest(
         if BAD_ROW in arrived.columns:
             bad = bad | F.col(BAD_ROW).isNotNull()
         refused = arrived.where(bad)
-        if rejects:
-            refused.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
-        elif not refused.isEmpty():
+
+        def aside(conflicts: DataFrame | None) -> None:
+            every = refused if conflicts is None else refused.unionByName(conflicts, allowMissingColumns=True)
+            every.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+
+        if not rejects and not refused.isEmpty():
             raise RejectedClaims(f"batch {number} has rows that cannot be stored")
-        append_new_claims(arrived.where(~bad).drop(BAD_ROW), target)
+        append_new_claims(arrived.where(~bad).drop(BAD_ROW), target, aside if rejects else None)
 
     return (
         claims.writeStream.foreachBatch(store)

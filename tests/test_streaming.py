@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 
@@ -57,6 +58,34 @@ def test_ingest_sets_rejects_aside(spark, tmp_path):
     assert set(refused) == {"B", "C"} and refused["B"] is None and "many" in refused["C"]
 
 
+@pytest.mark.parametrize("files", [1, 1000])
+def test_ingest_sets_other_rows_of_an_id_aside(spark, tmp_path, files):
+    """The same rows are stored and refused, however the files are cut into batches."""
+    inbox, target, rejects = tmp_path / "in", str(tmp_path / "claims"), str(tmp_path / "rejects")
+    inbox.mkdir()
+    dates = date_dim(spark, "2022-01-01", "2023-12-31")
+    a = dict(claim_id="A", date_key=400)
+    arriving = [[a, a], [dict(claim_id="A", date_key=1), dict(claim_id="B", date_key=1)], [a],
+                [dict(claim_id="B", date_key=1, claim_amount=7), dict(claim_id="C", date_key=2)]]
+    for i, claims in enumerate(arriving):
+        _drop(inbox, f"{9 - i}.csv", *claims)
+        os.utime(inbox / f"{9 - i}.csv", (1_700_000_000 + i,) * 2)
+
+    def run(state, **kw):
+        stream = ingest.claim_files(spark, str(inbox), files)
+        ingest.ingest(stream, dates, target, str(tmp_path / state), **kw).awaitTermination()
+        return sorted((r["claim_id"], r["claim_year"], r["claim_amount"]) for r in rows(spark.read.parquet(target)))
+
+    if files > 1:
+        with pytest.raises(Exception, match="same claim_id"):
+            run("strict")
+    kept = [("A", 2023, 1000), ("B", 2022, 1000), ("C", 2022, 1000)]
+    for state in ("one", "again"):
+        assert run(state, rejects=f"{rejects}-{state}") == kept
+        refused = rows(spark.read.parquet(f"{rejects}-{state}"))
+        assert sorted((r["claim_id"], r["claim_year"], r["claim_amount"]) for r in refused) == [("A", 2022, 1000), ("B", 2022, 7)]
+
+
 def test_ingest_adds_an_empty_batch(spark, tmp_path):
     schema = spark.createDataFrame([], "claim_id string, claim_year int, amount long")
     ingest.append_new_claims(schema, str(tmp_path / "t"))
