@@ -169,6 +169,9 @@ def identified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang
 
 
 def with_language(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are in some language, as they are: those predicted ``und`` go."""
+    """The rows of ``docs`` that are in some language, as they are: those predicted ``und`` go, and so
+    do those of score 0, which have no n-gram in common with any learned language.
+    """
     rows, name, back = aliased(docs)
-    return back(identified(rows, name[doc_id], name[text], name[lang]).where(F.col("lang_pred") != UNKNOWN))
+    found = identified(rows, name[doc_id], name[text], name[lang])
+    return back(found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)))

@@ -21,7 +21,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are in some language: those without a text or a letter go."""
+    """The documents that are in some language: those without a text or a letter, or with nothing of a learned one, go."""
     return with_language(docs)
 
 

@@ -223,6 +223,12 @@ def test_names_alone_remove_no_part_of_an_article():
     assert shown("<body><div class=related><p>Other text.</div><p>a") == "a"
 
 
+def test_language_stage_rejects_what_shares_nothing(spark):
+    rows = [(i, "the other one and the other thing", "en") for i in range(9)] + [(20, "这是中文", None), (21, "12 !", "en"), (22, None, "en"), (23, "zzz the", None)]
+    kept = rank_order.with_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(9), 23]
+
+
 def test_interleave(docs, rows):
     for shards in (1, 8, 200):
         got = interleave.interleave(docs, shards).collect()
