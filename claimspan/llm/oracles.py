@@ -73,9 +73,37 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM pairs WHERE same)
+  WHERE place <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+         n.score AS negative_score, p.place AS positive_rank,
+         row_number() OVER (PARTITION BY p.r, p.place ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives AS p JOIN pairs AS n ON p.r = n.r AND NOT n.same
+  WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score,
+       CAST(positive_rank AS INTEGER) AS positive_rank
+FROM negatives WHERE place <= 10
+"""
+
 SQL = {
     "op1_line_dedup": LINES,
     "op6_decontaminate": PASSAGES,
     "op8_bit_sliced": TOP_K,
     "op10_near_dup": NEAR_DUPLICATES,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

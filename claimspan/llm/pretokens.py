@@ -28,8 +28,8 @@ def _class_of() -> np.ndarray:
     """For each code point: white space, letter, number or other, as the pattern sees it."""
     if not _classes:
         kind = np.full(0x110000, _OTHER, np.uint8)
-        points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-        every = "".join(map(chr, points))
+        points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)])
+        every = points.astype("<u4").tobytes().decode("utf-32-le")
         for name, number in ((r"\s", _SPACE), (r"\p{L}", _LETTER), (r"\p{N}", _NUMBER)):
             found = "".join(regex.findall(name + "+", every))
             kind[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = number

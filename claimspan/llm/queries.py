@@ -7,15 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimspan.llm.align_tokens import link_scores
 from claimspan.llm.bit_sliced import top_k
 from claimspan.llm.common import read
 from claimspan.llm.decontaminate import contaminated, passages
+from claimspan.llm.hard_negatives import mine
 from claimspan.llm.interleave import interleave
 from claimspan.llm.line_dedup import without_common_lines
 from claimspan.llm.main_text import main_text
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
 from claimspan.llm.oracles import SQL
+from claimspan.llm.piece_bpe import decoded, encoded
 from claimspan.llm.rank_order import held_out, identified
 from claimspan.llm.token_counts import token_counts
 from claimspan.llm.token_files import ids_crc32, stored_tokens
@@ -23,12 +26,13 @@ from claimspan.llm.token_files import ids_crc32, stored_tokens
 #: The public tokenizer that the contracts of the token operators name, and the id it ends documents with there.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+PIECES = "piece_bpe_32k.model"
 
 
-def _tokenizer() -> str:
+def _tokenizer(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +99,47 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _tokenizer(PIECES)
+    found = decoded(encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    spelled = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(spelled.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = link_scores(docs, _tokenizer(), _tokenizer(PIECES))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_main_text, op4_interleave, op5_token_files, op6_decontaminate, op7_rank_order, op8_bit_sliced, op9_mixture, op10_near_dup)}
+    every = (
+        op1_line_dedup,
+        op2_token_counts,
+        op3_main_text,
+        op4_interleave,
+        op5_token_files,
+        op6_decontaminate,
+        op7_rank_order,
+        op8_bit_sliced,
+        op9_mixture,
+        op10_near_dup,
+        op11_hard_negatives,
+        op12_piece_bpe,
+        op13_token_alignment,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -28,8 +28,13 @@ from claimspan.llm.words import hashes_of
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-#: Distinct pre-tokens whose ids a worker keeps, twice.
-HELD = 300_000
+#: Bytes of pre-tokens and their ids that a worker keeps, about, twice; long pre-tokens are not kept.
+HELD_BYTES = 32 << 20
+_LONG = 48
+#: Bytes an entry takes besides its text and its ids, about.
+_ENTRY = 200
+#: Pre-tokens that the library encodes in one call.
+_TOGETHER = 4_096
 
 _FILE = "part int, start_in_part long, n_tokens long, ids array<int>"
 
@@ -41,25 +46,38 @@ class _Encoder:
     distinct ones become strings, and only those not met lately are encoded.
     """
 
-    def __init__(self, path: str):
-        self.made, self.specials = open_tokenizer(path)
+    def __init__(self, path: str, specials: bool = True):
+        self.made, found = open_tokenizer(path)
+        self.specials = found if specials else []
+        self.made.encode_special_tokens = not specials
         self.split = splitter(self.specials)
         self.held: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.size = 0
         self.values = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, 0x110000, dtype=np.uint64)
 
     def ids_of(self, pre: list[str]) -> list[bytes]:
-        if len(self.held) > HELD:  # what is still in use comes back from the older ones
-            self.held, self.older = {}, self.held
-        held, older = self.held, self.older
-        new = list({p for p in pre if p not in held})
-        for p in new:
-            if p in older:
-                held[p] = older[p]
-        fresh = [p for p in new if p not in held]
-        for p, e in zip(fresh, self.made.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            held[p] = array("I", e.ids).tobytes()
-        return [held[p] for p in pre]
+        if self.size > HELD_BYTES:  # what is still in use comes back from the older ones
+            self.held, self.older, self.size = {}, self.held, 0
+        held, older, now = self.held, self.older, {}
+        fresh = []
+        for p in set(pre):
+            ids = held.get(p) or older.get(p)
+            if ids is None:
+                fresh.append(p)
+            else:
+                self._keep(now, p, ids)
+        for at in range(0, len(fresh), _TOGETHER):
+            some = fresh[at : at + _TOGETHER]
+            for p, e in zip(some, self.made.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self._keep(now, p, array("I", e.ids).tobytes())
+        return [now[p] for p in pre]
+
+    def _keep(self, now: dict[str, bytes], p: str, ids: bytes) -> None:
+        now[p] = ids
+        if len(p) <= _LONG and p not in self.held:
+            self.held[p] = ids
+            self.size += len(p) + len(ids) + _ENTRY
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out = [b""] * len(texts)
@@ -93,8 +111,9 @@ class _Encoder:
 
 
 @cache
-def _encoder(path: str) -> _Encoder:
-    return _Encoder(path)
+def encoder(path: str, specials: bool = True) -> _Encoder:
+    """The encoder of a tokenizer file, once per worker; without ``specials`` their strings in texts are plain text."""
+    return _Encoder(path, specials)
 
 
 def write_tokens(
@@ -114,8 +133,8 @@ def write_tokens(
     last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "_text", 2 << 20):
+        encode, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        for batch in chunks(batches, "_text"):
             coded = [b + last for b in encode(batch.column("_text").to_pylist())]
             n = np.array([len(b) // 4 for b in coded], np.int64)
             ends = np.concatenate([[0], np.cumsum(n)])

@@ -22,14 +22,18 @@ _LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).asty
 _BASE = 0x9E3779B97F4A7C15 | 1
 _VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
+#: Powers that a worker keeps; longer sequences have theirs made anew.
+_KEPT_POWERS = 1 << 20
 
 
 def _power(base: int, n: int) -> np.ndarray:
     known = _powers.get(str(base))
     if known is None or len(known) < n:
-        known = np.cumprod(np.full(max(n, 1 << 16), base, np.uint64))
-        known = np.concatenate([np.ones(1, np.uint64), known[:-1]])
-        _powers[str(base)] = known
+        known = np.full(max(n, 1 << 16), base, np.uint64)
+        known[0] = 1
+        np.cumprod(known, out=known)
+        if len(known) <= _KEPT_POWERS:
+            _powers[str(base)] = known
     return known[:n]
 
 
