@@ -1,8 +1,9 @@
 """Per-patient claim sequences: trailing counts, running totals, rising runs.
 
-Each function takes the usual way (one window per patient) for ordinary
-patients, and a way that spreads a patient over many tasks for those with more
-than ``max_group_rows`` claims. Both give the same rows.
+Trailing counts are taken over one row per patient and day. The others take the
+usual way (one window per patient) for ordinary patients, and a way that spreads
+a patient over many tasks for those with more than ``max_group_rows`` claims.
+Both give the same rows.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from claimspan.operators.groups import MAX_GROUP_ROWS, hot_keys, null_safe_join,
 from claimspan.operators.ordered import sliced_running_sums
 from claimspan.sources.scratch import written
 
-# A trailing window re-reads its frame for every row, so it gets a lower bound.
-MAX_TRAILING_ROWS = 20_000
 _BLOCK = 4096
 
 
@@ -23,30 +22,23 @@ def _day(column: str):
     return F.unix_date(F.col(column)).cast("long")
 
 
-def trailing_count(
-    claims: DataFrame,
-    key: str,
-    date: str,
-    days: int,
-    name: str,
-    max_group_rows: int = MAX_TRAILING_ROWS,
-) -> DataFrame:
-    """Add the number of rows of the same key in the ``days`` days up to and
-    including the row's day (all rows of that day count)."""
+def trailing_days(claims: DataFrame, key: str, date: str, days: int, name: str) -> DataFrame:
+    """(key, date, number of rows of the key in the ``days`` days up to and including the date), one row per day.
+
+    The count depends on the day alone. Rows are combined to one per day before
+    the shuffle, so a key has no more rows than the calendar has days, however
+    many claims it has.
+    """
+    daily = claims.groupBy(key, date).agg(F.count(F.lit(1)).alias(name))
     w = Window.partitionBy(key).orderBy(_day(date)).rangeBetween(-days, 0)
-    heavy = hot_keys(claims, key, max_group_rows)
-    if heavy is None:
-        return claims.withColumn(name, F.count(F.lit(1)).over(w))
+    return daily.select(key, date, F.sum(name).over(w).alias(name))
 
-    usual, rows = split(claims, heavy, key)
-    usual = usual.withColumn(name, F.count(F.lit(1)).over(w))
-    # The count depends on the day alone: combine to one row per day first, so
-    # a key has no more rows than the calendar has days.
-    daily = rows.groupBy(key, date).agg(F.count(F.lit(1)).alias("_n"))
-    counted = written(
-        daily.select(key, date, F.sum("_n").over(w).alias(name)), "trailing-counts"
-    )
-    return usual.unionByName(null_safe_join(rows, counted, [key, date]).select(*usual.columns))
+
+def trailing_count(claims: DataFrame, key: str, date: str, days: int, name: str) -> DataFrame:
+    """Add the number of rows of the same key in the ``days`` days up to and
+    including the row's day (all rows of that day count)."""
+    counted = trailing_days(claims, key, date, days, name)
+    return null_safe_join(claims, counted, [key, date])
 
 
 def running_totals(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimspan.functions.numeric import mean
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import MAX_GROUP_ROWS
-from claimspan.operators.timeline import MAX_TRAILING_ROWS, next_two, trailing_count
+from claimspan.operators.timeline import next_two, trailing_days
 from claimspan.plans import fixed, top
 from claimspan.sources.scratch import written
 
@@ -18,29 +18,30 @@ def frequent_claims(
     days: int = fixed.FREQUENT_DAYS,
     medium: int = fixed.FREQUENT_MEDIUM,
     high: int = fixed.FREQUENT_HIGH,
-    max_group_rows: int = MAX_TRAILING_ROWS,
 ) -> DataFrame:
     """Claims that have at least ``medium`` claims of their patient in the
-    trailing ``days`` days, themselves included."""
+    trailing ``days`` days, themselves included.
+
+    All claims of a patient count, those without a known hospital too. Claims
+    without a patient are nobody's.
+    """
     timeline = (
         m.dated_claims("full_date")
-        .where(F.col("patient_id").isNotNull() & F.col("provider_id").isNotNull())
-        .select(
-            "patient_id",
-            "claim_id",
-            F.col("full_date").alias("claim_date"),
-            "claim_amount",
-            "diagnosis_name",
-            "provider_id",
-        )
-    )
-    counted = trailing_count(
-        timeline, "patient_id", "claim_date", days, "claims_in_90_days", max_group_rows
+        .where(F.col("patient_id").isNotNull())
+        .withColumnRenamed("full_date", "claim_date")
     )
     n = F.col("claims_in_90_days")
-    return counted.where(n >= medium).withColumn(
-        "fraud_risk_level",
-        F.when(n >= high, fixed.HIGH_RISK).otherwise(fixed.MEDIUM_RISK),
+    # Only patients' days with enough claims meet the claims again.
+    frequent = (
+        trailing_days(timeline.select("patient_id", "claim_date"), "patient_id", "claim_date", days, "claims_in_90_days")
+        .where(n >= medium)
+        .join(m.patients.select("patient_id"), "patient_id", "left_semi")
+    )
+    return (
+        timeline.select("patient_id", "claim_id", "claim_date", "claim_amount", "diagnosis_name", "provider_id")
+        .join(frequent, ["patient_id", "claim_date"])
+        .select("patient_id", "claim_id", "claim_date", "claim_amount", "diagnosis_name", "provider_id", "claims_in_90_days")
+        .withColumn("fraud_risk_level", F.when(n >= high, fixed.HIGH_RISK).otherwise(fixed.MEDIUM_RISK))
     )
 
 
@@ -50,7 +51,6 @@ def fraud_frequency_90d(
     medium: int = fixed.FREQUENT_MEDIUM,
     high: int = fixed.FREQUENT_HIGH,
     limit: int | None = 100,
-    max_group_rows: int = MAX_TRAILING_ROWS,
 ) -> DataFrame:
     """The most frequent claimants' claims, with patient and hospital."""
     order = [
@@ -58,14 +58,9 @@ def fraud_frequency_90d(
         F.col("claim_amount").desc_nulls_first(),
         F.col("claim_id").asc(),
     ]
-    # Claims of unknown patients or hospitals have no place in the report, so
-    # they go before the cut; only the kept claims are described. The counts
-    # are partitioned by patient already, and hospitals are joined on the map side.
-    known = (
-        frequent_claims(m, days, medium, high, max_group_rows)
-        .join(m.patients.select("patient_id"), "patient_id", "left_semi")
-        .join(m.providers.select("provider_id"), "provider_id", "left_semi")
-    )
+    # Claims of unknown hospitals count, but have no place in the report: they
+    # go before the cut, on the map side. Only the kept claims are described.
+    known = frequent_claims(m, days, medium, high).join(m.providers.select("provider_id"), "provider_id", "left_semi")
     kept = top(known, order, limit)
     return (
         kept.join(m.patients.select("patient_id", "age", "city", "chronic_condition"), "patient_id")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimspan.functions.measures import measure
 from claimspan.operators import quality
 from claimspan.plans import finance, fraud
+from claimspan.plans.datasets import DATASETS
 from claimspan.schema import TABLES
 from claimspan.sources.tables import read_with_rejects
 from claimspan.streaming import ingest
@@ -32,6 +33,16 @@ def test_cut_rows_are_those_of_known_references(star, name):
     assert rows(REPORTS[name](m, 7)) == every[:7]
 
 
+def test_claims_without_a_hospital_count(star, make_model):
+    """The 90 days hold all claims of a patient; only the report leaves out those without a known hospital or patient."""
+    m = make_model([{"day": d, "provider_id": h} for d, h in ((0, None), (1, "H1"), (2, None), (3, "H1"))] + [{"patient_id": None}] * 4)
+    assert [r["claims_in_90_days"] for r in rows(fraud.fraud_frequency_90d(m))] == [4]
+    assert [(r["flagged_claims"], r["most_in_90_days"]) for r in rows(DATASETS["high_frequency_claimants"](m))] == [(2, 4)]
+    holes = replace(star, claims=star.claims.withColumn("provider_id", F.expr("if(claim_amount % 3 = 0, null, provider_id)")))
+    counts = lambda x: {r["claim_id"]: r["claims_in_90_days"] for r in rows(fraud.frequent_claims(x))}
+    assert counts(holes) == counts(star)
+
+
 def test_means_are_over_known_amounts(make_model):
     m = make_model([{"claim_amount": a} for a in (100, None, 300, None)])
     assert rows(measure(m, ["avg_claim", "total_claims"])) == [{"avg_claim": 200.0, "total_claims": 4}]

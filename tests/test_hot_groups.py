@@ -53,9 +53,9 @@ def test_hot_keys(claims):
 @pytest.mark.parametrize("table", ["claims", "one_day", "gaps"])
 def test_trailing_count(request, table):
     df = request.getfixturevalue(table)
-    plain = timeline.trailing_count(df, "patient_id", "day", 90, "n")
-    spread = timeline.trailing_count(df, "patient_id", "day", 90, "n", max_group_rows=200)
-    assert len(same(plain, spread)) == 1500
+    w = Window.partitionBy("patient_id").orderBy(F.unix_date("day").cast("long")).rangeBetween(-90, 0)
+    plain = df.withColumn("n", F.count("*").over(w))
+    assert len(same(plain, timeline.trailing_count(df, "patient_id", "day", 90, "n"))) == 1500
 
 
 @pytest.mark.parametrize("table", ["claims", "one_day", "gaps"])
@@ -166,7 +166,6 @@ def test_percent_rank(claims):
 
 
 def test_reports_agree_either_way(star):
-    same(fraud.fraud_frequency_90d(star), fraud.fraud_frequency_90d(star, max_group_rows=30))
     same(fraud.claim_escalation(star), fraud.claim_escalation(star, max_group_rows=30, slices=4))
     same(cohort.patient_running_total(star, None),
          cohort.patient_running_total(star, None, max_group_rows=30, slices=4))

@@ -106,8 +106,14 @@ def test_windows_of_one_key_share_a_shuffle(stored):
 
 
 def test_hot_branch_appears_only_when_needed(stored):
-    assert "Union" not in plan(fraud.frequent_claims(stored))
-    assert "Union" in plan(fraud.frequent_claims(stored, max_group_rows=30))
+    assert "Union" not in plan(fraud.claim_escalation(stored))
+    assert "Union" in plan(fraud.claim_escalation(stored, max_group_rows=30))
+
+
+def test_trailing_counts_are_taken_over_combined_days(stored):
+    text = plan(fraud.frequent_claims(stored))
+    window = text[text.index("Window ["):]
+    assert window.index("HashAggregate") < window.index("fact_claims")
 
 
 def test_small_lookups_are_broadcast_by_size(stored, spark):
