@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``written`` whose tables are deleted at the end of the ``with`` block.
+
+    For work that is done by then: a DataFrame that is still to be read must not
+    depend on them.
+    """
+    root = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+
+    def store(df: DataFrame, label: str) -> DataFrame:
+        path = f"{root}/{label}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield store
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(root)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

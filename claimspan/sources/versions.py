@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 POINTER = "CURRENT"
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
@@ -17,7 +18,7 @@ def _files(spark: SparkSession, path: str):
 
 def current(spark: SparkSession, root: str) -> str:
     """The folder of the published version under ``root``; ``root`` itself if it has no versions."""
-    fs, pointer = _files(spark, f"{root}/{POINTER}")
+    fs, pointer = files_of(spark, f"{root}/{POINTER}")
     if not fs.exists(pointer):
         return root
     return f"{root}/{spark.read.text(f'{root}/{POINTER}').first()[0]}"
@@ -34,7 +35,7 @@ def publish(spark: SparkSession, root: str, version: str) -> None:
     The last version stays, for readers that have begun with it.
     """
     last = current(spark, root)
-    fs, fresh = _files(spark, f"{root}/{POINTER}.{uuid.uuid4().hex}")
+    fs, fresh = files_of(spark, f"{root}/{POINTER}.{uuid.uuid4().hex}")
     out = fs.create(fresh, True)
     out.write(bytearray(version.rsplit("/", 1)[-1].encode()))
     out.close()
@@ -42,9 +43,9 @@ def publish(spark: SparkSession, root: str, version: str) -> None:
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
     over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fresh, _files(spark, f"{root}/{POINTER}")[1], over)
+    context.rename(fresh, files_of(spark, f"{root}/{POINTER}")[1], over)
     keep = {version.rsplit("/", 1)[-1], last.rsplit("/", 1)[-1]}
-    for status in fs.listStatus(_files(spark, root)[1]):
+    for status in fs.listStatus(files_of(spark, root)[1]):
         name = status.getPath().getName()
         if name.startswith("version=") and name not in keep:
             fs.delete(status.getPath(), True)
@@ -52,5 +53,5 @@ def publish(spark: SparkSession, root: str, version: str) -> None:
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there."""
-    fs, where = _files(spark, path)
+    fs, where = files_of(spark, path)
     fs.delete(where, True)

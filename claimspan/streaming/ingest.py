@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from claimspan.schema import TABLES
-from claimspan.sources.scratch import written
+from claimspan.model import ClaimsModel
+from claimspan.operators.quality import value_rules
+from claimspan.schema import FOREIGN_KEYS, TABLES
+from claimspan.sources.scratch import released
+from claimspan.streaming.id_index import IdIndex, digest
 
+_Store = Callable[[DataFrame, str], DataFrame]
 
 BAD_ROW = "_bad_row"
+#: Why a row was refused.
+REASONS = "_reasons"
 #: When and with which file a row arrived.
 ARRIVED = "_arrived"
 
@@ -38,37 +45,28 @@ def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) ->
     )
 
 
-def _sorted_out(batch: DataFrame, target: str) -> tuple[DataFrame, DataFrame] | None:
-    """The rows of ``batch`` that ``target`` lacks, and those that contradict it or an earlier row; None without rows."""
-    content = [c for c in batch.columns if c != ARRIVED]
+def _sorted_out(batch: DataFrame, index: IdIndex, store: _Store) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of ``batch`` that are new, and those that contradict a stored or an earlier row; None without rows."""
+    content = [c for c in batch.columns if c not in (ARRIVED, REASONS)]
     arrived = F.min(ARRIVED) if ARRIVED in batch.columns else F.lit(0)
     # Stored: the batch is used several times, and its size becomes known.
-    rows = written(batch.groupBy(*content).agg(arrived.alias(ARRIVED)), "batch")
+    rows = store(batch.groupBy(*content).agg(arrived.alias(ARRIVED)).withColumn("_digest", digest(content)), "batch")
     if rows.isEmpty():
         return None
-    rows.select(content).limit(0).write.mode("append").partitionBy("claim_year").parquet(target)  # the folder
-    held = batch.sparkSession.read.schema(rows.select(content).schema).parquet(target).select(content)
-    # The stored side is large and its ids are only scanned: a batch that is
-    # small enough is broadcast to it. Whole rows are read of the years found.
-    ids = rows.select(F.col("claim_id").alias("id")).distinct()
-    found = written(
-        held.select("claim_id", "claim_year").join(ids, F.col("claim_id").eqNullSafe(F.col("id")), "left_semi"), "found"
-    )
-    years = [r["claim_year"] for r in found.select("claim_year").distinct().collect()]
-    known = found.select(F.col("claim_id").alias("known_id"), F.lit(True).alias("known")).distinct()
-    stored = held.where(F.col("claim_year").isin(years)).select(*[F.col(c).alias(f"_held_{c}") for c in content])
-    same = [F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in content]
+    index.repair(content)
+    known = store(index.lookup(rows), "known").select(F.col("claim_id").alias("known_id"), "digests")
     order = F.struct(ARRIVED, *[c for c in content if c != "claim_id"])
     first = rows.groupBy(F.col("claim_id").alias("first_id")).agg(F.min(order).alias("first"))
-    left = written(
-        rows.join(stored, same, "left_anti")
-        .join(known, F.col("claim_id").eqNullSafe(F.col("known_id")), "left")
+    left = store(
+        rows.join(known, F.col("claim_id").eqNullSafe(F.col("known_id")), "left")
+        .where(F.col("digests").isNull() | ~F.array_contains("digests", F.col("_digest")))
         .join(first, F.col("claim_id").eqNullSafe(F.col("first_id")))
-        .withColumn("new", F.col("known").isNull() & order.eqNullSafe(F.col("first")))
+        .withColumn("new", F.col("digests").isNull() & order.eqNullSafe(F.col("first")))
         .select(*content, ARRIVED, "new"),
         "sorted",
     )
-    return left.where("new").select(content), left.where("not new").select(batch.columns)
+    refused = left.where("not new").withColumn(REASONS, F.array(F.lit("differs from an earlier row of its claim_id")))
+    return left.where("new").select(content), refused.select(*[c for c in batch.columns if c != REASONS], REASONS)
 
 
 def append_new_claims(batch: DataFrame, target: str, aside: Callable[[DataFrame | None], None] | None = None) -> None:
@@ -80,15 +78,37 @@ def append_new_claims(batch: DataFrame, target: str, aside: Callable[[DataFrame
     with None for a batch without rows); without it such rows stop the run.
     Comparing with all that is stored, rather than remembering keys for a
     while, has no horizon: a claim may arrive any time later, and a batch that
-    is run again after a failure adds nothing twice.
+    is run again after a failure adds nothing twice. The comparison opens the
+    matching buckets of the id index, not the fact.
     """
-    found = _sorted_out(batch, target)
-    if aside:
-        aside(found and found[1])
-    elif found and not found[1].isEmpty():
-        raise RejectedClaims("rows differ from an earlier row with the same claim_id")
-    if found:
-        found[0].write.mode("append").partitionBy("claim_year").parquet(target)
+    index = IdIndex(batch.sparkSession, target)
+    with released(batch.sparkSession) as store:
+        found = _sorted_out(batch, index, store)
+        if aside:
+            aside(found and found[1])
+        elif found and not found[1].isEmpty():
+            raise RejectedClaims("rows differ from an earlier row with the same claim_id")
+        if found:
+            new = found[0]
+            index.append(new, new.columns)
+
+
+def _reasons(batch: DataFrame, dims: ClaimsModel | None) -> DataFrame:
+    """``batch`` with ``_reasons``: why a row cannot be stored, empty where it can."""
+    checks = [F.when(F.col("claim_year").isNull(), F.lit("unknown day"))]
+    if BAD_ROW in batch.columns:
+        checks.append(F.when(F.col(BAD_ROW).isNotNull(), F.lit("unreadable")))
+    if dims:
+        tables = dims.tables()
+        for key, table in FOREIGN_KEYS.items():
+            if key == "date_key":
+                continue
+            known = tables[table].select(F.col(key).alias(f"_known_{key}")).distinct()
+            batch = batch.join(known, F.col(key) == F.col(f"_known_{key}"), "left")
+            checks.append(F.when(F.col(key).isNotNull() & F.col(f"_known_{key}").isNull(), F.lit(f"unknown {key}")))
+        checks += [F.when(broken, F.lit(rule)) for rule, broken in value_rules("fact_claims").items()]
+    columns = [c for c in batch.columns if not c.startswith("_known_")]
+    return batch.select(*columns, F.array_compact(F.array(*checks)).alias(REASONS))
 
 
 def ingest(
@@ -97,33 +117,39 @@ def ingest(
     target: str,
     checkpoint: str,
     rejects: str | None = None,
+    dims: ClaimsModel | None = None,
 ) -> StreamingQuery:
     """Process what has arrived and stop; a restart goes on from ``checkpoint``.
 
     Rows that do not parse, whose day is not in the calendar or that differ from
-    an earlier row with their id go to ``rejects``, one folder per batch; without
-    that folder they stop the run.
+    an earlier row with their id go to ``rejects`` with their ``_reasons``, one
+    folder per query and batch; without that folder they stop the run. With
+    ``dims``, so do rows that refer to an unknown patient, hospital or policy, or
+    break a value rule of the fact.
     """
     years = dates.select("date_key", F.col("year").alias("claim_year"))
 
-    def store(batch: DataFrame, number: int) -> None:
-        # Stored with all columns: a query on a few would parse only those.
-        arrived = written(batch.join(years, "date_key", "left").select(*batch.columns, "claim_year"), "arrived")
-        bad = F.col("claim_year").isNull()
-        if BAD_ROW in arrived.columns:
-            bad = bad | F.col(BAD_ROW).isNotNull()
-        refused = arrived.where(bad)
-
-        def aside(conflicts: DataFrame | None) -> None:
-            every = refused if conflicts is None else refused.unionByName(conflicts, allowMissingColumns=True)
-            every.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
-
-        if not rejects and not refused.isEmpty():
-            raise RejectedClaims(f"batch {number} has rows that cannot be stored")
-        append_new_claims(arrived.where(~bad).drop(BAD_ROW), target, aside if rejects else None)
+    def keep(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        with released(spark) as store:
+            # Stored with all columns: a query on a few would parse only those.
+            dated = batch.join(years, "date_key", "left").select(*batch.columns, "claim_year")
+            arrived = store(_reasons(dated, dims), "arrived")
+            bad = F.size(REASONS) > 0
+            refused = arrived.where(bad)
+            # A checkpoint that is begun anew counts from 0 again, but has another id.
+            query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+            def aside(conflicts: DataFrame | None) -> None:
+                every = refused if conflicts is None else refused.unionByName(conflicts, allowMissingColumns=True)
+                every.write.mode("overwrite").parquet(f"{rejects}/query={query}/batch={number}")
+
+            if not rejects and not refused.isEmpty():
+                raise RejectedClaims(f"batch {number} has rows that cannot be stored")
+            append_new_claims(arrived.where(~bad).drop(BAD_ROW, REASONS), target, aside if rejects else None)
 
     return (
-        claims.writeStream.foreachBatch(store)
+        claims.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

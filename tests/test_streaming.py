@@ -1,11 +1,14 @@
 import datetime as dt
+import glob
 import os
 
 import pytest
 
 from claimspan.schema import TABLES
 from claimspan.sources.calendar import date_dim
-from claimspan.streaming import alerts, ingest
+from claimspan.sources.scratch import shared_folder
+from claimspan.streaming import alerts, daily_counts, ingest
+from claimspan.streaming.id_index import IdIndex
 from tests.conftest import CLAIM, rows
 
 
@@ -107,3 +110,160 @@ def test_alerts_count_closed_windows(spark, tmp_path):
     got = sorted((r["before_day"], r["claims"]) for r in rows(spark.read.parquet(out)))
     # Windows of three days end before day 3 (days 0-2) and day 4 (days 1-3).
     assert got == [(dt.date(2022, 1, 4), 4), (dt.date(2022, 1, 5), 3)]
+
+
+def _ids(spark, target):
+    return sorted(r["claim_id"] for r in rows(spark.read.parquet(target)))
+
+
+def _claims(spark, ids, **kw):
+    row = {"amount": 1, "claim_year": 2022, **kw}
+    return spark.createDataFrame([(i, row["amount"], row["claim_year"]) for i in ids], "claim_id string, amount long, claim_year int")
+
+
+def test_a_batch_opens_its_own_buckets_of_the_index(spark, tmp_path):
+    target = str(tmp_path / "t")
+    ingest.append_new_claims(_claims(spark, [f"C{i}" for i in range(3000)]), target)
+    index = IdIndex(spark, target)
+    size = lambda files: sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+    every = spark.read.parquet(index.entries).inputFiles()
+    asked = _claims(spark, ["C7", "C8", "new"])
+    opened = index.files(asked).inputFiles()
+    assert 0 < len(opened) <= 3 and size(opened) < size(every) / 15
+    assert {r["claim_id"] for r in rows(index.lookup(asked))} == {"C7", "C8"}
+    assert "PushedFilters: [In(id_hash" in index.lookup(asked)._jdf.queryExecution().toString()
+    ingest.append_new_claims(asked, target)
+    ingest.append_new_claims(_claims(spark, ["C9", None, None], amount=1), target)
+    assert len(_ids_or_null(spark, target)) == 3002
+    # the fact is not read to know what it holds
+    known = index.lookup(_claims(spark, [None]))
+    assert [r["claim_id"] for r in rows(known)] == [None]
+    with pytest.raises(ingest.RejectedClaims):
+        ingest.append_new_claims(_claims(spark, ["C9"], amount=2), target)
+
+
+def _ids_or_null(spark, target):
+    return [r["claim_id"] for r in rows(spark.read.parquet(target))]
+
+
+@pytest.mark.parametrize("stop", ["enter", "append", "unmark"])
+def test_an_append_that_broke_off_is_mended(spark, tmp_path, monkeypatch, stop):
+    target = str(tmp_path / "t")
+    ingest.append_new_claims(_claims(spark, ["A", "B"]), target)
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        if stop == "enter":
+            patch.setattr(IdIndex, "enter", broken)
+        elif stop == "append":
+            patch.setattr("pyspark.sql.readwriter.DataFrameWriter.parquet", _failing_at(target))
+        else:
+            patch.setattr(IdIndex, "_unmark", broken)
+        with pytest.raises(OSError):
+            ingest.append_new_claims(_claims(spark, ["B", "C", "D"]), target)
+    ingest.append_new_claims(_claims(spark, ["C", "D", "E"]), target)
+    assert _ids(spark, target) == ["A", "B", "C", "D", "E"]
+    index = IdIndex(spark, target)
+    assert index._open() == []
+    index.compact()
+    ingest.append_new_claims(_claims(spark, ["A", "E", "F"]), target)
+    assert _ids(spark, target) == ["A", "B", "C", "D", "E", "F"]
+
+
+def _failing_at(target):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    real = DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kw):
+        if path == target:
+            raise OSError("lost")
+        return real(self, path, *args, **kw)
+
+    return parquet
+
+
+def test_a_fact_without_an_index_gets_one(spark, tmp_path):
+    target = str(tmp_path / "t")
+    _claims(spark, ["A", "B"]).write.partitionBy("claim_year").parquet(target)
+    ingest.append_new_claims(_claims(spark, ["B", "C"]), target)
+    assert _ids(spark, target) == ["A", "B", "C"]
+
+
+def test_ingest_refuses_orphans_and_broken_rules(spark, tmp_path, make_model):
+    inbox, target, rejects = tmp_path / "in", str(tmp_path / "claims"), str(tmp_path / "rejects")
+    inbox.mkdir()
+    dates = date_dim(spark, "2022-01-01", "2022-12-31")
+    dims = make_model([{}])
+    _drop(inbox, "1.csv", dict(claim_id="A", date_key=1), dict(claim_id="B", date_key=1, patient_id="P9"),
+          dict(claim_id="C", date_key=1, approved_amount=2000, status="Odd"), dict(claim_id="D", date_key=1, policy_id=None, provider_id="H7"))
+    before = set(os.listdir(shared_folder(spark)))
+    for state in ("one", "two"):  # a second checkpoint counts its batches from 0 again
+        ingest.ingest(ingest.claim_files(spark, str(inbox)), dates, target, str(tmp_path / state), rejects, dims).awaitTermination()
+        _drop(inbox, "2.csv", dict(claim_id="E", date_key=1, provider_id="H8"))
+    assert _ids(spark, target) == ["A"]
+    refused = {(r["claim_id"], tuple(sorted(r["_reasons"]))) for r in rows(spark.read.parquet(rejects))}
+    assert refused == {("B", ("unknown patient_id",)), ("C", ("approved above claimed", "status unknown")),
+                       ("D", ("policy_id missing", "unknown provider_id")), ("E", ("unknown provider_id",))}
+    assert len(os.listdir(rejects)) == 2
+    assert set(os.listdir(shared_folder(spark))) == before  # nothing is left behind
+
+
+EVENT = "patient_id string, event_time timestamp"
+
+
+def _watched(spark, tmp_path, batches, **kw):
+    """The alerts of each batch, given as lists of (patient, day)."""
+    inbox, target = tmp_path / "in", str(tmp_path / "watched")
+    inbox.mkdir()
+    found = []
+    for claims in batches:
+        at = [(p, None if d is None else DAY + dt.timedelta(days=d)) for p, d in claims]
+        spark.createDataFrame(at, EVENT).coalesce(1).write.mode("append").parquet(str(inbox))
+        stream = spark.readStream.schema(EVENT).parquet(str(inbox))
+        before = set(glob.glob(f"{target}/alerts/*/*"))
+        daily_counts.watch(stream, target, str(tmp_path / "state"), **kw).awaitTermination()
+        new = [f for f in glob.glob(f"{target}/alerts/*/*") if f not in before]
+        found.append(sorted((r["patient_id"], (r["from_day"] - DAY.date()).days, (r["before_day"] - DAY.date()).days, r["claims"])
+                            for f in new for r in rows(spark.read.parquet(f))))
+    return target, found
+
+
+DAY = dt.datetime(2022, 1, 20, 12)
+
+
+def test_alerts_look_back_on_daily_counts(spark, tmp_path):
+    batches = [
+        [("A", 0), ("A", 0), ("A", 5), ("B", 0), ("C", 300), (None, 1), ("A", None)],
+        [("B", 9), ("B", 10), ("C", 302)],  # B reaches 3 within 10 days only from day 1 on
+        [("B", 9), ("D", 1)],
+        [("A", 20)],  # too late for the others
+        [("C", 301)],  # late, between two stored days
+    ]
+    target, found = _watched(spark, tmp_path, batches, days=10, threshold=3)
+    assert found == [[("A", -4, 6, 3)], [], [("B", 0, 10, 3)], [], [("C", 293, 303, 3)]]
+    counts = spark.read.parquet(f"{target}/counts")
+    assert counts.count() == 10  # one row per batch, key and day, whatever the span
+    daily = sorted(map(tuple, daily_counts.daily_counts(spark, f"{target}/counts", "patient_id").collect()))
+    assert sum(n for *_, n in daily) == 12 and len(daily) == 9
+    daily_counts.compact(spark, f"{target}/counts", "patient_id")
+    assert sorted(map(tuple, daily_counts.daily_counts(spark, f"{target}/counts", "patient_id").collect())) == daily
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
+    batch = spark.createDataFrame([("A", DAY)] * 2 + [("B", DAY)], EVENT)
+    counts = str(tmp_path / "counts")
+    for _ in range(2):
+        daily = daily_counts.add_batch(batch, counts, "q-0", "patient_id", "event_time")
+    day = (DAY.date() - dt.date(1970, 1, 1)).days
+    want = [("A", day, 2), ("B", day, 1)]
+    assert sorted(map(tuple, daily_counts.daily_counts(spark, counts, "patient_id").collect())) == want
+    assert sorted(map(tuple, daily.collect())) == want
+    # the look-back opens only the months in reach
+    daily_counts.add_batch(spark.createDataFrame([("A", DAY + dt.timedelta(days=800))], EVENT), counts, "q-1", "patient_id", "event_time")
+    found = daily_counts.alerts_of(spark, daily, counts, "patient_id", 10, 2)
+    assert [r["claims"] for r in found.collect()] == [2]
+    (scan,) = [line for line in found._jdf.queryExecution().toString().splitlines() if "FileScan" in line and "PartitionFilters" in line][:1]
+    assert "month" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
