@@ -5,9 +5,11 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 if str(Path(__file__).resolve().parent) not in sys.path:
     sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -20,10 +22,11 @@ from claimspan.operators import quality
 from claimspan.plans import cohort, datasets, finance, fraud, provider, ranking, risk
 from claimspan.schema import PRIMARY_KEYS
 from claimspan.sources import star
+from claimspan.sources.load import load_all
 from claimspan.sources.scratch import shared_folder
 from claimspan.sources.star import from_star
-from claimspan.sources.tables import verify_counts
-from claimspan.streaming import ingest
+from claimspan.sources.tables import read_model, read_with_rejects, verify_counts
+from claimspan.streaming import daily_counts, ingest
 from claimspan.streaming.alerts import frequency_alerts
 
 try:  # these folders may be absent; everything else works without them
@@ -37,6 +40,19 @@ except ModuleNotFoundError as missing:
 _Report = Callable[[ClaimsModel], DataFrame]
 
 
+def _with_holes(m: ClaimsModel) -> ClaimsModel:
+    """The model with claims that lack their hospital or their patient."""
+    return replace(
+        m,
+        claims=m.claims.withColumns(
+            {
+                "provider_id": F.expr("if(claim_amount % 3 = 0, null, provider_id)"),
+                "patient_id": F.expr("if(claim_amount % 7 = 0, null, patient_id)"),
+            }
+        ),
+    )
+
+
 def _reports() -> dict[str, _Report]:
     return {
         "loss_ratio_by_insurer_quarter": finance.loss_ratio_by_insurer_quarter,
@@ -50,6 +66,9 @@ def _reports() -> dict[str, _Report]:
         "monthly_trend_cube": finance.monthly_trend_cube,
         "fraud_frequency_90d": fraud.fraud_frequency_90d,
         "fraud_frequency_90d_all": lambda m: fraud.fraud_frequency_90d(m, limit=None),
+        # Claims without a hospital count, claims without a patient do not.
+        "fraud_frequency_null_keys": lambda m: fraud.fraud_frequency_90d(_with_holes(m), limit=None),
+        "high_frequency_null_keys": lambda m: datasets.high_frequency_claimants(_with_holes(m)),
         "cohort_retention": cohort.cohort_retention,
         "amount_zscore_outliers": fraud.amount_zscore_outliers,
         "amount_zscore_outliers_all": lambda m: fraud.amount_zscore_outliers(m, limit=None),
@@ -63,6 +82,7 @@ def _reports() -> dict[str, _Report]:
         "claims_above_provider_avg": lambda m: fraud.claims_above_provider_avg(m, factor=1.5),
         "claims_above_provider_avg_all": lambda m: fraud.claims_above_provider_avg(m, 1.5, limit=None),
         "patient_running_total": lambda m: cohort.patient_running_total(m, patients=None),
+        "chosen_running_total": lambda m: cohort.patient_running_total(m, patients=["P1", "P5", "P7"]),
         "hospital_approval_rank": provider.hospital_approval_rank,
         "hospital_approval_rank_all": lambda m: provider.hospital_approval_rank(m, limit=None),
         "hospital_approval_plain_rank": lambda m: provider.hospital_approval_rank(
@@ -146,7 +166,70 @@ def _streams() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         query.awaitTermination()
         return spark.read.schema(found.schema).parquet(f"{run}/alerts")
 
-    return {"streamed_claims": claims, "streamed_alerts": alerts}
+    def refused(spark: SparkSession, folder: str) -> DataFrame:
+        """Ingest the order lines as claims where a third of the hospitals is unknown: the claims set aside, and why."""
+        m, run = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        orders = spark.read.schema(star.SCHEMAS["orders"]).parquet(f"{folder}/orders.parquet")
+        known = replace(m, providers=m.providers.where("cast(substring(provider_id, 2) as bigint) % 3 <> 0"))
+        stream = star.claims_of(files(spark, folder, "lineitem"), orders).withColumn("claim_id", _short_id())
+        ingest.ingest(stream, m.dates, f"{run}/claims", f"{run}/state", f"{run}/rejects", known).awaitTermination()
+        rejects = spark.read.parquet(f"{run}/rejects")
+        return rejects.select("claim_id", F.array_join("_reasons", "; ").alias("reasons"))
+
+    def watched(spark: SparkSession, folder: str) -> DataFrame:
+        """Users whose fullest week reaches 20 events, found on daily counts in two batches: earlier and later days."""
+        run = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        day = "floor(unix_seconds(event_time) / 86400)"
+        events = files(spark, folder, "events").selectExpr(
+            "user_id", "cast(convert_timezone('UTC', current_timezone(), ts) as timestamp) as event_time"
+        )
+        ends = (
+            spark.read.schema(star.SCHEMAS["events"]).parquet(f"{folder}/events.parquet")
+            .selectExpr("unix_date(cast(ts as date)) as d").selectExpr("(min(d) + max(d)) div 2 as mid").first()
+        )
+        for part in (f"{day} <= {ends['mid']}", f"{day} > {ends['mid']}"):
+            state = f"{run}/{uuid.uuid4().hex}"
+            daily_counts.watch(events.where(part), run, state, "user_id", days=7, threshold=20).awaitTermination()
+        return spark.read.parquet(f"{run}/alerts").drop("query", "batch")
+
+    return {"streamed_claims": claims, "streamed_alerts": alerts, "refused_claims": refused, "watched_alerts": watched}
+
+
+def _short_id() -> Column:
+    """A claim id within the length that the fact allows."""
+    return F.concat(F.lit("C"), F.substring(F.md5("claim_id"), 1, 14))
+
+
+def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def as_csv(spark: SparkSession, folder: str) -> tuple[ClaimsModel, str]:
+        m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        claims = m.claims.distinct().withColumn("claim_id", _short_id())
+        for name, df in replace(m, claims=claims).tables().items():
+            df.write.option("header", True).csv(f"{source}/{name}.csv")
+        return m, source
+
+    def counts(spark: SparkSession, folder: str) -> DataFrame:
+        """The tables as CSV, loaded, checked and published."""
+        _, source = as_csv(spark, folder)
+        return load_all(spark, source, f"{source}/lake")
+
+    def claims(spark: SparkSession, folder: str) -> DataFrame:
+        """The claims of that load, with the types and the missing values they had."""
+        _, source = as_csv(spark, folder)
+        load_all(spark, source, f"{source}/lake")
+        return read_model(spark, f"{source}/lake").claims
+
+    def rejected(spark: SparkSession, folder: str) -> DataFrame:
+        """Patients from CSV where every age that ends in 7 is no number: those rows are set aside with their text."""
+        m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        broken = m.patients.withColumn("age", F.expr("if(age % 10 = 7, concat(age, ' years'), cast(age as string))"))
+        broken.write.option("header", True).csv(f"{source}/dim_patients.csv")
+        good, bad = read_with_rejects(spark, source, "dim_patients")
+        return good.select("patient_id", "age", F.lit(False).alias("rejected")).unionByName(
+            bad.select(F.split("raw_row", ",")[0].alias("patient_id"), F.lit(None).cast("int").alias("age"), F.lit(True).alias("rejected"))
+        )
+
+    return {"loaded_counts": counts, "loaded_claims": claims, "rejected_rows": rejected}
 
 
 def _on_star(report: _Report) -> Callable[[SparkSession, str], DataFrame]:
@@ -160,7 +243,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     on_model = {**_reports(), **_datasets()}
-    found = {**{name: _on_star(build) for name, build in on_model.items()}, **_checks(), **_streams()}
+    found = {**{name: _on_star(build) for name, build in on_model.items()}, **_checks(), **_streams(), **_loads()}
     if llm:
         found |= llm.queries() | {"pipeline": corpus_pipeline.run}
     return found

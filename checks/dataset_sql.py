@@ -6,6 +6,7 @@ from checks.report_sql import (
     APPROVED,
     ENDS,
     FREQUENT,
+    FREQUENT_HOLES,
     REJECTED,
     RISK_COLUMNS,
     RISK_TABLES,
@@ -154,14 +155,13 @@ SELECT risk_category, COUNT(*) AS patients, {big('SUM(claimed)')} AS total_claim
 SQL["anomaly_scatter"] = on_star(
     ZSCORES, "SELECT claim_id, patient_id, diagnosis_name, claim_amount, z_score FROM zscores"
 )
-SQL["high_frequency_claimants"] = on_star(
-    FREQUENT,
-    f"""
+CLAIMANTS = f"""
 SELECT patient_id, COUNT(*) AS flagged_claims, {big('SUM(claim_amount)')} AS flagged_amount,
   MAX(claims_in_90_days) AS most_in_90_days, COUNT(*) FILTER (WHERE fraud_risk_level = 'HIGH RISK') AS high_risk_claims,
   age, city, chronic_condition
-FROM frequent JOIN dim_patients USING (patient_id) GROUP BY patient_id, age, city, chronic_condition""",
-)
+FROM frequent JOIN dim_patients USING (patient_id) GROUP BY patient_id, age, city, chronic_condition"""
+SQL["high_frequency_claimants"] = on_star(FREQUENT, CLAIMANTS)
+SQL["high_frequency_null_keys"] = on_star(FREQUENT_HOLES, CLAIMANTS)
 SQL["risk_heatmap"] = on_star(
     RISK_TABLES,
     f"""
@@ -291,3 +291,39 @@ days AS (SELECT user_id, CAST(ts AS DATE) AS d, COUNT(*) AS n FROM events GROUP
 weeks AS (SELECT user_id, d + CAST(k AS INT) AS before_day, n FROM days, (SELECT unnest(generate_series(1, 7)) AS k))
 SELECT user_id, before_day - 7 AS from_day, before_day, CAST(SUM(n) AS BIGINT) AS claims
 FROM weeks, closed WHERE before_day <= mark GROUP BY user_id, before_day HAVING SUM(n) >= 20"""
+
+
+# The load of the star from CSV, its rows, and rows that do not parse.
+SHORT_ID = "'C' || substring(md5(claim_id), 1, 14)"
+SQL["loaded_claims"] = on_star("", f"SELECT DISTINCT f.* REPLACE ({SHORT_ID} AS claim_id), year AS claim_year FROM fact_claims f JOIN dim_date USING (date_key)")
+SQL["loaded_counts"] = on_star(
+    "",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM (SELECT DISTINCT * FROM {t})"
+        for t in ("dim_date", "dim_patients", "dim_providers", "dim_policies", "fact_claims")
+    ),
+)
+SQL["rejected_rows"] = on_star(
+    "", "SELECT patient_id, CASE WHEN age % 10 <> 7 THEN age END AS age, age % 10 = 7 AS rejected FROM dim_patients"
+)
+SQL["refused_claims"] = on_star(
+    "",
+    f"""SELECT {SHORT_ID} AS claim_id, 'unknown provider_id' AS reasons FROM fact_claims
+WHERE CAST(substring(provider_id, 2) AS BIGINT) % 3 = 0""",
+)
+# Two batches, earlier and later days: windows as they stand after each, ending on a day with events, holding one of the batch's days.
+SQL["watched_alerts"] = """
+WITH days AS (
+  SELECT user_id, CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS INT) AS d, COUNT(*) AS n
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2),
+cut AS (SELECT (min(d) + max(d)) // 2 AS mid FROM days),
+parts AS (SELECT user_id, d, n, CASE WHEN d <= mid THEN 0 ELSE 1 END AS b FROM days, cut),
+windows AS (
+  SELECT k.b, e.user_id, e.d, SUM(p.n) AS claims, bool_or(p.b = k.b) AS touched
+  FROM parts e JOIN (VALUES (0), (1)) AS k(b) ON e.b <= k.b
+    JOIN parts p ON p.user_id = e.user_id AND p.b <= k.b AND e.d - p.d BETWEEN 0 AND 6
+  GROUP BY k.b, e.user_id, e.d),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY b, user_id ORDER BY claims DESC, d) AS place FROM windows WHERE touched)
+SELECT user_id, DATE '1970-01-01' + (d - 6) AS from_day, DATE '1970-01-01' + (d + 1) AS before_day, CAST(claims AS BIGINT) AS claims
+FROM ranked WHERE place = 1 AND claims >= 20"""
