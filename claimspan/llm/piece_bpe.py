@@ -23,9 +23,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimspan.llm.common import chunks, extended, map_arrow
+from claimspan.llm.common import arrow, extended, map_arrow, without
 from claimspan.llm.words import hashes_of
 
 _BLANK, _MARK = 0x20, 0x2581
@@ -345,9 +345,9 @@ class PieceModel:
 
     # -- decoding ---------------------------------------------------------
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text of these ids: control ids are silent, the blank of the dummy prefix goes, bad bytes become U+FFFD."""
-        flat = np.array(ids, np.int64)
+        flat = np.asarray(ids, np.int64)
         spoken = np.flatnonzero(~self.silent[flat])
         if not len(spoken):
             return ""
@@ -393,22 +393,23 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
-def encoded(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encoded(docs: DataFrame, model: str, text: str = "text", ids: str = "ids", back: str | None = None) -> DataFrame:
     """All columns of ``docs`` and ``ids``: each whole text as the sentencepiece library encodes it, with the end id.
 
     ``model`` is the file of a BPE model with byte fallback, at the same path on
-    all executors; another kind of model raises an error.
+    all executors; another kind of model raises an error. With ``back``, a column
+    of that name holds the text that ``ids`` decode to.
 
     * A null or empty text has the end id alone.
     * Each row is on its own: repeated rows get equal ids, an empty table gives
       none. Texts are encoded whole, in parts where they are very long.
-    * A column of the name ``ids`` is replaced; all others keep their values.
+    * Columns that bear an added name are replaced; all others keep their values.
     """
 
     def setup():
         made = piece_model(model)
 
-        def run(batch: pa.RecordBatch) -> tuple[pa.Array]:
+        def run(batch: pa.RecordBatch) -> tuple[pa.Array, ...]:
             flat, at = made.encode([t or "" for t in batch.column(text).to_pylist()])
             n = np.diff(at)
             out = np.full(len(flat) + len(n), made.end, np.int32)
@@ -417,11 +418,15 @@ def encoded(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -
             spoken[stops - 1] = False
             out[spoken] = flat
             bounds = pa.array(np.concatenate([[0], stops]), pa.int32())
-            return (pa.ListArray.from_arrays(bounds, pa.array(out)).cast(pa.list_(pa.field("element", pa.int32()))),)
+            lists = pa.ListArray.from_arrays(bounds, pa.array(out)).cast(pa.list_(pa.field("element", pa.int32())))
+            if back is None:
+                return (lists,)
+            starts = at[:-1].tolist()
+            return lists, pa.array([made.decode(flat[a : a + k]) for a, k in zip(starts, n.tolist(), strict=True)], pa.string())
 
         return run
 
-    return extended(docs, f"`{ids}` array<int>", text, setup)
+    return extended(docs, f"`{ids}` array<int>" + (f", `{back}` string" if back else ""), text, setup)
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -431,8 +436,6 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded"
       outside of the vocabulary raises an error.
     * A column of the name ``text`` is replaced; all others keep their values.
     """
-    from claimspan.llm.common import T, arrow, without
-
     base = without(rows, [text])
     shape = T.StructType([*base.schema, T.StructField(text, T.StringType())])
     schema = arrow(shape)
@@ -440,7 +443,10 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = piece_model(model)
         for batch in batches:
-            texts = [made.decode([i for i in r or () if i is not None]) for r in batch.column(ids).to_pylist()]
+            texts = []
+            for r in batch.column(ids):
+                values = r.values.drop_null() if r.is_valid else []
+                texts.append(made.decode(np.asarray(values)) if len(values) else "")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], schema=schema)
 
     return map_arrow(base, run, shape)

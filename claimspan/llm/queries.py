@@ -18,7 +18,7 @@ from claimspan.llm.main_text import main_text
 from claimspan.llm.mixture import plan
 from claimspan.llm.near_dup import near_duplicates
 from claimspan.llm.oracles import SQL
-from claimspan.llm.piece_bpe import decoded, encoded
+from claimspan.llm.piece_bpe import encoded
 from claimspan.llm.rank_order import held_out, identified
 from claimspan.llm.token_counts import token_counts
 from claimspan.llm.token_files import ids_crc32, stored_tokens
@@ -106,8 +106,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _tokenizer(PIECES)
-    found = decoded(encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = encoded(docs, _tokenizer(PIECES), back="decoded")
     spelled = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select(
         "doc_id",

@@ -143,6 +143,10 @@ def test_coded_documents(documents, paths, library):
     assert got == sorted(((i, ids, library.decode(ids)) for i, ids in want), key=repr)
     assert {r["n_a"] for r in found} == {"my n_a"} and {r["_column_0"] for r in found} == {"my _column_0"}
     assert piece_bpe.encoded(frame.limit(0), paths[1]).collect() == []
+    both = piece_bpe.encoded(frame, paths[1], back="decoded").collect()
+    assert sorted(((r["doc_id"], r["ids"], r["decoded"]) for r in both), key=repr) == got
+    odd = piece_bpe.decoded(frame.sparkSession.createDataFrame([(None,), ([],), ([None, 259, 2],)], "ids array<int>"), paths[1])
+    assert [r["decoded"] for r in odd.collect()] == ["", "", library.decode([259, 2])]
 
 
 def test_other_models_are_refused(paths):
