@@ -29,10 +29,12 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 #: Bytes of pre-tokens and their ids that a worker keeps, about, twice; long pre-tokens are not kept.
-HELD_BYTES = 32 << 20
+HELD_BYTES = 80 << 20
 _LONG = 48
 #: Bytes an entry takes besides its text and its ids, about.
 _ENTRY = 200
+#: Bytes of text encoded at a time (a longer text alone).
+_CHUNK = 1 << 20
 #: Pre-tokens that the library encodes in one call.
 _TOGETHER = 4_096
 
@@ -59,25 +61,21 @@ class _Encoder:
     def ids_of(self, pre: list[str]) -> list[bytes]:
         if self.size > HELD_BYTES:  # what is still in use comes back from the older ones
             self.held, self.older, self.size = {}, self.held, 0
-        held, older, now = self.held, self.older, {}
-        fresh = []
-        for p in set(pre):
-            ids = held.get(p) or older.get(p)
-            if ids is None:
-                fresh.append(p)
-            else:
-                self._keep(now, p, ids)
-        for at in range(0, len(fresh), _TOGETHER):
-            some = fresh[at : at + _TOGETHER]
-            for p, e in zip(some, self.made.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self._keep(now, p, array("I", e.ids).tobytes())
-        return [now[p] for p in pre]
-
-    def _keep(self, now: dict[str, bytes], p: str, ids: bytes) -> None:
-        now[p] = ids
-        if len(p) <= _LONG and p not in self.held:
-            self.held[p] = ids
-            self.size += len(p) + len(ids) + _ENTRY
+        found = list(map(self.held.get, pre))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        if missing:
+            now = {p: ids for p in {pre[i] for i in missing} if (ids := self.older.get(p))}
+            fresh = list({pre[i] for i in missing if pre[i] not in now})
+            for at in range(0, len(fresh), _TOGETHER):
+                some = fresh[at : at + _TOGETHER]
+                coded = self.made.encode_batch_fast(some, add_special_tokens=False)
+                now.update((p, array("I", e.ids).tobytes()) for p, e in zip(some, coded, strict=True))
+            for i in missing:
+                found[i] = now[pre[i]]
+            kept = {p: ids for p, ids in now.items() if len(p) <= _LONG}
+            self.held.update(kept)
+            self.size += sum(map(len, kept)) + sum(map(len, kept.values())) + _ENTRY * len(kept)
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out = [b""] * len(texts)
@@ -134,7 +132,7 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "_text"):
+        for batch in chunks(batches, "_text", _CHUNK):
             coded = [b + last for b in encode(batch.column("_text").to_pylist())]
             n = np.array([len(b) // 4 for b in coded], np.int64)
             ends = np.concatenate([[0], np.cumsum(n)])
