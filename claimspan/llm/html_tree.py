@@ -10,11 +10,9 @@ from xxhash import xxh3_64_intdigest
 #: Elements beyond this depth are nodes of their own on the page, but have the path of the one at it.
 MAX_DEPTH = 64
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4096}\"|'[^']{0,4096}')*+|[^>]*)>",
-    re.S,
-)
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+#: What may end a tag: ">", or a quote that opens an attribute's value, which ">" inside does not end.
+_STOP = re.compile(r">|=\s*([\"'])")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _DIGITS = re.compile(r"\d{2,}")
 
@@ -67,6 +65,13 @@ _NOISE_FOR_SURE = re.compile(
     r"(?:[-_](?:area|bar|block|box|buttons?|container|content|form|inner|links?|list|nav|notice|section|slot|thread|unit|wrap|wrapper|\d+))*",
     re.I,
 )
+#: Of the names of noise, those that parts of a story bear as well; outside of articles they are proof only as the name of a box.
+_AMBIGUOUS = re.compile(r"(?:notice|notification|alert|widget|legal|disclaimer|tags|discussion)\w*(?:[-_].*)?", re.I)
+_BOX = re.compile(
+    r"(?:notices?|notifications?|alerts?|widgets?|legal|disclaimer|tags)"
+    r"(?:[-_](?:area|banner|bar|block|box|container|inner|links?|list|section|wrap|wrapper|\d+))*",
+    re.I,
+)
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: What running text ends with.
 _SENTENCE = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
@@ -76,32 +81,45 @@ _ROOTS = {"html", "body", "main", "article"}
 class Element:
     """A block element: what it is, where it stands, and how much text and link text it holds.
 
-    ``suspect`` elements of the main part are named like noise, ``running`` ones hold a sentence or a heading.
+    ``mark`` is why the element itself may be noise ("" if nothing says so), ``suspect`` elements are named
+    like noise without proof, ``running`` ones hold a sentence or a heading, ``holds`` tells whether an
+    article or main part stands in it, ``form`` is the outermost form around it.
     """
 
-    __slots__ = ("tag", "path", "parent", "noise", "main", "suspect", "running", "chars", "linked", "links", "kids")
+    __slots__ = ("tag", "path", "parent", "noise", "main", "mark", "suspect", "running", "holds", "form", "chars",
+                 "linked", "links", "kids")
 
-    def __init__(self, tag: str, path: str, parent: Element | None, noise: bool, main: bool, suspect: bool = False):
-        self.tag, self.path, self.parent, self.noise, self.main, self.suspect = tag, path, parent, noise, main, suspect
-        self.running = False
+    def __init__(self, tag: str, path: str, parent: Element | None, mark: str, main: bool, suspect: bool = False):
+        self.tag, self.path, self.parent, self.mark, self.main, self.suspect = tag, path, parent, mark, main, suspect
+        self.noise = self.running = self.holds = False
+        self.form = (parent.form if parent else None) or (self if tag == "form" else None)
         self.chars = self.linked = self.links = 0
         self.kids: list[str] = []
 
 
+def _short(names: str, longest: int) -> str:
+    """The names; long ones as their beginning and a digest of the whole."""
+    return names if len(names) <= longest else f"{names[: longest - 17]}~{xxh3_64_intdigest(names):016x}"
+
+
 def _signature(tag: str, attributes: dict[str, str]) -> str:
-    names = _DIGITS.sub("#", " ".join(sorted(attributes.get("class", "").split())))[:80]
-    mark = _DIGITS.sub("#", attributes.get("id", ""))[:40]
+    names = _short(_DIGITS.sub("#", " ".join(sorted(attributes.get("class", "").split()))), 80)
+    mark = _short(_DIGITS.sub("#", attributes.get("id", "")), 40)
     return f"{tag}{'.' + names if names else ''}{'#' + mark if mark else ''}".replace("/", "|").lower()
 
 
-def _is_noise(tag: str, attributes: dict[str, str], inside_main: bool) -> bool:
-    """Whether an element is noise by its tag, role or style, whatever its names."""
-    if tag in _NOISE_TAGS or (tag == "header" and not inside_main):
-        return True
+def _mark(tag: str, attributes: dict[str, str], inside_main: bool) -> str:
+    """Why an element is noise by its tag, role or style, whatever its names: "sure", "form", "hidden" or ""."""
+    if tag == "form":
+        return "form"
+    if tag in _NOISE_TAGS or tag == "label" or (tag == "header" and not inside_main):
+        return "sure"
+    role = attributes.get("role", "").lower()
+    if role in _NOISE_ROLES:
+        return "sure"
     style = attributes.get("style", "").replace(" ", "").lower()
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style:
-        return True
-    return attributes.get("role", "").lower() in _NOISE_ROLES
+    hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style
+    return "hidden" if hidden and tag not in ("html", "body") else ""
 
 
 def _named(tag: str, attributes: dict[str, str], inside_main: bool) -> tuple[bool, bool]:
@@ -125,7 +143,10 @@ def _named(tag: str, attributes: dict[str, str], inside_main: bool) -> tuple[boo
     names = [n for n in [*classes, mark] if n and _NOISE_NAME.fullmatch(n)]
     if not names:
         return False, False
-    sure = not (inside_main or tag == "article") or (tag not in _HEADINGS and any(_NOISE_FOR_SURE.fullmatch(n) for n in names))
+    if inside_main or tag == "article":
+        sure = tag not in _HEADINGS and any(_NOISE_FOR_SURE.fullmatch(n) for n in names)
+    else:
+        sure = any(not _AMBIGUOUS.fullmatch(n) or _BOX.fullmatch(n) for n in names)
     return sure, not sure
 
 
@@ -141,13 +162,57 @@ def _ends(html: str, tag: str) -> dict[int, int]:
     return out
 
 
+def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
+    """Where the tag whose name ends at ``at`` has its ">"; the end of the page if it has none.
+
+    ``last`` holds the last place of either quote, so that what nothing closes is not searched for again.
+    """
+    while m := _STOP.search(html, at):
+        quote = m[1]
+        if quote is None:
+            return m.start()
+        at = m.end()
+        if at <= last[quote]:
+            at = html.index(quote, at) + 1
+    return len(html)
+
+
+def _settle(elements: list[Element], blocks: list[tuple[Element, str]]) -> None:
+    """Decide which elements are noise, now that the whole page is known.
+
+    Whatever is hidden or a form is none if an article stands in it. A form is
+    none either if more running text stands in it than text outside of it: many
+    pages stand in one form as a whole.
+    """
+    for e in reversed(elements[1:]):
+        e.parent.holds = e.parent.holds or e.holds or e.main
+    for e in elements[1:]:
+        e.noise = e.parent.noise or e.mark == "sure" or (e.mark == "hidden" and not e.holds)
+    forms = {id(e): e for e in elements if e.form is e}
+    if forms:
+        outside, inside = 0, dict.fromkeys(forms, 0)
+        for e, text in blocks:
+            if e.noise:
+                continue
+            if e.form is None:
+                outside += len(text)
+            elif e.tag in _HEADINGS or _SENTENCE.search(text):
+                inside[id(e.form)] += len(text)
+        every = outside + sum(inside.values())
+        wrappers = {i for i, f in forms.items() if f.holds or 2 * inside[i] > every}
+        for e in elements[1:]:
+            e.noise = e.noise or e.parent.noise or (e.mark == "form" and (e.form is not e or id(e) not in wrappers))
+    for e in elements:
+        e.main = e.main and not e.noise
+
+
 def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
     """The block elements of a page in order, and its blocks of text as (element, text).
 
     White space in a block becomes one space; character references are decoded.
     Scripts, styles, comments and other text that is not shown is left out.
     """
-    root = Element("", "", None, False, False)
+    root = Element("", "", None, "", False)
     elements, blocks, stack = [root], [], [root]
     parts: list[str] = []
     depths: dict[str, list[int]] = {}  # of the open elements of each tag
@@ -202,6 +267,7 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
             linked += len(" ".join(text.split()))
 
     at, end = 0, len(html)
+    last = {c: html.rfind(c) for c in "\"'>"}
     while at < end:
         m = _TAG.search(html, at)
         if m is None:
@@ -214,10 +280,18 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
         if tag is None:
             continue
         tag = tag.lower()
+        stop = _tag_end(html, at, last) if at <= last[">"] else end
+        if stop == end:  # a tag that never ends is cut before the next one, and quotes hold no more
+            last = dict.fromkeys(last, -1) | {">": last[">"]}
+            stop = _tag_end(html, at, last) if at <= last[">"] else end
+            following = html.find("<", at)
+            stop = stop if following < 0 or stop < end else following - 1
+        rest, at = html[at:stop], min(stop + 1, end)
+        in_form = bool(depths.get("form"))
         if m[1]:
             if tag == "a":
                 in_link = False
-            elif tag not in _INLINE:
+            elif tag not in _INLINE or (tag == "label" and in_form):
                 depth = nearest({tag})
                 if depth:
                     flush()
@@ -225,9 +299,9 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
                     close(depth)
             continue
         if tag in _RAW or tag in _HIDDEN:
-            at = raw_end(tag, m.start(), at, m[3].endswith("/"))
+            at = raw_end(tag, m.start(), at, rest.endswith("/"))
             continue
-        if tag in _INLINE:
+        if tag in _INLINE and not (tag == "label" and in_form):
             if tag == "a":
                 in_link = True
                 links += 1
@@ -245,19 +319,22 @@ def read(html: str) -> tuple[list[Element], list[tuple[Element, str]]]:
             while (depth := nearest(ends)) > stop:
                 close(depth)
         up = stack[-1]
-        found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3] else {}
+        found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(rest)} if rest else {}
         sign = _signature(tag, found)
         main = up.main or tag in ("article", "main") or found.get("role", "").lower() == "main"
         sure, suspect = _named(tag, found, up.main)
-        noise = up.noise or sure or _is_noise(tag, found, up.main)
+        mark = "sure" if sure else _mark(tag, found, up.main)
+        if mark == "sure":
+            main = False  # what stands in noise is no main part, whatever its tag
         deep = len(stack) > MAX_DEPTH
-        element = Element(tag, up.path if deep else f"{up.path}/{sign}", up, noise, main and not noise, suspect)
+        element = Element(tag, up.path if deep else f"{up.path}/{sign}", up, mark, main, suspect)
         if not deep and (not up.kids or up.kids[-1] != sign):
             up.kids.append(sign)
         elements.append(element)
         depths.setdefault(tag, []).append(len(stack))
         stack.append(element)
     flush()
+    _settle(elements, blocks)
     for e in reversed(elements[1:]):  # children stand behind their parents
         e.parent.chars += e.chars
         e.parent.linked += e.linked

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -455,3 +456,48 @@ def test_clashing_names(spark, clashing, docs, tokenizer, name):
     assert ids(run(clashing.where(few))) == ids(run(docs.where(few))) or name in ("mix", "plan", "search")
     if name in ("one", "clean", "in a language"):
         assert run(clashing.where(few)).columns == clashing.columns
+
+
+STORY = "<p>The story of this page has a sentence.<p>And it has a second one, as stories do."
+TOLD = "The story of this page has a sentence.\n\nAnd it has a second one, as stories do."
+
+
+def test_a_form_around_the_page_keeps_its_text():
+    assert shown(f"<body><form id=aspnetForm><div class=content>{STORY}</div><input name=q><button>Go</button></form>") == TOLD
+    assert shown(f"<form><label>Your name</label><label for=m>Mail</label><select><option>a</select><article>{STORY}</article></form>") == TOLD
+    small = "<form><p>Enter your address to get our letter.</p><label>Mail</label><input></form>"
+    assert shown(f"<body><article>{STORY}</article>{small}") == TOLD
+    assert shown(f"<body><div class=x>{STORY}{small}</div>{small}") == TOLD
+
+
+def test_names_outside_of_articles_need_evidence():
+    for name in ("widget-content", "notice-text", "discussion", "legal-story", "alert-report"):
+        assert shown(f"<body><h1>Head</h1><div class={name}>{STORY}</div>") == f"Head\n\n{TOLD}", name
+    for name in ("widget", "notice", "notice-box", "sidebar", "sidebar-content", "cookie-text", "comments", "menu-main", "footer-text"):
+        assert shown(f"<body><div class=x>{STORY}</div><div class={name}><p>Not of the story.</p></div>") == TOLD, name
+    assert shown(f"<body><div class=x>{STORY}</div><div class=widget-list><a href=1>one</a></div><div class=tags-for>Law</div>") == TOLD
+
+
+def test_hidden_wrappers_of_articles_are_shown():
+    for start in ("<body style='display:none'>", "<body hidden>", "<body><div style='display: none'>", "<body><div aria-hidden=true><div hidden>"):
+        assert shown(f"{start}<article>{STORY}</article>") == TOLD
+    assert shown(f"<body style='display:none'>{STORY}") == TOLD
+    assert shown(f"<body><p>a<div hidden>{STORY}</div>") == "a"
+    assert shown(f"<body><p>a.<nav><article>{STORY}</article></nav>") == "a."
+
+
+def test_attributes_of_any_length():
+    long = "a" * 9_000 + ">leak" + "b" * 9_000
+    for quote in "\"'":
+        assert shown(f"<p data-x={quote}{long}{quote}>text</p>") == "text"
+        assert shown(f"<div class={quote}x{quote}{quote}><p title = {quote}a>b{quote}>text</p></div>") == "text"
+        assert shown(f"<p title={quote}a>text and <b>more</b></p>") == "text and more"
+    assert shown("<p>a < b and <i>c</i> > d") == "a < b and c > d"
+    assert shown("<p " + "x='1' " * 50_000 + ">text") == "text"
+    start = time.time()
+    for page in ("<a x=\"" * 60_000 + "'>", "<a " * 90_000, "<p>a</p><a ='" * 60_000, "<p x=\"1>" * 60_001):
+        html_tree.read(page)
+    assert time.time() - start < 20  # in proportion to the page
+    names = " ".join(f"name-{'x' * 30}-{c}" for c in "abc")
+    one, two = (html_tree._signature("div", {"class": names + c, "id": "i" * 90 + c}) for c in "yz")
+    assert one != two and len(one) == len(two) < 130
