@@ -1,12 +1,14 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Documents of a source stand in a seeded random order, as often as the mix needs
-them, and this stream is cut into blocks of about ``BLOCK_WORDS`` words. A tree
-halves the output shards again and again; at each node the blocks are divided
-by a multivariate-hypergeometric draw from the exact quotas of the sources.
-So each shard knows how many blocks it takes from each source; it takes the
-next ones of the permuted blocks, which no other shard takes, and its rows are
-shuffled inside the shard. Only one row per source passes through the driver.
+them, and this stream is cut into blocks of about ``BLOCK_WORDS`` words; the last
+one ends where the source's target is nearest. A tree halves the output shards
+again and again; at each node the blocks are divided by a multivariate-hypergeometric
+draw from the exact quotas of the sources. So each shard knows how many blocks it
+draws from each source. The blocks of a source are permuted, and a shard draws
+the next ones of them, which no other shard draws. A document is taken as often
+as its copies stand in drawn blocks, and a shard's rows are shuffled inside it.
+Only one row per source passes through the driver.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, aliased, without
+from claimspan.llm.common import Scratch, aliased
 from claimspan.llm.slices import hashable, position, running, slice_of, source_key
 
 SEED = 20_240_617
@@ -23,12 +25,9 @@ BLOCK_WORDS = 65_536
 MAX_REPEATS = 3
 #: Weights of the sources in code-point order (null last), repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
-#: A mix names its sources; beyond this many ``plan`` refuses, and drops nothing.
+#: A mix names its sources, which the driver holds, one row each; beyond this many ``plan`` raises an error before it takes any.
 MAX_SOURCES = 100_000
 
-_MINE = ["_src", "_at", "_tie", "_rows", "_piece", "_before", "_full", "_need", "_blocks", "_cuts", "_again", "_times",
-         "_copy", "size", "source_size", "target", "taken", "copies", "copy", "block", "shard", "place"]
-
 
 def word_count(text: str = "text") -> Column:
     """Words between white space (null: 0)."""
@@ -77,17 +76,42 @@ def split_quotas(blocks: list[int], shards: int, seed: int = SEED) -> np.ndarray
     return out
 
 
+#: ``numpy`` draws from fewer blocks than this at a time.
+_DRAWN = 10**9
+
+
 def _draw(rng: np.random.Generator, quota: np.ndarray, n: int) -> np.ndarray:
     """A multivariate-hypergeometric draw, one source after another."""
     out, rest = np.zeros_like(quota), int(quota.sum())
     for i, q in enumerate(quota.tolist()):
         rest -= q
         if n and q:
-            out[i] = rng.hypergeometric(q, rest, n) if rest else n
+            out[i] = _hypergeometric(rng, q, rest, n) if rest else n
         n -= int(out[i])
     return out
 
 
+def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` blocks drawn from ``good`` and ``bad`` ones are good; very many blocks are drawn as bundles."""
+    bundle = -(-(good + bad) // (_DRAWN - 1))
+    if bundle == 1:
+        return int(rng.hypergeometric(good, bad, n))
+    drawn = bundle * int(rng.hypergeometric(good // bundle, bad // bundle, min(n // bundle, (good // bundle) + (bad // bundle))))
+    # what the bundles leave over is shared by expectation, within what there is
+    drawn += round((n - n // bundle * bundle) * good / (good + bad))
+    return min(max(drawn, n - bad, 0), good, n)
+
+
+def _permutation(rng: np.random.Generator, blocks: int) -> tuple[int, int]:
+    """A permutation of the blocks as (stride, shift): block b stands at (b * stride + shift) mod blocks."""
+    if blocks < 2:
+        return 1, 0
+    stride = int(rng.integers(1, min(blocks, 2**20)))
+    while np.gcd(stride, blocks) != 1:
+        stride = stride % (min(blocks, 2**20) - 1) + 1
+    return stride, int(rng.integers(blocks))
+
+
 def plan(
     docs: DataFrame,
     shards: int = 8,
@@ -97,6 +121,7 @@ def plan(
     text: str = "text",
     source: str = "source",
     seed: int = SEED,
+    texts: bool = True,
 ) -> DataFrame:
     """Each document's part in the mix: ``docs`` with ``size`` (words), ``source_size``, ``target``,
     ``taken`` and ``copies``, an array of (copy, block, shard), empty for a document that is left out.
@@ -110,18 +135,27 @@ def plan(
       0; a source without words takes 0 words. Its documents are taken 0 times.
     * Equal rows may be taken unequally often; which of them is then open, but
       the rows of the result are the same in every run.
-    * An empty table gives no rows. Columns named as results are replaced.
+    * An empty table gives no rows. Columns named as results are replaced; all
+      others keep their values. Without ``texts`` the text is left out.
+    * More than 100,000 sources raise an error.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixture")
-    base = without(docs, _MINE)
-    every = hashable(base)
-    base = base.select(
-        "*",
-        word_count(text).alias("size"),
-        source_key(source).alias("_src"),
-        position(seed, *every).alias("_at"),
-        F.xxhash64(F.lit(seed + 1), *every).alias("_tie"),
+    mine = ["size", "source_size", "target", "taken", "copies"]
+    kept = [c for c in docs.columns if c.lower() not in mine and (texts or c != text)]
+    own, name, _ = aliased(docs)
+    every = hashable(own.select(*[name[c] for c in docs.columns if c.lower() not in mine]))
+    # Words are counted once: what follows reads the stored sizes and positions.
+    base = scratch.table(
+        own.select(
+            *[name[c] for c in kept],
+            word_count(name[text]).alias("size"),
+            source_key(name[source]).alias("_src"),
+            position(seed, *every).alias("_at"),
+            F.xxhash64(F.lit(seed + 1), *every).alias("_tie"),
+        ),
+        "sized",
+        keep=True,
     )
     found = base.groupBy("_src").agg(F.count("*").alias("_rows"), F.sum("size").alias("source_size"))
     rows = found.limit(MAX_SOURCES + 1).collect()
@@ -140,10 +174,12 @@ def plan(
     cuts = np.cumsum(split_quotas(quotas, shards, seed), axis=0).T.tolist()
     kind = (
         "_src string, _rows long, source_size long, target double, _full long, _need double, _blocks long,"
-        " _cuts array<long>"
+        " _cuts array<long>, _stride long, _shift long"
     )
+    rng = np.random.default_rng(seed + 3)
+    turns = [_permutation(rng, q) for q in quotas]
     sources = scratch.table(
-        spark.createDataFrame([(*k, q, c) for k, q, c in zip(known, quotas, cuts, strict=True)], kind),
+        spark.createDataFrame([(*k, q, c, *t) for k, q, c, t in zip(known, quotas, cuts, turns, strict=True)], kind),
         "sources",
         keep=True,
     )
@@ -164,19 +200,17 @@ def plan(
     def copy(i: Column) -> Column:
         at = F.floor((i * F.col("source_size") + F.col("_before")) / F.lit(block_words)).cast("long")
         block = F.least(at, F.col("_blocks") - 1)
-        shard = F.size(F.filter("_cuts", lambda cut: cut <= block))
+        # the place of the block among the permuted ones, and the shard whose draw it falls into
+        drawn = F.pmod(block * F.col("_stride") + F.col("_shift"), F.col("_blocks"))
+        shard = F.size(F.filter("_cuts", lambda cut: cut <= drawn))
         return F.struct(i.cast("int").alias("copy"), block.alias("block"), shard.alias("shard"))
 
     numbers = F.when(F.col("_times") > 0, F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)).otherwise(
         F.array().cast("array<bigint>")
     )
-    return mixed.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in _MINE],
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * F.col("_times")).alias("taken"),
-        F.transform(numbers, copy).alias("copies"),
+    copies = F.filter(F.transform(numbers, copy), lambda c: c["shard"] < shards).alias("copies")
+    return mixed.select(*[F.col(name[c]).alias(c) for c in kept], "size", "source_size", "target", copies).select(
+        *[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"), "copies"
     )
 
 

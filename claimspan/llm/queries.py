@@ -92,7 +92,8 @@ def op8_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan(read(spark, sf_dir, "documents"), shards=8).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = plan(read(spark, sf_dir, "documents"), shards=8, texts=False)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
