@@ -33,7 +33,6 @@ from claimspan.llm.token_files import encoder
 COMMON = 1 << 19
 #: Distinct pairs a task holds before it passes their counts on.
 HELD = 1 << 20
-_FIRST_PROBE = 4
 
 
 def align(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -43,45 +42,54 @@ def align(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     right, and the tokens of each link on the left and on the right. A group is
     what lies between two neighbouring ends that both have.
     """
-    a, b = left.tolist(), right.tolist()
-    n, m = len(a), len(b)
+    a, b = [*left.tolist(), -1], [*right.tolist(), -2]  # ends that differ: no stretch goes beyond
+    n = len(left)
     i = j = 0
-    runs: list[tuple[int, int, int]] = []  # one-to-one stretches: where on both sides, and how long
+    run_at: list[int] = []  # one-to-one stretches: where on both sides, and how long
+    run_to: list[int] = []
+    run_length: list[int] = []
     link_a: list[int] = []
     link_b: list[int] = []
     odd_a: list[int] = []
     odd_b: list[int] = []
+    add_a, add_b = link_a.append, link_b.append
     while i < n:
-        start, step = i, _FIRST_PROBE
-        shift = j - i
-        while i < n and a[i] == b[i + shift]:
-            while a[i : i + step] == b[i + shift : i + shift + step] and i + step <= n and i + shift + step <= m:
+        if a[i] == b[j]:
+            start, step = i, 2
+            i += 1
+            j += 1
+            while a[i : i + step] == b[j : j + step]:
                 i += step
-                step *= 2
-            step = max(1, min(step // 2, n - i, m - i - shift))
-        if i > start:
-            runs.append((start, start + shift, i - start))
-            j = i + shift
+                j += step
+                step += step
+            while step > 1:
+                step >>= 1
+                if a[i : i + step] == b[j : j + step]:
+                    i += step
+                    j += step
+            run_at.append(start)
+            run_to.append(j - i + start)
+            run_length.append(i - start)
             if i == n:
                 break
         # an irregular group: the side that is behind goes on, each step is one link
         x, y = a[i], b[j]
         while x != y:
-            link_a.append(i)
-            link_b.append(j)
+            add_a(i)
+            add_b(j)
             if x < y:
                 i += 1
                 x = a[i]
             else:
                 j += 1
                 y = b[j]
-        link_a.append(i)
-        link_b.append(j)
+        add_a(i)
+        add_b(j)
         i += 1
         j += 1
         odd_a.append(i)
         odd_b.append(j)
-    at, to, length = np.array(runs, np.int64).reshape(-1, 3).T
+    at, to, length = (np.array(x, np.int64) for x in (run_at, run_to, run_length))
     inside = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
     run_a, run_b = np.repeat(at, length) + inside, np.repeat(to, length) + inside
     group_a = np.concatenate([run_a + 1, np.array(odd_a, np.int64)])
@@ -108,29 +116,26 @@ class Aligner:
         self.n_a, self.n_b = max(vocabulary.values()) + 1, self.b.size
         byte_of = _byte_level()
         added = self.a.made.get_added_tokens_decoder()
-        self.bytes_a = [b""] * self.n_a
+        self.len_a = np.zeros(self.n_a, np.int64)
         for token, i in vocabulary.items():
-            self.bytes_a[i] = token.encode() if i in added else bytes(byte_of[c] for c in token)
-        self.bytes_b = self.b.surface
-        self.len_a = np.array([len(t) for t in self.bytes_a])
-        self.len_b = np.array([len(t) for t in self.bytes_b])
+            self.len_a[i] = len(token.encode()) if i in added else len(token)  # one character a byte
+        self.len_b = np.array([len(t) for t in self.b.surface])
+        if self.a.made.normalizer is not None or not set(byte_of) <= set(vocabulary):
+            raise ValueError(f"{byte_bpe}: a byte-level tokenizer that keeps every byte is needed")
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids A, bounds A, ids B, bounds B) of the texts; none where the bytes of either differ from blank and text."""
-        ids_a = [np.frombuffer(x, "<u4").astype(np.int64) for x in self.a([" " + t if t else "" for t in texts])]
-        flat_b, at = self.b.encode(texts)
-        ids_b = [flat_b[x:y].astype(np.int64) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        none = np.zeros(0, np.int64)
-        for k, t in enumerate(texts):
-            if t and not self._same(" " + t, ids_a[k], ids_b[k]):
-                ids_a[k] = ids_b[k] = none
-        return *_on_end(ids_a), *_on_end(ids_b)
-
-    def _same(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
-        whole = text.encode()
-        return all(
-            b"".join(map(table.__getitem__, ids.tolist())) == whole for table, ids in ((self.bytes_a, a), (self.bytes_b, b))
-        )
+        a = [np.frombuffer(x, "<u4") for x in self.a([" " + t if t else "" for t in texts])]
+        flat_a, at_a = _on_end(a)
+        flat_b, at_b = self.b.encode(texts)
+        flat_b = flat_b.astype(np.int64)
+        # Neither tokenizer loses a byte, but that the second one gives U+2581 back as a blank, which is shorter.
+        want = np.array([len(t.encode()) + 1 if t else 0 for t in texts], np.int64)
+        same = np.ones(len(texts), bool)
+        for flat, at, size in ((flat_a, at_a, self.len_a), (flat_b, at_b, self.len_b)):
+            whole = np.concatenate([[0], np.cumsum(size[flat])])
+            same &= whole[at[1:]] - whole[at[:-1]] == want
+        return *_where(flat_a, at_a, same), *_where(flat_b, at_b, same)
 
     def __call__(self, texts: list[str]) -> dict[str, object]:
         a, at_a, b, at_b = self.tokens(texts)
@@ -189,8 +194,16 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+def _where(flat: np.ndarray, at: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches with those that are not kept made empty."""
+    size = np.diff(at)
+    if kept.all():
+        return flat, at
+    return flat[np.repeat(kept, size)], np.concatenate([[0], np.cumsum(np.where(kept, size, 0))])
+
+
 def _on_end(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    return np.concatenate([np.zeros(0, np.int64), *parts]).astype(np.int64), np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
 @cache

@@ -257,7 +257,10 @@ class PieceModel:
             place = np.cumsum(keep) - 1
             symbols, word, piece = symbols[keep], word[keep], piece[keep]
             new = place[at]
-            changed = np.unique(np.concatenate([new, new[new > 0] - 1]))
+            stale = np.zeros(len(symbols), bool)
+            stale[new] = True
+            stale[new[new > 0] - 1] = True
+            changed = np.flatnonzero(stale)
             piece[changed] = self._pair(symbols, word, changed)
         if not done:
             return symbols, word

@@ -126,7 +126,7 @@ def alignment(rows, byte_bpe, library):
     made.encode_special_tokens = True
     letters = sorted(ByteLevel.alphabet())
     plain = {b for b in range(256) if chr(b) in letters and (0x21 <= b <= 0x7E or 0xA1 <= b)}
-    of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in rest if b not in plain)}
+    of = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
 
     def piece(i):
         return bytes([i - 3]) if library.is_byte(i) else library.id_to_piece(i).replace("▁", " ").encode()
