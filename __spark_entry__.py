@@ -16,14 +16,15 @@ if str(Path(__file__).resolve().parent) not in sys.path:
 
 from checks.dataset_sql import SQL as DATASET_SQL
 from checks.report_sql import SQL as REPORT_SQL
-from claimspan.functions.measures import measure
+from claimspan.functions import summary
+from claimspan.functions.measures import measure, totals
 from claimspan.model import ClaimsModel, filter_model
 from claimspan.operators import quality
 from claimspan.plans import cohort, datasets, finance, fraud, provider, ranking, risk
 from claimspan.schema import PRIMARY_KEYS
 from claimspan.sources import star
 from claimspan.sources.load import load_all
-from claimspan.sources.scratch import shared_folder
+from claimspan.sources.scratch import shared_folder, written
 from claimspan.sources.star import from_star
 from claimspan.sources.tables import read_model, read_with_rejects, verify_counts
 from claimspan.streaming import daily_counts, ingest
@@ -229,7 +230,34 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             bad.select(F.split("raw_row", ",")[0].alias("patient_id"), F.lit(None).cast("int").alias("age"), F.lit(True).alias("rejected"))
         )
 
-    return {"loaded_counts": counts, "loaded_claims": claims, "rejected_rows": rejected}
+    def summarised(spark: SparkSession, folder: str) -> ClaimsModel:
+        """The model with a stored summary in two parts, earlier and later years."""
+        m, path = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        middle = m.dates.selectExpr("(min(date_key) + max(date_key)) div 2").first()[0]
+        for load, part in (("earlier", F.col("date_key") <= middle), ("later", F.col("date_key") > middle)):
+            summary.add_part(summary.summarise(replace(m, claims=m.claims.where(part))), path, load)
+        return replace(m, summary=summary.read_summary(spark, path))
+
+    def from_summary(spark: SparkSession, folder: str) -> DataFrame:
+        """Measures and a slicer answered from the stored summary."""
+        m = filter_model(summarised(spark, folder), year=[1996, 1997, 1998])
+        return measure(m, ["total_claims", "total_claimed", "approval_rate_pct", "avg_settlement_days"], ["insurer", "state", "quarter"])
+
+    def bits(spark: SparkSession, folder: str) -> DataFrame:
+        """Distinct patients per year and insurer, rolled up from exact bitmaps per month."""
+        number = F.substring("patient_id", 2, 20).cast("bigint")
+        monthly = written(summary.patient_bitmaps(from_star(spark, folder), ["year", "month", "insurer"], number), "bitmaps")
+        return summary.exact_patients(monthly, ["year", "insurer"])
+
+    def sketches(spark: SparkSession, folder: str) -> DataFrame:
+        """Per insurer: the exact number of patients, and whether that of the merged sketches is within four standard errors."""
+        m = summarised(spark, folder)
+        near = summary.approximate_patients(m.summary, ["insurer"])
+        exact = totals(m, ["insurer"], ["claim_count"], count_patients=True).select("insurer", "unique_patients")
+        off = F.abs(F.col("patients") - F.col("unique_patients")) <= 4 * summary.PATIENT_ERROR * F.col("unique_patients") + 1
+        return exact.join(near, "insurer").select("insurer", "unique_patients", off.alias("within_error"))
+
+    return {"summary_measures": from_summary, "patients_by_bitmap": bits, "patients_by_sketch": sketches, "loaded_counts": counts, "loaded_claims": claims, "rejected_rows": rejected}
 
 
 def _on_star(report: _Report) -> Callable[[SparkSession, str], DataFrame]:

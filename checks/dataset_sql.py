@@ -327,3 +327,17 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY b, user_id ORDER BY claims DESC, d) AS place FROM windows WHERE touched)
 SELECT user_id, DATE '1970-01-01' + (d - 6) AS from_day, DATE '1970-01-01' + (d + 1) AS before_day, CAST(claims AS BIGINT) AS claims
 FROM ranked WHERE place = 1 AND claims >= 20"""
+
+SQL["summary_measures"] = on_star(
+    "",
+    f"""
+SELECT insurer, p.state, quarter, COUNT(*) AS total_claims, {big('SUM(claim_amount)')} AS total_claimed,
+  {exact(APPROVED, 'COUNT(*)')} AS approval_rate_pct, {mean('settlement_days', 1)} AS avg_settlement_days
+{JOINED} JOIN dim_patients p USING (patient_id) WHERE year IN (1996, 1997, 1998) GROUP BY insurer, p.state, quarter""",
+)
+SQL["patients_by_bitmap"] = on_star(
+    "", f"SELECT year, insurer, COUNT(DISTINCT patient_id) AS patients {JOINED} GROUP BY year, insurer"
+)
+SQL["patients_by_sketch"] = on_star(
+    "", f"SELECT insurer, COUNT(DISTINCT patient_id) AS unique_patients, TRUE AS within_error {JOINED} GROUP BY insurer"
+)

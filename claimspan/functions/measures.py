@@ -58,6 +58,8 @@ def totals(m: ClaimsModel, by: list[str], wanted: list[str] | None = None,
     """
     formulas = additive_totals()
     wanted = list(formulas) if wanted is None else wanted
+    if m.summary is not None and not count_patients and set(by) <= set(m.summary.columns):
+        return _from_summary(m.summary, by, wanted)
     of_patient = [a for a in by if a in ATTRIBUTES and ATTRIBUTES[a][0] == "patients"]
     others = [a for a in by if a not in of_patient]
     claims = with_attributes(m, others)
@@ -76,6 +78,20 @@ def totals(m: ClaimsModel, by: list[str], wanted: list[str] | None = None,
     return per_patient.groupBy(*by).agg(*sums)
 
 
+def flag_of(field: str) -> str:
+    """The column of a summary that says whether a cell's claims are known in this dimension."""
+    return f"_in_{field}"
+
+
+def _from_summary(summary: DataFrame, by: list[str], wanted: list[str]) -> DataFrame:
+    """Totals added up from the cells of a summary, whose keys include ``by``."""
+    for field in dict.fromkeys(ATTRIBUTES[a][0] for a in by if a in ATTRIBUTES):
+        summary = summary.where(flag_of(field))
+    counts = {n for n in wanted if n.endswith("_count") and n not in ("emergency_count", "readmission_count")}
+    sums = [F.coalesce(F.sum(n), F.lit(0)).alias(n) if n in counts else F.sum(n).alias(n) for n in wanted]
+    return summary.groupBy(*by).agg(*sums)
+
+
 # Measure -> (totals it needs, formula). Amounts are whole currency units; a
 # crore is ten million.
 MEASURES: dict[str, tuple[list[str], object]] = {

@@ -22,6 +22,8 @@ class ClaimsModel:
     patients: DataFrame
     providers: DataFrame
     policies: DataFrame
+    #: A stored summary of the claims (``functions.summary``); totals whose keys it has are taken from it.
+    summary: DataFrame | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -75,12 +77,19 @@ def filter_model(m: ClaimsModel, **slicers: object) -> ClaimsModel:
     value or a list of them. Dimension slicers reach the fact through a
     semi-join on the surviving keys.
     """
+    summary = m.summary
+    if summary is not None and not set(slicers) <= set(summary.columns):
+        summary = None  # its cells are not fine enough
     fact_where: list = []
     dim_where: dict[str, list] = {}
     keys: dict[str, str] = {}
     for name, wanted in slicers.items():
         listed = isinstance(wanted, Iterable) and not isinstance(wanted, str)
         values = list(wanted) if listed else [wanted]
+        if summary is not None:
+            summary = summary.where(F.col(name).isin(values))
+            if name in ATTRIBUTES:
+                summary = summary.where(f"_in_{ATTRIBUTES[name][0]}")
         if name in ATTRIBUTES:
             field, key, column = ATTRIBUTES[name]
             dim_where.setdefault(field, []).append(F.col(column).isin(values))
@@ -106,4 +115,4 @@ def filter_model(m: ClaimsModel, **slicers: object) -> ClaimsModel:
             dim = dim.where(condition)
         dims[field] = dim
         claims = claims.join(dim.select(keys[field]), keys[field], "left_semi")
-    return replace(m, claims=claims, **dims)
+    return replace(m, claims=claims, summary=summary, **dims)

@@ -99,6 +99,24 @@ def running_sums(
     )
 
 
+#: Size of a percentile sketch; its ranks are off by less than a third of ``SKETCH_MARGIN``.
+SKETCH_SIZE = 2048
+SKETCH_MARGIN = 0.006
+
+
+def percentile_sketch(value: str) -> Column:
+    """A mergeable sketch of a whole-number column, to be taken in the same aggregate as other columns."""
+    return F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), F.lit(SKETCH_SIZE))
+
+
+def sketched_brackets(stats: DataFrame, keys: list[str], sketch: str, fractions: dict[str, float]) -> DataFrame:
+    """For ``exact_percentiles``: (keys, _total, _ends) from the sketches in ``stats``; groups without a value are left out."""
+    ranks = [min(max(p + d, 0.0), 1.0) for p in sorted(fractions.values()) for d in (-SKETCH_MARGIN, SKETCH_MARGIN)]
+    n = F.kll_sketch_get_n_bigint(sketch)
+    found = F.when(n > 0, F.kll_sketch_get_quantile_bigint(sketch, F.array(*[F.lit(r) for r in ranks])))
+    return stats.select(*keys, n.alias("_total"), found.alias("_ends")).where(F.col("_total") > 0)
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: list[str],
@@ -107,26 +125,29 @@ def exact_percentiles(
     max_group_rows: int = MAX_GROUP_ROWS,
     slices: int | None = None,
     accuracy: int = 1000,
+    brackets: DataFrame | None = None,
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per name in ``fractions``.
 
-    Sketches bracket each percentile first. A second pass counts every value
+    Sketches bracket each percentile first (``brackets``, if the caller has
+    taken them in an aggregate of its own). A second pass counts every value
     inside the brackets and merely the number of rows between them, so almost
-    nothing is shuffled and no task holds a group. A rank that falls outside
-    its bracket is noticed and counted over all values instead. NULL values are
-    left out.
+    nothing is shuffled and no task holds a group. A group with a rank that falls
+    outside its bracket is noticed and counted over all its values instead. NULL
+    values are left out.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    margin = 5 / accuracy
-    ends = [min(max(p + d, 0.0), 1.0) for p in sorted(fractions.values()) for d in (-margin, margin)]
-    brackets = written(_brackets(rows, keys, value, ends, accuracy), "brackets")
+    if brackets is None:
+        margin = 5 / accuracy
+        ends = [min(max(p + d, 0.0), 1.0) for p in sorted(fractions.values()) for d in (-margin, margin)]
+        brackets = written(_brackets(rows, keys, value, ends, accuracy), "brackets")
     known = null_safe_join(rows, brackets, keys)
     inside = None
-    for i in range(0, len(ends), 2):
+    for i in range(0, 2 * len(fractions), 2):
         one = F.col(value).between(F.col("_ends")[i], F.col("_ends")[i + 1])
         inside = one if inside is None else inside | one
     # Rows between brackets stand right after the bracket end below them.
-    passed = [F.when(F.col("_ends")[i] < F.col(value), F.col("_ends")[i]) for i in range(len(ends))]
+    passed = [F.when(F.col("_ends")[i] < F.col(value), F.col("_ends")[i]) for i in range(2 * len(fractions))]
     below = F.greatest(*passed)  # NULL below the first bracket
     cells = known.select(
         *keys,
@@ -142,10 +163,11 @@ def exact_percentiles(
         gap = (F.col(f"_lo_{name}._gap") == 1) | (F.col(f"_hi_{name}._gap") == 1)
         missed = gap if missed is None else missed | gap
     if not found.where(missed).isEmpty():
-        everything = known.select(
+        again = null_safe_join(known, found.where(missed).select(*keys), keys, "left_semi")
+        everything = again.select(
             *keys, "_total", F.col(value).alias("_value"), F.lit(0).alias("_gap")
         )
-        found = _at_ranks(everything, keys, fractions, max_group_rows, slices)
+        found = found.where(~missed).unionByName(_at_ranks(everything, keys, fractions, max_group_rows, slices))
 
     def between(name: str, p: float) -> Column:
         place = (F.col("_total") - 1) * F.lit(p)

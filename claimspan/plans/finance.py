@@ -9,9 +9,10 @@ from claimspan.functions.measures import growth_pct, previous_year, totals
 from claimspan.functions.numeric import banded, mean, ratio
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import null_safe_join
-from claimspan.operators.ordered import MAX_GROUP_ROWS, exact_percentiles
+from claimspan.operators.ordered import MAX_GROUP_ROWS, exact_percentiles, percentile_sketch, sketched_brackets
 from claimspan.plans import fixed, top
 from claimspan.schema import REJECTED
+from claimspan.sources.scratch import written
 
 
 def loss_ratio_by_insurer_quarter(
@@ -87,29 +88,29 @@ def rejection_root_cause(m: ClaimsModel, limit: int | None = 30) -> DataFrame:
 
 def state_access_cost(m: ClaimsModel) -> DataFrame:
     """Volumes, cost and care quality per patient state."""
-    pairs = m.claims.groupBy("patient_id", "provider_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("claim_amount").alias("claimed"),
-        F.count("claim_amount").alias("valued"),
-        F.sum("approved_amount").alias("approved"),
-        F.sum("settlement_days").alias("days"),
-        F.count("settlement_days").alias("settled"),
-        F.sum("is_emergency").alias("emergencies"),
-        F.sum("is_readmission").alias("readmissions"),
-        F.count_if(F.col("status") == "Approved").alias("approvals"),
-    )
-    sums = ["n", "claimed", "valued", "approved", "days", "settled", "emergencies",
-            "readmissions", "approvals"]
-    states = (
-        pairs.join(m.patients.select("patient_id", "state"), "patient_id")
-        .join(m.providers.select("provider_id"), "provider_id")
-        .groupBy("state")
-        .agg(
-            F.count_distinct("patient_id").alias("total_patients"),
-            F.count_distinct("provider_id").alias("hospitals_used"),
-            *[F.sum(s).alias(s) for s in sums],
-        )
+    sums = {
+        "n": F.count(F.lit(1)),
+        "claimed": F.sum("claim_amount"),
+        "valued": F.count("claim_amount"),
+        "approved": F.sum("approved_amount"),
+        "days": F.sum("settlement_days"),
+        "settled": F.count("settlement_days"),
+        "emergencies": F.sum("is_emergency"),
+        "readmissions": F.sum("is_readmission"),
+        "approvals": F.count_if(F.col("status") == "Approved"),
+    }
+    # Claims are added up per patient and hospital; both distinct counts are then counts of
+    # combined rows, without a copy of the rows for each of them.
+    pairs = (
+        m.claims.groupBy("patient_id", "provider_id")
+        .agg(*[e.alias(n) for n, e in sums.items()])
+        .join(m.patients.select("patient_id", "state"), "patient_id")
+        .join(m.providers.select("provider_id"), "provider_id", "left_semi")
     )
+    hospitals = pairs.groupBy("state", "provider_id").agg(*[F.sum(n).alias(n) for n in sums])
+    states = hospitals.groupBy("state").agg(F.count(F.lit(1)).alias("hospitals_used"), *[F.sum(n).alias(n) for n in sums])
+    patients = pairs.select("state", "patient_id").distinct().groupBy("state").agg(F.count(F.lit(1)).alias("total_patients"))
+    states = null_safe_join(states, patients, ["state"])
     return states.select(
         "state",
         "total_patients",
@@ -129,7 +130,11 @@ def state_access_cost(m: ClaimsModel) -> DataFrame:
 def diagnosis_cost_benchmark(
     m: ClaimsModel, max_group_rows: int = MAX_GROUP_ROWS, slices: int | None = None
 ) -> DataFrame:
-    """Cost distribution per diagnosis, with exact percentiles."""
+    """Cost distribution per diagnosis, with exact percentiles.
+
+    Claims are read twice: for the aggregate with a sketch of the amounts, and
+    for the values that the sketch leaves in question.
+    """
     keys = ["diagnosis_code", "diagnosis_name"]
     main = m.claims.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_cases"),
@@ -143,9 +148,12 @@ def diagnosis_cost_benchmark(
         F.sum("claim_amount").alias("_claimed"),
         F.count("claim_amount").alias("_claimed_n"),
         mean(F.sum("length_of_stay"), F.count("length_of_stay"), 1).alias("avg_los"),
+        percentile_sketch("claim_amount").alias("_sketch"),
     )
+    main = written(main, "diagnosis-costs")
     fractions = {"p25_cost": 0.25, "median_cost": 0.50, "p75_cost": 0.75, "p95_cost": 0.95}
-    spread = exact_percentiles(m.claims, keys, "claim_amount", fractions, max_group_rows, slices)
+    brackets = sketched_brackets(main, keys, "_sketch", fractions)
+    spread = exact_percentiles(m.claims, keys, "claim_amount", fractions, max_group_rows, slices, brackets=brackets)
     # Mean approved over mean claimed; the same rows stand under both means
     # unless an amount is missing.
     approved_pct = F.when(

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from claimspan.functions.numeric import mean, ratio
 from claimspan.model import ClaimsModel
 from claimspan.operators.groups import null_safe_join
-from claimspan.operators.ranking import MAX_GLOBAL_ROWS, percent_rank_by_value
 from claimspan.sources.scratch import written
 
 
@@ -48,29 +47,35 @@ def top_patients_by_state(m: ClaimsModel, k: int = 5) -> DataFrame:
     )
 
 
-def settlement_percentile(m: ClaimsModel, max_group_rows: int = MAX_GLOBAL_ROWS) -> DataFrame:
+def settlement_percentile(m: ClaimsModel) -> DataFrame:
     """Each settled claim's percentile by settlement days within its insurer.
 
     The rank depends on the days alone, so it is found on counts per insurer
-    and day and joined back; no insurer's claims are gathered in one task.
+    and number of days and joined back: no insurer's claims are gathered in one
+    task, and a window holds no more rows than there are numbers of days. Equal
+    days share a rank, (claims with fewer days) / (claims - 1), or 0 for one claim.
     """
     settled = (
         m.claims.where(F.col("settlement_days").isNotNull())
         .join(m.policies.select("policy_id", "insurer"), "policy_id")
         .select("insurer", "claim_id", "settlement_days")
     )
-    counts = written(
-        settled.groupBy("insurer", "settlement_days").agg(F.count(F.lit(1)).alias("n")),
-        "settlement-counts",
-    )
-    ranks = percent_rank_by_value(counts, "insurer", "settlement_days", "n", max_group_rows)
-    days = F.col("settlement_days")
-    spread = counts.groupBy("insurer").agg(
-        mean(F.sum(days * F.col("n")), F.sum("n"), 1).alias("insurer_avg_days"),
-        F.min(days).alias("insurer_min_days"),
-        F.max(days).alias("insurer_max_days"),
+    days, n = F.col("settlement_days"), F.col("n")
+    counts = settled.groupBy("insurer", "settlement_days").agg(F.count(F.lit(1)).alias("n"))
+    all_of = Window.partitionBy("insurer")
+    below = F.sum("n").over(all_of.orderBy("settlement_days").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - n
+    total = F.sum("n").over(all_of)
+    lookup = written(  # stored, so that its size is known and claims are not shuffled for it
+        counts.select(
+            "insurer",
+            "settlement_days",
+            F.when(total > 1, below / (total - 1)).otherwise(F.lit(0.0)).alias("percent_rank"),
+            mean(F.sum(days * n).over(all_of), total, 1).alias("insurer_avg_days"),
+            F.min(days).over(all_of).alias("insurer_min_days"),
+            F.max(days).over(all_of).alias("insurer_max_days"),
+        ),
+        "settlement-ranks",
     )
-    lookup = written(null_safe_join(ranks, spread, ["insurer"]), "settlement-ranks")
     return (
         null_safe_join(settled, lookup, ["insurer", "settlement_days"])
         .select(

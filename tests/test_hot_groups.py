@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from claimspan.operators import ordered, ranking, timeline
 from claimspan.operators.groups import hot_keys
-from claimspan.plans import cohort, finance, fraud, provider, ranking as reports
+from claimspan.plans import cohort, finance, fraud, provider
 from tests.conftest import same
 
 
@@ -173,4 +173,3 @@ def test_reports_agree_either_way(star):
          finance.diagnosis_cost_benchmark(star, max_group_rows=100, slices=4))
     same(provider.hospital_approval_rank(star, limit=None),
          provider.hospital_approval_rank(star, limit=None, max_rows=3, slices=3))
-    same(reports.settlement_percentile(star), reports.settlement_percentile(star, max_group_rows=5))

@@ -135,3 +135,20 @@ def test_partitioned_write_spreads_one_year(spark, tmp_path):
     df = spark.range(20_000).select("id", F.lit(2022).alias("y"))
     write_table(df.repartition(8), str(tmp_path / "t"), ("y",))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
+
+
+def test_diagnosis_benchmark_reads_claims_twice(stored, monkeypatch):
+    from claimspan.operators import groups, ordered
+
+    texts = []
+    real = finance.written
+
+    def noted(df, label):
+        texts.append(plan(df))
+        return real(df, label)
+
+    for module in (finance, ordered, groups):
+        monkeypatch.setattr(module, "written", noted)
+    texts.append(plan(finance.diagnosis_cost_benchmark(stored)))
+    assert sum(len(fact_scans(t)) for t in texts) == 2
+    assert "Expand" not in plan(finance.state_access_cost(stored))
