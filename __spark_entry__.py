@@ -21,7 +21,7 @@ from claimspan.functions.measures import measure, totals
 from claimspan.model import ClaimsModel, filter_model
 from claimspan.operators import quality
 from claimspan.plans import cohort, datasets, finance, fraud, provider, ranking, risk
-from claimspan.schema import PRIMARY_KEYS
+from claimspan.schema import PRIMARY_KEYS, TABLES
 from claimspan.sources import star
 from claimspan.sources.load import load_all
 from claimspan.sources.scratch import shared_folder, written
@@ -220,6 +220,21 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         load_all(spark, source, f"{source}/lake")
         return read_model(spark, f"{source}/lake").claims
 
+    def reloaded(spark: SparkSession, folder: str) -> DataFrame:
+        """A load whose claims of one year are wrong, and a second one with the right ones, which writes that year alone."""
+        m, source = as_csv(spark, folder)
+        wrong = spark.read.schema(TABLES["fact_claims"]).option("header", True).csv(f"{source}/fact_claims.csv")
+        first = m.dates.agg(F.min("year")).first()[0]
+        days = m.dates.where(F.col("year") == first).agg(F.min("date_key"), F.max("date_key")).first()
+        amount = F.when(F.col("date_key").between(*days), F.col("claim_amount") + 1).otherwise(F.col("claim_amount"))
+        wrong.withColumn("claim_amount", amount).write.option("header", True).csv(f"{source}/wrong/fact_claims.csv")
+        for name, df in m.tables().items():
+            if name != "fact_claims":
+                df.write.option("header", True).csv(f"{source}/wrong/{name}.csv")
+        load_all(spark, f"{source}/wrong", f"{source}/lake")
+        load_all(spark, source, f"{source}/lake")
+        return read_model(spark, f"{source}/lake").claims
+
     def rejected(spark: SparkSession, folder: str) -> DataFrame:
         """Patients from CSV where every age that ends in 7 is no number: those rows are set aside with their text."""
         m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
@@ -257,7 +272,7 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         off = F.abs(F.col("patients") - F.col("unique_patients")) <= 4 * summary.PATIENT_ERROR * F.col("unique_patients") + 1
         return exact.join(near, "insurer").select("insurer", "unique_patients", off.alias("within_error"))
 
-    return {"summary_measures": from_summary, "patients_by_bitmap": bits, "patients_by_sketch": sketches, "loaded_counts": counts, "loaded_claims": claims, "rejected_rows": rejected}
+    return {"summary_measures": from_summary, "patients_by_bitmap": bits, "patients_by_sketch": sketches, "loaded_counts": counts, "loaded_claims": claims, "reloaded_claims": reloaded, "rejected_rows": rejected}
 
 
 def _on_star(report: _Report) -> Callable[[SparkSession, str], DataFrame]:

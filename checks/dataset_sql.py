@@ -296,6 +296,7 @@ FROM weeks, closed WHERE before_day <= mark GROUP BY user_id, before_day HAVING
 # The load of the star from CSV, its rows, and rows that do not parse.
 SHORT_ID = "'C' || substring(md5(claim_id), 1, 14)"
 SQL["loaded_claims"] = on_star("", f"SELECT DISTINCT f.* REPLACE ({SHORT_ID} AS claim_id), year AS claim_year FROM fact_claims f JOIN dim_date USING (date_key)")
+SQL["reloaded_claims"] = SQL["loaded_claims"]
 SQL["loaded_counts"] = on_star(
     "",
     "\nUNION ALL\n".join(

@@ -10,6 +10,7 @@ from claimspan.model import ClaimsModel
 from claimspan.schema import DIAGNOSIS_REFERENCE, TABLES
 from claimspan.sources.scratch import written
 from claimspan.sources.versions import current
+from claimspan.sources.years import read_manifest, read_years
 
 _BAD_ROW = "_bad_row"
 
@@ -34,7 +35,8 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "csv") -> D
             .csv(f"{root}/{name}.csv")
         )
     if fmt == "parquet":
-        return spark.read.parquet(f"{root}/{name}")
+        years = read_manifest(spark, root) if name == "fact_claims" else None
+        return spark.read.parquet(f"{root}/{name}") if years is None else read_years(spark, root, years)
     raise ValueError(f"unknown format {fmt!r}")
 
 

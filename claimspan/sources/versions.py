@@ -16,6 +16,22 @@ def files_of(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    fs, where = files_of(spark, path)
+    out = fs.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None if it is not there."""
+    fs, where = files_of(spark, path)
+    if not fs.exists(where):
+        return None
+    return "".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
 def current(spark: SparkSession, root: str) -> str:
     """The folder of the published version under ``root``; ``root`` itself if it has no versions."""
     fs, pointer = files_of(spark, f"{root}/{POINTER}")

@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -130,11 +131,43 @@ def test_a_failing_write_leaves_the_old_model_whole(spark, folder, tmp_path, mon
 
     monkeypatch.setattr(load, "write_table", write)
     (folder / "dim_patients.csv").write_text(CSV["dim_patients"].replace("P00001", "P00002"))
+    (folder / "fact_claims.csv").write_text(CSV["fact_claims"].replace("P00001", "P00002"))
     with pytest.raises(OSError, match="no space"):
         load.load_all(spark, str(folder), target)
     after = {t: sorted(map(tuple, df.collect()), key=repr) for t, df in tables.read_model(spark, target).tables().items()}
     assert after == before
     assert len(list((tmp_path / "out").glob("version=*"))) == 1  # nothing is left of the failed one
+    assert len(list((tmp_path / "out" / "years").glob("load=*"))) == 1
+
+
+def test_a_load_writes_the_years_that_changed(spark, folder, tmp_path, monkeypatch):
+    target, written_years = str(tmp_path / "out"), []
+
+    def write(df, path, partition_by=()):
+        tables.write_table(df, path, partition_by)
+        if partition_by:
+            written_years.append(sorted(p.name for p in Path(path).glob("claim_year=*")))
+
+    monkeypatch.setattr(load, "write_table", write)
+    reload = lambda text: ((folder / "fact_claims.csv").write_text(text), load.load_all(spark, str(folder), target))
+    held = lambda: sorted((r["claim_id"], r["claim_amount"], r["claim_year"]) for r in rows(tables.read_model(spark, target).claims))
+    reload(CSV["fact_claims"])
+    head, first, second = CSV["fact_claims"].splitlines()
+    reload("\n".join([head, second, first]) + "\n")  # another order is no change
+    assert written_years == [["claim_year=2022", "claim_year=2023"]]
+    reload("\n".join([head, first, second.replace("6000", "6001")]) + "\n")
+    assert written_years[1:] == [["claim_year=2023"]]
+    assert held() == [("CLM000001", 5000, 2022), ("CLM000002", 6001, 2023)]
+    third = first.replace("CLM000001", "CLM000003")
+    reload("\n".join([head, first, third, third.replace("CLM000003", "CLM000004")]) + "\n")  # a year grows, another one goes
+    assert written_years[2:] == [["claim_year=2022"]]
+    assert [h[0] for h in held()] == ["CLM000001", "CLM000003", "CLM000004"]
+    reload(head + "\n")
+    assert held() == []
+    reload(CSV["fact_claims"])
+    assert len(held()) == 2
+    assert len(list(Path(target, "years").glob("load=*"))) <= 3  # what no version names is gone
+    assert len(list(Path(target).glob("version=*"))) == 2
 
 
 def test_old_versions_go_and_tables_are_registered(spark, folder, tmp_path):
