@@ -159,7 +159,7 @@ def top_k(
       empty vector scores 0 with other empty ones.
     * Repeated rows are rows of their own, as queries and as candidates.
     * An empty table gives no rows. Other columns have no part.
-    * Quantised components must fit 64-bit scores.
+    * An error is raised before the search if a score might leave 64 bits.
     """
     scratch = Scratch(vectors.sparkSession, "bitsliced")
     rows = vectors.select(
@@ -167,7 +167,11 @@ def top_k(
         quantised(vector, scale).alias("v"),
         F.coalesce(query, F.lit(False)).alias("q"),
     ).where("id is not null and v is not null")
-    blocks = max(1, -(-vectors.count() // BLOCK_ROWS))
+    longest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    n, most, dims = rows.agg(F.count("*"), F.max(longest), F.max(F.size("v"))).first()
+    if n and 2 * (dims or 0) * (most or 0) ** 2 >= 2**63:
+        raise ValueError(f"scores of {dims} components of up to {most} (quantised) may leave 64 bits; use a smaller scale")
+    blocks = max(1, -(-n // BLOCK_ROWS))
     made = scratch.table(index(rows, blocks, "id", "v", "q").withColumn("own", F.monotonically_increasing_id()), "index", keep=True)
     asked = (
         made.where(F.octet_length("queries") > 0)

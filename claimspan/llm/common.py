@@ -83,9 +83,11 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._tables: dict[str, bool] = {}
+        self._made = 0
 
     def path(self, name: str, keep: bool = False) -> str:
-        path = f"{self.root}/{len(self._tables)}-{name}"
+        self._made += 1
+        path = f"{self.root}/{self._made}-{name}"
         self._tables[path] = keep
         return path
 
@@ -94,6 +96,18 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def turn(self, df: DataFrame, name: str, before: str | None) -> tuple[DataFrame, str]:
+        """Store a pass over a table that is too large to keep twice: the pass ``before`` is deleted once this one stands.
+
+        The last pass stays, for the result that reads it.
+        """
+        path = self.path(name, keep=True)
+        df.write.parquet(path)
+        if before:
+            self._delete(before)
+            self._tables.pop(before)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
     def _delete(self, path: str) -> None:
         jvm = self.spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)
@@ -127,6 +141,13 @@ def aliased(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFra
     )
 
 
+def restored(out: DataFrame, names: dict[str, str], results: list[str]) -> DataFrame:
+    """The columns of a frame behind ``aliased`` under their own names, and the results, which replace columns of their name."""
+    taken = {r.lower() for r in results}
+    own = [F.col(new).alias(old) for old, new in names.items() if old.lower() not in taken]
+    return out.select(*own, *[F.col(f"`{r}`") for r in results])
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text, or one row."""
     for batch in batches:

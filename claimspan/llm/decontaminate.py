@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, aliased, extended, ship, utf8, without
+from claimspan.llm.common import Scratch, aliased, extended, restored, ship, utf8
 from claimspan.llm.words import WORD_CHARS, words
 
 WINDOW = 13
@@ -201,7 +201,8 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, scratch:
         np.savez(held, **_build(sequences, window))
         return pd.DataFrame({"block": [rows["block"].iloc[0]], "items": [rows["item"].tolist()], "made": [held.getvalue()]})
 
-    cut = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int"))
+    # equal rows are one item: many of them are no large block
+    cut = items.distinct().withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)).cast("int"))
     made = cut.groupBy("block").applyInPandas(build, "block int, items array<string>, made binary")
     return scratch.table(made, "automata")
 
@@ -232,7 +233,8 @@ def passages(
     with Scratch(docs.sparkSession, "decontaminate") as scratch:
         table = _blocks(benchmark, item_id, item_text, window, scratch)
         numbers = sorted(r["block"] for r in table.select("block").collect())
-        now = without(docs, ["_longest", "_spans", "_items"])
+        rows, names, _ = aliased(docs)
+        now, stored = rows, None
         for turn, number in enumerate(numbers or [None]):
             held = None
             if number is not None:
@@ -243,11 +245,11 @@ def passages(
                     now = now.withColumnRenamed(name, f"_{name}")
             else:
                 now = now.select("*", *[F.lit(None).cast(kind).alias(f"_{name}") for name, kind in _CARRIED])
-            now = extended(now, _FOUND, text, _pass(held, window, text)).drop(*[f"_{name}" for name, _ in _CARRIED])
+            now = extended(now, _FOUND, names[text], _pass(held, window, names[text])).drop(*[f"_{name}" for name, _ in _CARRIED])
             if turn < len(numbers) - 1:
-                now = scratch.table(now, f"pass-{turn}", keep=True)
+                now, stored = scratch.turn(now, f"pass-{turn}", stored)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
-    return without(now, ["n_hit"]).withColumn("n_hit", hit)
+    return restored(now.withColumn("n_hit", hit), names, ["n_words", "longest", "spans", "items", "n_hit"])
 
 
 _CARRIED = [("longest", "int"), ("spans", f"array<{_SPAN}>"), ("items", "array<string>")]

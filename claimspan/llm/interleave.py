@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, without
+from claimspan.llm.common import Scratch, aliased, restored
 from claimspan.llm.slices import hashable, position, running, slice_of, source_key
 
 SEED = 20_240_611
@@ -30,16 +30,17 @@ def interleave(docs: DataFrame, shards: int = 8, source: str = "source", seed: i
     * Repeated rows all stay; equal rows stand side by side in their source, so
       their slots are exchangeable and the result is the same in every run.
     * Fewer rows than shards leave shards empty; an empty table gives no rows.
-    * Columns already named ``shard`` or ``slot`` are replaced. Names that begin
-      with an underscore and are used here (``_src``, ``_at`` ...) are replaced too.
+    * Columns already named ``shard`` or ``slot`` are replaced; all others keep
+      their values, whatever their names. Rows that differ only in columns that
+      cannot be hashed (maps) count as equal: their slots may differ between runs.
     """
     scratch = Scratch(docs.sparkSession, "interleave")
-    mine = ["shard", "slot", "_src", "_at", "_tie", "_rows", "_piece", "_rank", "_share", "_cut", "_place", "_shard"]
-    base = without(docs, mine)
-    every = hashable(base)
-    base = base.select(
-        "*",
-        source_key(source).alias("_src"),
+    rows, names, _ = aliased(docs)
+    kept = [new for old, new in names.items() if old.lower() not in ("shard", "slot")]
+    every = hashable(rows.select(*kept))
+    base = rows.select(
+        *kept,
+        source_key(names[source]).alias("_src"),
         position(seed, *every).alias("_at"),
         F.xxhash64(F.lit(seed + 1), *every).alias("_tie"),
     )
@@ -56,15 +57,9 @@ def interleave(docs: DataFrame, shards: int = 8, source: str = "source", seed: i
     )
     shard = F.expr(f"_place * {shards}L div {max(total, 1)}L")
     first = F.expr(f"(_shard * {total}L + {shards - 1}L) div {shards}L")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in mine]
-    return (
-        placed.withColumn("_shard", shard)
-        .select(
-            *kept,
-            F.col("_shard").cast("int").alias("shard"),
-            (F.col("_place") - first).alias("slot"),
-        )
-    )
+    placed = placed.withColumn("_shard", shard)
+    placed = placed.withColumn("shard", F.col("_shard").cast("int")).withColumn("slot", F.col("_place") - first)
+    return restored(placed, names, ["shard", "slot"])
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

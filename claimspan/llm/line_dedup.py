@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, arrow, batch_of, chunks, extended, map_arrow, ship
+from claimspan.llm.common import Scratch, aliased, arrow, batch_of, chunks, extended, map_arrow, restored, ship
 from claimspan.llm.words import mix
 
 MIN_DOCS = 10
@@ -166,18 +166,20 @@ def without_common_lines(
                 size = 0
             groups[-1].append(row["shard"])
             size += row["bytes"]
-        now = docs.withColumn("_dropped", F.lit(None).cast("binary"))
+        rows, names, _ = aliased(docs)
+        now, stored = rows.withColumn("dropped", F.lit(None).cast("binary")), None
         for turn, group in enumerate(groups):
             rows = made.where(F.col("shard").isin(group)).collect() if group else []
             held = spark.sparkContext.broadcast(
                 {r["shard"]: {k: np.frombuffer(r[k], kind) for k, kind in _KINDS.items()} for r in rows}
             )
             last = turn == len(groups) - 1
-            setup = _probe(held, shards, text, min_docs, min_chars, last)
+            setup = _probe(held, shards, names[text], min_docs, min_chars, last)
             if last:
-                return extended(now, "n_lines long, n_dropped long, kept string", text, setup).drop("_dropped")
-            now = extended(now, "_more binary", text, setup).drop("_dropped").withColumnRenamed("_more", "_dropped")
-            now = scratch.table(now, f"pass-{turn}", keep=True)
+                found = extended(now, "n_lines long, n_dropped long, kept string", names[text], setup)
+                return restored(found, names, ["n_lines", "n_dropped", "kept"])
+            now = extended(now, "more binary", names[text], setup).drop("dropped").withColumnRenamed("more", "dropped")
+            now, stored = scratch.turn(now, f"pass-{turn}", stored)
         raise AssertionError("there is always a group")
 
 
@@ -195,7 +197,7 @@ def _probe(held: object, shards: int, text: str, min_docs: int, min_chars: int,
             for number, table in tables.items():
                 mine = np.flatnonzero((owner == number) & able)
                 common[mine] = table.documents(h[mine]) >= min_docs
-            had = batch.column("_dropped").to_pylist()
+            had = batch.column("dropped").to_pylist()
             at, out = 0, []
             for lines, old in zip(texts, had, strict=True):
                 gone = common[at : at + len(lines)]

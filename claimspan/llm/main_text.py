@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from claimspan.llm.common import Scratch, arrow, batch_of, chunks, extended, map_arrow
+from claimspan.llm.common import Scratch, aliased, arrow, batch_of, chunks, extended, map_arrow, restored
 from claimspan.llm.html_tree import Element, digest, read
 
 CONTENT = 0.9
@@ -169,8 +169,8 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
       whole. An empty table gives no rows. A column named ``text`` is replaced, even if it holds
       the pages; others are carried along, nulls too.
     """
-    if html.lower() == "text":
-        pages, html = pages.withColumnRenamed(html, "_html"), "_html"
+    pages, names, _ = aliased(pages)
+    url, html = names[url], names[html]
     scratch = Scratch(pages.sparkSession, "styletree")
     sites = pages.select(host(url).alias("host"), F.col(f"`{html}`").alias("html"))
     low = style_tree(sites).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LEAST))
@@ -193,4 +193,4 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
 
         return run
 
-    return extended(joined, "text string", html, setup).drop("_host", "_low", "_html")
+    return restored(extended(joined, "text string", html, setup), names, ["text"])

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, aliased
+from claimspan.llm.common import Scratch, aliased, restored
 from claimspan.llm.slices import hashable, position, running, slice_of, source_key
 
 SEED = 20_240_617
@@ -208,10 +208,9 @@ def plan(
     numbers = F.when(F.col("_times") > 0, F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)).otherwise(
         F.array().cast("array<bigint>")
     )
-    copies = F.filter(F.transform(numbers, copy), lambda c: c["shard"] < shards).alias("copies")
-    return mixed.select(*[F.col(name[c]).alias(c) for c in kept], "size", "source_size", "target", copies).select(
-        *[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"), "copies"
-    )
+    copies = F.filter(F.transform(numbers, copy), lambda c: c["shard"] < shards)
+    found = mixed.withColumn("copies", copies).withColumn("taken", F.col("size") * F.size("copies"))
+    return restored(found, {c: name[c] for c in kept}, ["size", "source_size", "target", "taken", "copies"])
 
 
 def _nearest(dealt: DataFrame, scratch: Scratch) -> DataFrame:
@@ -239,14 +238,9 @@ def mix(docs: DataFrame, seed: int = SEED, text: str = "text", source: str = "so
     """
     rows, name, _ = aliased(docs)
     planned = plan(rows, text=name[text], source=name[source], seed=seed, **how)
-    mixed = planned.withColumn("_copy", F.explode("copies"))
-    place = position(seed + 2, *hashable(rows), F.col("_copy.copy"))
-    new = {"copy": "_copy.copy", "block": "_copy.block", "shard": "_copy.shard"}
-    return mixed.select(
-        *[F.col(n).alias(c) for c, n in name.items() if c.lower() not in [*new, "place"]],
-        *[F.col(path).alias(c) for c, path in new.items()],
-        place.alias("place"),
-    )
+    mixed = planned.withColumn("_copy", F.explode("copies")).select("*", "_copy.copy", "_copy.block", "_copy.shard")
+    mixed = mixed.withColumn("place", position(seed + 2, *hashable(rows), F.col("copy")))
+    return restored(mixed, name, ["copy", "block", "shard", "place"])
 
 
 def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", **how: object) -> DataFrame:

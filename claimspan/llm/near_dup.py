@@ -26,10 +26,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimspan.llm.common import Scratch, arrow, batch_of, chunks, map_arrow, utf8
+from claimspan.llm.common import Scratch, aliased, arrow, batch_of, chunks, map_arrow, utf8
 from claimspan.llm.graph import components
 from claimspan.llm.words import NOT_SPACE, mix, shingles, words
 
@@ -38,7 +38,7 @@ PERCENT = 75
 GROUPS = 13
 PER_GROUP = 2
 #: Members of one pivot that are compared in one run; a larger star is split into several.
-STAR_ROWS = 512
+STAR_ROWS = 128
 #: 64-bit words of the bitmap of a document that stands in for its set where pairs are ruled out.
 MAP_WORDS = 16
 
@@ -201,13 +201,16 @@ def _link(reps: DataFrame, named: DataFrame, shingle: int, percent: int, scratch
         ]
     )
     rows = reps.select("id", F.col("n_shingles").cast("int").alias("n"), F.inline(keys))
-    bucket = Window.partitionBy("key")
-    pivot = F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).over(bucket)
+    # Counts and pivots are combined before the shuffle, so a frequent key costs no task more than a rare one;
+    # rows then meet the keys that several of them have in a join, which splits a frequent one.
+    pivot = F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("pivot")
+    shared = scratch.table(
+        rows.groupBy("key").agg(F.count("*").alias("rows"), pivot).where("rows > 1")
+        .selectExpr("key as shared_key", "pivot.id as pivot", "pivot.n as pivot_n"),
+        "shared",
+    )
     members = scratch.table(
-        rows.select("key", "i", "j", "id", "n", F.count("*").over(bucket).alias("rows"), pivot.alias("pivot"))
-        .where("rows > 1")
-        .selectExpr("key", "i", "j", "id", "n", "pivot.id as pivot", "pivot.n as pivot_n"),
-        "members",
+        rows.join(shared, F.col("key") == F.col("shared_key")).select("key", "i", "j", "id", "n", "pivot", "pivot_n"), "members"
     )
     fits = "id <> pivot and 100L * least(n, pivot_n) >= {p}L * greatest(n, pivot_n)".format(p=percent)
     star = scratch.table(
@@ -336,7 +339,10 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", **how: object) -> DataFrame:
     """The rows of ``docs`` without the near duplicates: the smallest id of each component stays."""
-    gone = near_duplicates(docs, doc_id, **how).where("not kept").select(F.col(doc_id).alias("_gone")).distinct()
+    text = how.pop("text", "text")
+    rows, names, back = aliased(docs)
+    found = near_duplicates(rows, names[doc_id], names[text], **how)
+    gone = found.where("not kept").select(F.col(names[doc_id]).alias("gone")).distinct()
     # stored, so that Spark knows its size and broadcasts it only if that is small
     gone = Scratch(docs.sparkSession, "duplicates").table(gone, "ids", keep=True)
-    return docs.join(gone, F.col(f"`{doc_id}`") == F.col("_gone"), "left_anti")
+    return back(rows.join(gone, F.col(names[doc_id]) == F.col("gone"), "left_anti"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from claimspan.llm.common import arrow, extended, map_arrow, without
-from claimspan.llm.words import hashes_of
+from claimspan.llm.words import distinct, hashes_of
 
 _BLANK, _MARK = 0x20, 0x2581
 _NONE = np.iinfo(np.int32).max
@@ -201,7 +201,7 @@ class PieceModel:
         cut[edges[:-1]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(points))
-        _, first, which = np.unique(hashes_of(self.values[points], start, end), return_index=True, return_inverse=True)
+        first, which = distinct(hashes_of(self.values[points], start, end))
         length = (end - start)[first]
         begins = np.cumsum(length) - length
         take = np.arange(int(length.sum())) + np.repeat(start[first] - begins, length)

@@ -20,7 +20,7 @@ from claimspan.llm.common import aliased, arrow, batch_of, chunks, extended, map
 
 #: N-grams in a profile, and in the list of a document.
 PROFILE = 300
-#: A profile names its languages; beyond this many ``profiles`` refuses, and drops nothing.
+#: Profiles are handed to all tasks, 300 n-grams a language; beyond this many languages ``predict`` raises an error.
 MAX_LANGUAGES = 10_000
 UNKNOWN = "und"
 #: Distinct n-grams a task holds before it passes their counts on.
@@ -116,6 +116,7 @@ def predict(docs: DataFrame, learned: DataFrame, text: str = "text") -> DataFram
     * Whole texts are read. Repeated rows get equal results. An empty table
       gives no rows. Columns named as the results are replaced; other columns
       are carried along and have no part, nulls in them neither.
+    * More than 10,000 learned languages raise an error before any text is read.
     """
     table = learned.limit(MAX_LANGUAGES * PROFILE + 1).collect()
     if len(table) > MAX_LANGUAGES * PROFILE:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from claimspan.llm.common import Scratch, arrow, chunks, map_arrow
 from claimspan.llm.pretokens import open_tokenizer, splitter, starts_of
-from claimspan.llm.words import hashes_of
+from claimspan.llm.words import distinct, hashes_of
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
@@ -96,7 +96,7 @@ class _Encoder:
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         start = starts_of(points, edges[:-1])
         end = np.append(start[1:], len(points))
-        _, at, which = np.unique(hashes_of(self.values[points], start, end), return_index=True, return_inverse=True)
+        at, which = distinct(hashes_of(self.values[points], start, end))
         known = self.ids_of([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
         ids = np.frombuffer(b"".join(known), "<u4")
         n = np.array([len(b) // 4 for b in known])

@@ -86,6 +86,16 @@ def hashes_of(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((total[end] - total[start]) * inverse[start])
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each distinct hash stands first, which of them each element is), in the order they appear."""
+    import pandas as pd
+
+    which, values = pd.factorize(hashes)
+    first = np.empty(len(values), np.int64)
+    first[which[::-1]] = np.arange(len(hashes) - 1, -1, -1)
+    return first, which
+
+
 def shingles(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of ``n`` words of each text: (bounds by text, hashes, sorted in each).
 
