@@ -25,9 +25,10 @@ def frequency_alerts(
 ) -> DataFrame:
     """Keys with at least ``threshold`` claims within ``days`` days.
 
-    Claims are first counted per key and day; only these counts enter the
-    overlapping windows, so state and shuffle hold one row per key and day
-    instead of one row per claim and window.
+    Claims are first counted per key and day; these counts are then copied into
+    the ``days`` windows that hold them, which the state keeps until the
+    watermark closes them. ``daily_counts`` keeps one row per key and day
+    instead, and covers the last days of a stream.
     """
     daily = (
         claims.withWatermark(time, lateness)
