@@ -29,12 +29,12 @@ ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 #: Bytes of pre-tokens and their ids that a worker keeps, about, twice; long pre-tokens are not kept.
-HELD_BYTES = 80 << 20
+HELD_BYTES = 64 << 20
 _LONG = 48
 #: Bytes an entry takes besides its text and its ids, about.
 _ENTRY = 200
 #: Bytes of text encoded at a time (a longer text alone).
-_CHUNK = 1 << 20
+_CHUNK = 768 << 10
 #: Pre-tokens that the library encodes in one call.
 _TOGETHER = 4_096
 
