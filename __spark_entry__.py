@@ -20,13 +20,15 @@ from claimspan.functions import summary
 from claimspan.functions.measures import measure, totals
 from claimspan.model import ClaimsModel, filter_model
 from claimspan.operators import quality
+from claimspan.operators.duplicates import repeated_keys
 from claimspan.plans import cohort, datasets, finance, fraud, provider, ranking, risk
 from claimspan.schema import PRIMARY_KEYS, TABLES
 from claimspan.sources import star
+from claimspan.sources.clustering import write_clustered
 from claimspan.sources.load import load_all
 from claimspan.sources.scratch import shared_folder, written
 from claimspan.sources.star import from_star
-from claimspan.sources.tables import read_model, read_with_rejects, verify_counts
+from claimspan.sources.tables import read_model, read_with_rejects, verify_counts, with_claim_year
 from claimspan.streaming import daily_counts, ingest
 from claimspan.streaming.alerts import frequency_alerts
 
@@ -123,7 +125,12 @@ def _checks() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         lines = spark.read.parquet(f"{folder}/lineitem.parquet")
         return quality.key_violations(lines, "l_orderkey", "l_linenumber")
 
+    def suspected(spark: SparkSession, folder: str) -> DataFrame:
+        """Parts and suppliers that share more than one order line, found on hashes."""
+        return repeated_keys(spark.read.parquet(f"{folder}/lineitem.parquet"), "l_partkey", "l_suppkey")
+
     return {
+        "repeated_part_suppliers": suspected,
         "table_counts": _on_star(lambda m: verify_counts(m.tables())),
         "calendar": _on_star(lambda m: m.dates),
         "key_check": keys,
@@ -235,6 +242,13 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         load_all(spark, source, f"{source}/lake")
         return read_model(spark, f"{source}/lake").claims
 
+    def clustered(spark: SparkSession, folder: str) -> DataFrame:
+        """The claims of a patient, read from the whole fact stored by patient and day."""
+        m, path = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+        write_clustered(with_claim_year(m.claims, m.dates), m.dates, path)
+        stored = replace(m, claims=spark.read.parquet(path))
+        return datasets.patient_claims(stored, "P7").drop("claim_year")
+
     def rejected(spark: SparkSession, folder: str) -> DataFrame:
         """Patients from CSV where every age that ends in 7 is no number: those rows are set aside with their text."""
         m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
@@ -272,7 +286,7 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         off = F.abs(F.col("patients") - F.col("unique_patients")) <= 4 * summary.PATIENT_ERROR * F.col("unique_patients") + 1
         return exact.join(near, "insurer").select("insurer", "unique_patients", off.alias("within_error"))
 
-    return {"summary_measures": from_summary, "patients_by_bitmap": bits, "patients_by_sketch": sketches, "loaded_counts": counts, "loaded_claims": claims, "reloaded_claims": reloaded, "rejected_rows": rejected}
+    return {"clustered_patient_claims": clustered, "summary_measures": from_summary, "patients_by_bitmap": bits, "patients_by_sketch": sketches, "loaded_counts": counts, "loaded_claims": claims, "reloaded_claims": reloaded, "rejected_rows": rejected}
 
 
 def _on_star(report: _Report) -> Callable[[SparkSession, str], DataFrame]:

@@ -228,6 +228,8 @@ SQL["key_check"] = on_star(
 )
 SQL["repeated_line_keys"] = """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS rows FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
+SQL["repeated_part_suppliers"] = """
+SELECT l_partkey, l_suppkey, COUNT(*) AS rows FROM lineitem GROUP BY l_partkey, l_suppkey HAVING COUNT(*) > 1"""
 SQL["reference_check"] = on_star(
     "",
     " UNION ALL ".join(
@@ -342,3 +344,12 @@ SQL["patients_by_bitmap"] = on_star(
 SQL["patients_by_sketch"] = on_star(
     "", f"SELECT insurer, COUNT(DISTINCT patient_id) AS unique_patients, TRUE AS within_error {JOINED} GROUP BY insurer"
 )
+SQL["clustered_patient_claims"] = on_star(
+    "",
+    f"""
+SELECT f.*, full_date, hospital_name, insurer, plan_type,
+  {big('SUM(claim_amount) OVER (ORDER BY full_date, claim_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS running_total_claims,
+  COUNT(*) OVER (ORDER BY full_date) AS cumulative_claim_count
+FROM fact_claims f JOIN dim_date USING (date_key) JOIN dim_providers USING (provider_id) JOIN dim_policies USING (policy_id)
+WHERE patient_id = 'P7'""",
+)

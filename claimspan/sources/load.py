@@ -11,6 +11,7 @@ from claimspan.model import ClaimsModel
 from claimspan.operators.quality import findings
 from claimspan.schema import TABLES
 from claimspan.sources import years
+from claimspan.sources.clustering import write_clustered
 from claimspan.sources.tables import read_table, refresh_statistics, verify_counts, with_claim_year, write_table
 from claimspan.sources.versions import current, new_version, publish, remove
 
@@ -19,7 +20,9 @@ class QualityError(ValueError):
     """Loaded tables break a rule; the published tables were left as they were."""
 
 
-def load_all(spark: SparkSession, source: str, target: str, catalog: str | None = None) -> DataFrame:
+def load_all(
+    spark: SparkSession, source: str, target: str, catalog: str | None = None, clustered: bool = False
+) -> DataFrame:
     """Refresh every table under ``target`` from the CSV files under ``source``.
 
     The tables are written to a folder of their own, checked as a whole, and
@@ -27,12 +30,13 @@ def load_all(spark: SparkSession, source: str, target: str, catalog: str | None
     the published tables as they were. Of the fact only the years that changed
     are written; the others are shared with the version before. A missing file or a bad row raises.
     ``catalog``, if given, is a database in which the new version's tables are
-    registered and their statistics collected. Returns (table, rows) of what is
+    registered and their statistics collected. ``clustered`` writes the years that changed
+    clustered by patient and day (``sources.clustering``). Returns (table, rows) of what is
     now published.
     """
     version, load = new_version(target), uuid.uuid4().hex
     try:
-        _write(spark, source, version, current(spark, target), load)
+        _write(spark, source, version, current(spark, target), load, clustered)
         publish(spark, target, version)
     except Exception:
         remove(spark, version)
@@ -44,7 +48,7 @@ def load_all(spark: SparkSession, source: str, target: str, catalog: str | None
     return verify_counts({name: read_table(spark, version, name, "parquet") for name in TABLES})
 
 
-def _write(spark: SparkSession, source: str, version: str, last: str, load: str) -> None:
+def _write(spark: SparkSession, source: str, version: str, last: str, load: str, clustered: bool) -> None:
     """Write and check a version. Dimensions are checked as they are stored, the fact
     as the years it is made of."""
     for name in TABLES:
@@ -53,7 +57,7 @@ def _write(spark: SparkSession, source: str, version: str, last: str, load: str)
     dims = {name: read_table(spark, version, name, "parquet") for name in TABLES if name != "fact_claims"}
     # Claims of unknown days are kept here, for the checks to find.
     claims = with_claim_year(read_table(spark, source, "fact_claims"), dims["dim_date"], "left")
-    years.write_manifest(spark, version, _write_years(spark, claims, version, last, load))
+    years.write_manifest(spark, version, _write_years(spark, claims, version, last, load, dims["dim_date"] if clustered else None))
     stored = {**dims, "fact_claims": read_table(spark, version, "fact_claims", "parquet")}
     broken = findings(ClaimsModel.from_tables(stored)).where(F.col("violations") > 0)
     # At most one row per rule, whatever the size of the data.
@@ -62,8 +66,11 @@ def _write(spark: SparkSession, source: str, version: str, last: str, load: str)
         raise QualityError("; ".join(sorted(problems)))
 
 
-def _write_years(spark: SparkSession, claims: DataFrame, version: str, last: str, load: str) -> list[dict]:
+def _write_years(
+    spark: SparkSession, claims: DataFrame, version: str, last: str, load: str, cluster_by: DataFrame | None
+) -> list[dict]:
     """Write the years of ``claims`` that differ from those of the last version; the manifest of all.
+    ``cluster_by`` is the calendar, where they are to be clustered.
 
     Without a version before, claims are parsed once, and summed up as they are stored.
     """
@@ -79,7 +86,10 @@ def _write_years(spark: SparkSession, claims: DataFrame, version: str, last: str
         if None in same:
             claims = claims.where(F.col(years.YEAR).isNotNull())
     folder = years.folder(version, load)
-    write_table(claims, folder, (years.YEAR,))
+    if cluster_by is None:
+        write_table(claims, folder, (years.YEAR,))
+    else:
+        write_clustered(claims, cluster_by, folder)
     if not before and spark.read.schema(claims.schema).parquet(folder).isEmpty():
         return []
     sums = years.checksums(spark.read.schema(claims.schema).parquet(folder).select(claims.columns))

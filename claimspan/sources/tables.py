@@ -78,6 +78,15 @@ def read_model(spark: SparkSession, root: str, fmt: str = "parquet") -> ClaimsMo
     return ClaimsModel.from_tables({t: read_table(spark, root, t, fmt) for t in TABLES})
 
 
+def read_catalog_model(spark: SparkSession, catalog: str) -> ClaimsModel:
+    """The tables that ``load_all`` registered in a database, with the statistics collected for them.
+
+    With ``spark.sql.cbo.enabled`` (set by ``session``) Spark then sizes filtered tables by the
+    histograms of their columns, and chooses broadcasts and the order of joins by that.
+    """
+    return ClaimsModel.from_tables({t: spark.table(f"{catalog}.{t}") for t in TABLES})
+
+
 def with_claim_year(claims: DataFrame, dates: DataFrame, how: str = "inner") -> DataFrame:
     """Add the year a claim falls in, the column the stored fact is split by."""
     years = dates.select("date_key", F.col("year").alias("claim_year"))
@@ -139,6 +148,12 @@ def verify_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def refresh_statistics(spark: SparkSession, *names: str) -> None:
-    """Collect table and column statistics of catalog tables."""
-    for name in names:
-        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    """Collect table and column statistics of catalog tables, with histograms of the columns."""
+    setting = "spark.sql.statistics.histogram.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        for name in names:
+            spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")
+    finally:
+        spark.conf.set(setting, before)
