@@ -50,7 +50,7 @@ def released(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFra
 
     def store(df: DataFrame, label: str) -> DataFrame:
         path = f"{root}/{label}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:

@@ -5,6 +5,8 @@ and a digest of the whole row. Entries are dealt to buckets by the hash, sorted
 it and written with bloom filters, so a batch opens the buckets of its own ids
 alone, and of them only the row groups that can hold an id. The digest tells a
 copy of a stored claim from a contradiction, so the fact itself is not read.
+Digests are bytes; an index of the older layout (``entries``, with hexadecimal
+text) is not used, and one is made from the fact in its place.
 
 ``open`` holds a mark for each append that has begun and not ended. An append that
 broke off is found by its mark, and its entries are held against the fact.
@@ -26,20 +28,20 @@ NAMED_IDS = 1_000
 # Spark hands a list of more values to the files as a range only.
 _LIST = 10
 
-_ENTRY = "id_hash long, claim_id string, digest string, bucket int, load string"
+_ENTRY = "id_hash long, claim_id string, digest binary, bucket int, load string"
 
 
 def digest(content: list[str]) -> Column:
     """A digest of a row; equal for equal rows alone (nulls included)."""
-    return F.sha2(F.to_json(F.struct(*sorted(content))), 256)
+    return F.unhex(F.sha2(F.to_json(F.struct(*sorted(content))), 256))
 
 
-def _hash() -> Column:
+def id_hash() -> Column:
     return F.xxhash64("claim_id")
 
 
 def _bucket() -> Column:
-    return F.pmod(F.shiftright(_hash(), 20), F.lit(BUCKETS)).cast("int")
+    return F.pmod(F.shiftright(id_hash(), 20), F.lit(BUCKETS)).cast("int")
 
 
 class IdIndex:
@@ -48,7 +50,7 @@ class IdIndex:
     def __init__(self, spark: SparkSession, target: str):
         self.spark, self.target = spark, target.rstrip("/")
         self.root = f"{self.target}_ids"
-        self.entries = f"{self.root}/entries"
+        self.entries = f"{self.root}/digests"
 
     # -- looking up -------------------------------------------------------
 
@@ -60,15 +62,22 @@ class IdIndex:
             return self.spark.createDataFrame([], _ENTRY)
         return self.spark.read.schema(_ENTRY).option("basePath", self.entries).parquet(*there)
 
-    def lookup(self, ids: DataFrame) -> DataFrame:
-        """(claim_id, digests): what is stored under the ids of ``ids``, a stored table with a column ``claim_id``."""
+    def near(self, ids: DataFrame) -> DataFrame:
+        """The entries that may belong to the ids of ``ids``: those of their buckets, of few ids those with their hashes."""
+        if not self._exists(self.entries):
+            return self.spark.createDataFrame([], _ENTRY)
         entries = self.files(ids)
-        some = ids.select(_hash().alias("h")).distinct().limit(NAMED_IDS + 1).collect()
+        some = ids.select(id_hash().alias("h")).distinct().limit(NAMED_IDS + 1).collect()
         if len(some) <= NAMED_IDS:
             hashes = sorted(r[0] for r in some)
             lists = [F.col("id_hash").isin(hashes[i : i + _LIST]) for i in range(0, len(hashes), _LIST)]
             entries = entries.where(reduce(Column.__or__, lists, F.lit(False)))
-        asked = ids.select(F.col("claim_id").alias("_asked"), _hash().alias("_hash")).distinct()
+        return entries
+
+    def lookup(self, ids: DataFrame) -> DataFrame:
+        """(claim_id, digests): what is stored under the ids of ``ids``, a stored table with a column ``claim_id``."""
+        entries = self.near(ids)
+        asked = ids.select(F.col("claim_id").alias("_asked"), id_hash().alias("_hash")).distinct()
         return (
             entries.join(asked, (F.col("id_hash") == F.col("_hash")) & F.col("claim_id").eqNullSafe(F.col("_asked")), "left_semi")
             .groupBy("claim_id")
@@ -79,11 +88,14 @@ class IdIndex:
 
     def enter(self, rows: DataFrame, load: str) -> None:
         """Add the entries of ``rows`` (claim_id, digest)."""
-        entries = rows.select(_hash().alias("id_hash"), "claim_id", "digest", _bucket().alias("bucket"), F.lit(load).alias("load"))
         (
-            entries.repartition("bucket")
+            # Only what cannot be derived again is moved.
+            rows.select("claim_id", "digest")
+            .repartition(_bucket())
+            .select(id_hash().alias("id_hash"), "claim_id", "digest", _bucket().alias("bucket"), F.lit(load).alias("load"))
             .sortWithinPartitions("bucket", "id_hash")
             .write.mode("append")
+            .option("compression", "zstd")
             .option("parquet.bloom.filter.enabled#id_hash", "true")
             .option("parquet.block.size", str(8 << 20))
             .partitionBy("bucket", "load")

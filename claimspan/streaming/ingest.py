@@ -11,10 +11,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimspan.model import ClaimsModel
+from claimspan.operators.groups import rows_within
 from claimspan.operators.quality import value_rules
 from claimspan.schema import FOREIGN_KEYS, TABLES
 from claimspan.sources.scratch import released
-from claimspan.streaming.id_index import IdIndex, digest
+from claimspan.streaming.id_index import IdIndex, digest, id_hash
 
 _Store = Callable[[DataFrame, str], DataFrame]
 
@@ -23,6 +24,8 @@ BAD_ROW = "_bad_row"
 REASONS = "_reasons"
 #: When and with which file a row arrived.
 ARRIVED = "_arrived"
+#: With more unknown keys of one dimension the rows of a batch are judged once and stored; fewer are broadcast.
+MANY_UNKNOWN = 500_000
 
 
 class RejectedClaims(ValueError):
@@ -45,28 +48,62 @@ def claim_files(spark: SparkSession, inbox: str, files_per_batch: int = 1000) ->
     )
 
 
+def _apart(batch: DataFrame, index: IdIndex, store: _Store) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows whose id occurs once in ``batch`` and is not stored, and the others; None where there are none.
+
+    Told from hashes of the ids, so rows are not moved for it: the fewer of both kinds
+    of hashes meet the batch, and are broadcast unless they are many. A hash that two
+    ids share makes both doubtful, no more.
+    """
+    here = batch.select(id_hash().alias("_hash"), F.lit(1).alias("_here"))
+    stored = index.near(batch).select(F.col("id_hash").alias("_hash"), F.lit(0).alias("_here"))
+    counted = here.unionByName(stored).groupBy("_hash").agg(F.sum("_here").alias("here"), F.count(F.lit(1)).alias("rows"))
+    hashes = store(counted.where("here > 0").select("_hash", (F.col("rows") > 1).alias("_doubtful")), "hashes")
+    many = {r["_doubtful"]: r["count"] for r in hashes.groupBy("_doubtful").count().collect()}  # at most two rows
+    if len(many) < 2:
+        return (None, batch) if True in many else (batch, None)
+    fewer = many[True] <= many[False]
+    few = store(hashes.where(F.col("_doubtful") == F.lit(fewer)).select("_hash"), "few-hashes")
+    match = id_hash() == F.col("_hash")
+    named, others = batch.join(few, match, "left_semi"), batch.join(few, match, "left_anti")
+    return (others, named) if fewer else (named, others)
+
+
 def _sorted_out(batch: DataFrame, index: IdIndex, store: _Store) -> tuple[DataFrame, DataFrame] | None:
     """The rows of ``batch`` that are new, and those that contradict a stored or an earlier row; None without rows."""
     content = [c for c in batch.columns if c not in (ARRIVED, REASONS)]
-    arrived = F.min(ARRIVED) if ARRIVED in batch.columns else F.lit(0)
-    # Stored: the batch is used several times, and its size becomes known.
-    rows = store(batch.groupBy(*content).agg(arrived.alias(ARRIVED)).withColumn("_digest", digest(content)), "batch")
-    if rows.isEmpty():
+    out = [*[c for c in batch.columns if c != REASONS], REASONS]
+    reason = F.array(F.lit("differs from an earlier row of its claim_id"))
+    if batch.isEmpty():
         return None
     index.repair(content)
-    known = store(index.lookup(rows), "known").select(F.col("claim_id").alias("known_id"), "digests")
+    sure, doubtful = _apart(batch, index, store)
+    none = batch.where(F.lit(False))
+    new = none.select(content) if sure is None else sure.select(content)
+    if doubtful is None:
+        return new, none.withColumn(REASONS, reason).select(out)
+    # A digest covers the id, so copies of stored rows are found on digests alone.
+    digests = doubtful.select(digest(content).alias("_digest"))
+    unlike = store(digests.join(index.near(doubtful).select("digest"), F.col("_digest") == F.col("digest"), "left_anti"), "unlike")
+    arrived = F.min(ARRIVED) if ARRIVED in batch.columns else F.lit(0)
+    if unlike.isEmpty():
+        return new, none.withColumn(REASONS, reason).select(out)
+    left = doubtful.join(unlike, digest(content) == F.col("_digest"), "left_semi")
+    # Stored: the rows are used several times, and their size becomes known.
+    rows = store(left.groupBy(*content).agg(arrived.alias(ARRIVED)), "batch")
+    known = store(index.lookup(rows).select(F.col("claim_id").alias("known_id"), F.lit(True).alias("known")), "known")
     order = F.struct(ARRIVED, *[c for c in content if c != "claim_id"])
     first = rows.groupBy(F.col("claim_id").alias("first_id")).agg(F.min(order).alias("first"))
-    left = store(
+    judged = store(
         rows.join(known, F.col("claim_id").eqNullSafe(F.col("known_id")), "left")
-        .where(F.col("digests").isNull() | ~F.array_contains("digests", F.col("_digest")))
         .join(first, F.col("claim_id").eqNullSafe(F.col("first_id")))
-        .withColumn("new", F.col("digests").isNull() & order.eqNullSafe(F.col("first")))
+        .withColumn("new", F.col("known").isNull() & order.eqNullSafe(F.col("first")))
         .select(*content, ARRIVED, "new"),
         "sorted",
     )
-    refused = left.where("not new").withColumn(REASONS, F.array(F.lit("differs from an earlier row of its claim_id")))
-    return left.where("new").select(content), refused.select(*[c for c in batch.columns if c != REASONS], REASONS)
+    refused = judged.where("not new").withColumn(REASONS, reason).select(out)
+    found = judged.where("new").select(content)
+    return (found if sure is None else new.unionByName(found)), refused
 
 
 def append_new_claims(batch: DataFrame, target: str, aside: Callable[[DataFrame | None], None] | None = None) -> None:
@@ -93,22 +130,29 @@ def append_new_claims(batch: DataFrame, target: str, aside: Callable[[DataFrame
             index.append(new, new.columns)
 
 
-def _reasons(batch: DataFrame, dims: ClaimsModel | None) -> DataFrame:
-    """``batch`` with ``_reasons``: why a row cannot be stored, empty where it can."""
+def _reasons(batch: DataFrame, dims: ClaimsModel | None, store: _Store) -> DataFrame:
+    """``batch``, a stored table, with ``_reasons``: why a row cannot be stored, empty where it can.
+
+    The keys of the batch are held against the dimensions, each once; the rows meet only
+    the unknown ones, so they are not moved unless those are many.
+    """
     checks = [F.when(F.col("claim_year").isNull(), F.lit("unknown day"))]
     if BAD_ROW in batch.columns:
         checks.append(F.when(F.col(BAD_ROW).isNotNull(), F.lit("unreadable")))
+    columns, many = batch.columns, False
     if dims:
-        tables = dims.tables()
+        tables, arrived = dims.tables(), batch
         for key, table in FOREIGN_KEYS.items():
             if key == "date_key":
                 continue
-            known = tables[table].select(F.col(key).alias(f"_known_{key}")).distinct()
-            batch = batch.join(known, F.col(key) == F.col(f"_known_{key}"), "left")
-            checks.append(F.when(F.col(key).isNotNull() & F.col(f"_known_{key}").isNull(), F.lit(f"unknown {key}")))
+            used = arrived.where(F.col(key).isNotNull()).select(key).distinct()
+            unknown = store(used.join(tables[table].select(key), key, "left_anti"), f"unknown-{key}")
+            many = many or not rows_within(unknown, MANY_UNKNOWN)
+            batch = batch.join(unknown.select(F.col(key).alias(f"_unknown_{key}")), F.col(key) == F.col(f"_unknown_{key}"), "left")
+            checks.append(F.when(F.col(f"_unknown_{key}").isNotNull(), F.lit(f"unknown {key}")))
         checks += [F.when(broken, F.lit(rule)) for rule, broken in value_rules("fact_claims").items()]
-    columns = [c for c in batch.columns if not c.startswith("_known_")]
-    return batch.select(*columns, F.array_compact(F.array(*checks)).alias(REASONS))
+    out = batch.select(*columns, F.array_compact(F.array(*checks)).alias(REASONS))
+    return store(out, "judged") if many else out
 
 
 def ingest(
@@ -134,7 +178,7 @@ def ingest(
         with released(spark) as store:
             # Stored with all columns: a query on a few would parse only those.
             dated = batch.join(years, "date_key", "left").select(*batch.columns, "claim_year")
-            arrived = store(_reasons(dated, dims), "arrived")
+            arrived = _reasons(store(dated, "arrived"), dims, store)
             bad = F.size(REASONS) > 0
             refused = arrived.where(bad)
             # A checkpoint that is begun anew counts from 0 again, but has another id.

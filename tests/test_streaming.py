@@ -267,3 +267,32 @@ def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
     assert [r["claims"] for r in found.collect()] == [2]
     (scan,) = [line for line in found._jdf.queryExecution().toString().splitlines() if "FileScan" in line and "PartitionFilters" in line][:1]
     assert "month" in scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_new_claims_and_copies_are_not_stored_on_the_way(spark, tmp_path):
+    """Telling new claims from stored ones moves hashes and digests; whole rows only where an id is contested."""
+    target, index = str(tmp_path / "t"), IdIndex(spark, str(tmp_path / "t"))
+    widths = []
+
+    def store(df, label):
+        path = str(tmp_path / f"s{len(widths)}")
+        df.write.parquet(path)
+        widths.append(("amount" in df.columns, spark.read.parquet(path).count()))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def sorted_out(batch):
+        widths.clear()
+        new, refused = ingest._sorted_out(batch, index, store)
+        return len(rows(new)), sorted(r["amount"] for r in rows(refused)), sum(n for whole, n in widths if whole)
+
+    tmp_path = tmp_path / "first"
+    assert sorted_out(_claims(spark, [f"C{i}" for i in range(500)])) == (500, [], 0)
+    ingest.append_new_claims(_claims(spark, [f"C{i}" for i in range(500)]), target)
+    tmp_path = tmp_path / "copies"
+    assert sorted_out(_claims(spark, [f"C{i}" for i in range(500)])) == (0, [], 0)
+    tmp_path = tmp_path / "mixed"
+    mixed = _claims(spark, [f"C{i}" for i in range(400, 600)]).unionByName(_claims(spark, ["C7", "D", "D", None, None]))
+    mixed = mixed.unionByName(_claims(spark, ["C7", "D"], amount=2))
+    # 100 new ids, D and the claim without an id; only contested rows are stored whole
+    found = sorted_out(mixed)
+    assert found[:2] == (102, [2, 2]) and 0 < found[2] < 12
