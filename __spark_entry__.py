@@ -211,9 +211,9 @@ def _short_id() -> Column:
 def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def as_csv(spark: SparkSession, folder: str) -> tuple[ClaimsModel, str]:
         m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-        claims = m.claims.distinct().withColumn("claim_id", _short_id())
+        claims = star.distinct_claims(spark, folder).withColumn("claim_id", _short_id())
         for name, df in replace(m, claims=claims).tables().items():
-            df.write.option("header", True).csv(f"{source}/{name}.csv")
+            df.write.option("header", True).option("compression", "gzip").csv(f"{source}/{name}.csv")
         return m, source
 
     def counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,10 +234,10 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         first = m.dates.agg(F.min("year")).first()[0]
         days = m.dates.where(F.col("year") == first).agg(F.min("date_key"), F.max("date_key")).first()
         amount = F.when(F.col("date_key").between(*days), F.col("claim_amount") + 1).otherwise(F.col("claim_amount"))
-        wrong.withColumn("claim_amount", amount).write.option("header", True).csv(f"{source}/wrong/fact_claims.csv")
+        wrong.withColumn("claim_amount", amount).write.option("header", True).option("compression", "gzip").csv(f"{source}/wrong/fact_claims.csv")
         for name, df in m.tables().items():
             if name != "fact_claims":
-                df.write.option("header", True).csv(f"{source}/wrong/{name}.csv")
+                df.write.option("header", True).option("compression", "gzip").csv(f"{source}/wrong/{name}.csv")
         load_all(spark, f"{source}/wrong", f"{source}/lake")
         load_all(spark, source, f"{source}/lake")
         return read_model(spark, f"{source}/lake").claims

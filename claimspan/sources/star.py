@@ -126,6 +126,17 @@ def claims_of(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.selectExpr(*_LINES).selectExpr(*_CLAIMS)
 
 
+def distinct_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """The claims without repeated rows.
+
+    A claim's id begins with its order, so equal claims are of one order: compared
+    along with the order key they stand together since the join, and are not moved again.
+    """
+    lines, orders = (spark.read.schema(SCHEMAS[t]).parquet(f"{folder}/{t}.parquet") for t in ("lineitem", "orders"))
+    joined = lines.join(orders.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    return joined.selectExpr(*_LINES).selectExpr("l_orderkey", *_CLAIMS).distinct().drop("l_orderkey")
+
+
 def from_star(spark: SparkSession, folder: str) -> ClaimsModel:
     def read(name: str) -> DataFrame:
         return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")

@@ -102,7 +102,7 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def save_table(

@@ -12,7 +12,7 @@ from claimspan.plans.datasets import patient_claims, patient_profile
 from claimspan.schema import TABLES
 from claimspan.sources.clustering import interleaved, write_clustered
 from claimspan.sources.load import load_all
-from claimspan.sources.star import from_star
+from claimspan.sources.star import distinct_claims, from_star
 from claimspan.sources.tables import read_catalog_model, read_model, with_claim_year
 from tests.conftest import same
 from tests.test_plans import plan
@@ -196,3 +196,12 @@ def test_plans_follow_collected_statistics(spark, make_model, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE layout CASCADE")
+
+
+def test_distinct_claims_move_the_lines_once(spark, tmp_path):
+    for name in ("orders", "lineitem"):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        (df.unionAll(df.limit(500)) if name == "lineitem" else df).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = distinct_claims(spark, str(tmp_path))
+    assert plan(got).count("Exchange hashpartitioning") == 2  # the two sides of the join
+    same(got, from_star(spark, "/root/testdata/sf0.001").claims.distinct())
