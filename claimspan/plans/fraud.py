@@ -18,12 +18,14 @@ def frequent_claims(
     days: int = fixed.FREQUENT_DAYS,
     medium: int = fixed.FREQUENT_MEDIUM,
     high: int = fixed.FREQUENT_HIGH,
+    of_patient: tuple[str, ...] = (),
 ) -> DataFrame:
     """Claims that have at least ``medium`` claims of their patient in the
     trailing ``days`` days, themselves included.
 
     All claims of a patient count, those without a known hospital too. Claims
-    without a patient are nobody's.
+    without a patient are nobody's. ``of_patient`` names columns of the patient to
+    add; they are joined to patients' days, not to claims.
     """
     timeline = (
         m.dated_claims("full_date")
@@ -35,12 +37,12 @@ def frequent_claims(
     frequent = (
         trailing_days(timeline.select("patient_id", "claim_date"), "patient_id", "claim_date", days, "claims_in_90_days")
         .where(n >= medium)
-        .join(m.patients.select("patient_id"), "patient_id", "left_semi")
+        .join(m.patients.select("patient_id", *of_patient), "patient_id", "inner" if of_patient else "left_semi")
     )
     return (
         timeline.select("patient_id", "claim_id", "claim_date", "claim_amount", "diagnosis_name", "provider_id")
         .join(frequent, ["patient_id", "claim_date"])
-        .select("patient_id", "claim_id", "claim_date", "claim_amount", "diagnosis_name", "provider_id", "claims_in_90_days")
+        .select("patient_id", "claim_id", "claim_date", "claim_amount", "diagnosis_name", "provider_id", "claims_in_90_days", *of_patient)
         .withColumn("fraud_risk_level", F.when(n >= high, fixed.HIGH_RISK).otherwise(fixed.MEDIUM_RISK))
     )
 
@@ -58,14 +60,20 @@ def fraud_frequency_90d(
         F.col("claim_amount").desc_nulls_first(),
         F.col("claim_id").asc(),
     ]
+    described = ("age", "city", "chronic_condition")
+    hospitals = m.providers.select("provider_id", "hospital_name")
+    if limit is None:  # every claim is kept, so it meets each dimension once
+        every = frequent_claims(m, days, medium, high, described).join(hospitals, "provider_id")
+        kept = [c for c in every.columns if c not in (*described, "hospital_name")]
+        return every.select(*kept, *described, "hospital_name").orderBy(*order)
     # Claims of unknown hospitals count, but have no place in the report: they
     # go before the cut, on the map side. Only the kept claims are described.
     known = frequent_claims(m, days, medium, high).join(m.providers.select("provider_id"), "provider_id", "left_semi")
     kept = top(known, order, limit)
     return (
-        kept.join(m.patients.select("patient_id", "age", "city", "chronic_condition"), "patient_id")
-        .join(m.providers.select("provider_id", "hospital_name"), "provider_id")
-        .select(*kept.columns, "age", "city", "chronic_condition", "hospital_name")
+        kept.join(m.patients.select("patient_id", *described), "patient_id")
+        .join(hospitals, "provider_id")
+        .select(*kept.columns, *described, "hospital_name")
         .orderBy(*order)
     )
 

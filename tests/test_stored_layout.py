@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimspan.model import filter_model
 from claimspan.operators.duplicates import repeated_keys, suspected_hashes
 from claimspan.operators.quality import key_violations
+from claimspan.plans import fraud
 from claimspan.plans.datasets import patient_claims, patient_profile
 from claimspan.schema import TABLES
 from claimspan.sources.clustering import interleaved, write_clustered
@@ -205,3 +206,11 @@ def test_distinct_claims_move_the_lines_once(spark, tmp_path):
     got = distinct_claims(spark, str(tmp_path))
     assert plan(got).count("Exchange hashpartitioning") == 2  # the two sides of the join
     same(got, from_star(spark, "/root/testdata/sf0.001").claims.distinct())
+
+
+def test_every_frequent_claim_meets_a_dimension_once(spark, wide):
+    every = fraud.fraud_frequency_90d(wide, limit=None)
+    assert plan(every).count("FileScan parquet [c_custkey") == plan(every).count("FileScan parquet [s_suppkey") == 1
+    cut = fraud.fraud_frequency_90d(wide, limit=1_000_000)
+    assert every.columns == cut.columns
+    assert same(every, cut)
