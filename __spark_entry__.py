@@ -260,11 +260,12 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         )
 
     def summarised(spark: SparkSession, folder: str) -> ClaimsModel:
-        """The model with a stored summary in two parts, earlier and later years."""
+        """The model with a stored summary in two parts, earlier and later years, made in one pass."""
         m, path = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
         middle = m.dates.selectExpr("(min(date_key) + max(date_key)) div 2").first()[0]
-        for load, part in (("earlier", F.col("date_key") <= middle), ("later", F.col("date_key") > middle)):
-            summary.add_part(summary.summarise(replace(m, claims=m.claims.where(part))), path, load)
+        load = F.when(F.col("date_key") <= middle, "earlier").when(F.col("date_key") > middle, "later")
+        claims = m.claims.withColumn("load", load).where("load is not null")
+        summary.add_parts(summary.summarise(replace(m, claims=claims), [*summary.SUMMARY_KEYS, "load"]), path)
         return replace(m, summary=summary.read_summary(spark, path))
 
     def from_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,11 +17,14 @@ cell and 32,768 numbers, which suits coarse keys.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimspan.functions.measures import additive_totals, flag_of, with_attributes
 from claimspan.model import ATTRIBUTES, ClaimsModel
+from claimspan.sources.scratch import written
 
 _LG_K = 14
 #: Standard error of ``approximate_patients``, as a share of the count.
@@ -31,37 +34,51 @@ SKETCH = "patients_sketch"
 SUMMARY_KEYS = ["year", "quarter", "month", "month_name", "insurer", "plan_type", "hospital_tier", "treatment_type", "diagnosis_name", "state"]
 
 
+def _coded(dim: DataFrame, key: str, names: list[str], code: str) -> tuple[DataFrame, DataFrame]:
+    """(``key``, ``code``) of a dimension, and ``code`` with the attributes it stands for.
+
+    Rows with the same attributes have the same number. The numbers are stored, so that both tables hold the same ones.
+    """
+    dim = dim.select(key, *[F.col(ATTRIBUTES[a][2]).alias(a) for a in names])
+    values = written(dim.select(*names).distinct().withColumn(code, F.monotonically_increasing_id()), "codes")
+    found = values.withColumnsRenamed({a: f"_of_{a}" for a in names})
+    equal = reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(f"_of_{a}")) for a in names])
+    return dim.join(found, equal).select(key, code), values
+
+
 def summarise(m: ClaimsModel, keys: list[str] = SUMMARY_KEYS) -> DataFrame:
     """The summary of a model's claims: one row per combination of ``keys`` and flags.
 
-    Claims are added up per patient first, so the patient table meets combined
-    rows, and a sketch takes each patient of a cell once.
+    With many keys there are almost as many cells as claims, so claims are added up once, and
+    until then a claim carries one number per dimension in place of the attributes: a claim
+    whose row is not found has none, which is what the flags say.
     """
-    claims = m.claims
-    of_patient = [a for a in keys if a in ATTRIBUTES and ATTRIBUTES[a][0] == "patients"]
-    others = [a for a in keys if a not in of_patient]
-    flags = []
-    fields = dict.fromkeys(ATTRIBUTES[a][:2] for a in others if a in ATTRIBUTES)
-    for field, key in fields:
-        columns = [F.col(ATTRIBUTES[a][2]).alias(a) for a in others if a in ATTRIBUTES and ATTRIBUTES[a][0] == field]
-        claims = claims.join(getattr(m, field).select(key, *columns, F.lit(True).alias(flag_of(field))), key, "left")
-        flags.append(flag_of(field))
-    cells = claims.groupBy("patient_id", *others, *flags).agg(*[e.alias(n) for n, e in additive_totals().items()])
-    if of_patient:
-        dim = m.patients.select("patient_id", *[F.col(ATTRIBUTES[a][2]).alias(a) for a in of_patient], F.lit(True).alias(flag_of("patients")))
-        cells = cells.join(dim, "patient_id", "left")
-        flags.append(flag_of("patients"))
-    known = [F.coalesce(F.col(f), F.lit(False)).alias(f) for f in flags]
-    return cells.groupBy(*keys, *known).agg(
-        *[F.sum(n).alias(n) for n in additive_totals()], F.hll_sketch_agg("patient_id", F.lit(_LG_K)).alias(SKETCH)
+    claims, values, fields = m.claims, {}, {}
+    for a in keys:
+        if a in ATTRIBUTES:
+            fields.setdefault(ATTRIBUTES[a][:2], []).append(a)
+    # Patients come last: theirs is the largest dimension.
+    for (field, key), names in sorted(fields.items(), key=lambda f: f[0][0] == "patients"):
+        coded, values[field] = _coded(getattr(m, field), key, names, f"_{field}")
+        claims = claims.join(coded, key, "left")
+    cells = claims.groupBy(*[f"_{f}" for f in values], *[a for a in keys if a not in ATTRIBUTES]).agg(
+        *[e.alias(n) for n, e in additive_totals().items()], F.hll_sketch_agg("patient_id", F.lit(_LG_K)).alias(SKETCH)
     )
+    for field, named in values.items():
+        cells = cells.join(named, f"_{field}", "left")
+    flags = [F.col(f"_{f}").isNotNull().alias(flag_of(f)) for f in values]
+    return cells.select(*keys, *flags, *additive_totals(), SKETCH)
 
 
 def add_part(summary: DataFrame, path: str, load: str) -> None:
     """Store the summary of one load or batch; the same load again replaces its part."""
+    add_parts(summary.withColumn("load", F.lit(load)), path)
+
+
+def add_parts(summary: DataFrame, path: str) -> None:
+    """Store the summaries of several loads in one pass; the column ``load``, one of the keys, tells them apart."""
     (
-        summary.withColumn("load", F.lit(load))
-        .write.mode("overwrite")
+        summary.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load")
         .parquet(path)

@@ -74,3 +74,37 @@ def test_patients_roll_up(star):
     assert {r["year"]: r["patients"] for r in rows(summary.exact_patients(bits, ["year"]))} == exact
     near = {r["year"]: r["patients"] for r in rows(summary.approximate_patients(summary.summarise(star), ["year"]))}
     assert all(abs(near[y] - n) <= 4 * summary.PATIENT_ERROR * n + 1 for y, n in exact.items())
+
+
+def test_claims_are_added_up_once(star):
+    stages = plan(summary.summarise(star))
+    assert "keys=[patient_id" not in stages  # no cells per patient
+    added_up = [line for line in stages.splitlines() if "hll_sketch_agg" in line]
+    assert added_up and not any("month_name" in line for line in added_up)  # numbers are shuffled, not names
+
+
+def test_loads_stored_in_one_pass(star, spark, tmp_path):
+    third = F.pmod(F.xxhash64("claim_id"), F.lit(3))
+    one, each = str(tmp_path / "one"), str(tmp_path / "each")
+    claims = star.claims.withColumn("load", F.concat(F.lit("load"), third))
+    summary.add_parts(summary.summarise(replace(star, claims=claims), [*summary.SUMMARY_KEYS, "load"]), one)
+    for k in range(3):
+        summary.add_part(summary.summarise(replace(star, claims=star.claims.where(third == k))), each, f"load{k}")
+    assert same(spark.read.parquet(one).drop(summary.SKETCH), spark.read.parquet(each).drop(summary.SKETCH))
+    same(*(summary.approximate_patients(summary.read_summary(spark, p), ["insurer"]) for p in (one, each)))
+    # one of them again
+    summary.add_parts(summary.summarise(replace(star, claims=claims.where("load = 'load1'")), [*summary.SUMMARY_KEYS, "load"]), one)
+    assert same(spark.read.parquet(one).drop(summary.SKETCH), spark.read.parquet(each).drop(summary.SKETCH))
+
+
+def test_missing_attributes_are_not_missing_rows(make_model):
+    """Null attributes, and claims whose key is null or unknown."""
+    m = make_model(
+        [{"policy_id": p, "patient_id": q} for p in ("POL1", "POL2", "POL3", None, "POL9") for q in ("P1", "P2", None)],
+        policies=[{"policy_id": "POL1", "insurer": None, "plan_type": None}, {"policy_id": "POL2", "plan_type": None}],
+        patients=[{"patient_id": "P2", "state": None}],
+    )
+    m = replace(m, policies=m.policies.where("policy_id <> 'POL9'"), patients=m.patients.where("patient_id is not null"))
+    quick = replace(m, summary=summary.summarise(m))
+    for by in (["insurer"], ["insurer", "plan_type", "state"], ["state", "year"]):
+        assert same(measure(m, list(MEASURES), by), measure(quick, list(MEASURES), by))
