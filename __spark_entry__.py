@@ -29,6 +29,7 @@ from claimspan.sources.load import load_all
 from claimspan.sources.scratch import shared_folder, written
 from claimspan.sources.star import from_star
 from claimspan.sources.tables import read_model, read_with_rejects, verify_counts, with_claim_year
+from claimspan.sources.versions import files_of
 from claimspan.streaming import daily_counts, ingest
 from claimspan.streaming.alerts import frequency_alerts
 
@@ -209,11 +210,16 @@ def _short_id() -> Column:
 
 
 def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    def to_csv(df: DataFrame, path: str, *split_by: str) -> None:
+        # The files are read a few times at most: the fast level of gzip.
+        fast = df.write.option("header", True).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+        fast.partitionBy(*split_by).csv(path)
+
     def as_csv(spark: SparkSession, folder: str) -> tuple[ClaimsModel, str]:
         m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
         claims = star.distinct_claims(spark, folder).withColumn("claim_id", _short_id())
         for name, df in replace(m, claims=claims).tables().items():
-            df.write.option("header", True).option("compression", "gzip").csv(f"{source}/{name}.csv")
+            to_csv(df, f"{source}/{name}.csv")
         return m, source
 
     def counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,18 +234,29 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return read_model(spark, f"{source}/lake").claims
 
     def reloaded(spark: SparkSession, folder: str) -> DataFrame:
-        """A load whose claims of one year are wrong, and a second one with the right ones, which writes that year alone."""
-        m, source = as_csv(spark, folder)
-        wrong = spark.read.schema(TABLES["fact_claims"]).option("header", True).csv(f"{source}/fact_claims.csv")
+        """A load whose claims of one year are wrong, and a second one with the right ones, which writes that year alone.
+
+        The claims come as two deliveries, that year and the rest; the wrong one is replaced by the right one.
+        """
+        m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
         first = m.dates.agg(F.min("year")).first()[0]
         days = m.dates.where(F.col("year") == first).agg(F.min("date_key"), F.max("date_key")).first()
-        amount = F.when(F.col("date_key").between(*days), F.col("claim_amount") + 1).otherwise(F.col("claim_amount"))
-        wrong.withColumn("claim_amount", amount).write.option("header", True).option("compression", "gzip").csv(f"{source}/wrong/fact_claims.csv")
+        of_year = F.coalesce(F.col("date_key").between(*days), F.lit(False))
+        claims = star.distinct_claims(spark, folder).withColumn("claim_id", _short_id())
+        to_csv(claims.withColumn("part", F.when(of_year, "right").otherwise("rest")), f"{source}/claims", "part")
+        fs, _ = files_of(spark, source)
+        for part in ("right", "rest"):
+            (_, made), (_, delivered) = files_of(spark, f"{source}/claims/part={part}"), files_of(spark, f"{source}/{part}/fact_claims.csv")
+            fs.mkdirs(delivered.getParent() if fs.exists(made) else delivered)  # without claims, an empty folder
+            if fs.exists(made):
+                fs.rename(made, delivered)
         for name, df in m.tables().items():
             if name != "fact_claims":
-                df.write.option("header", True).option("compression", "gzip").csv(f"{source}/wrong/{name}.csv")
-        load_all(spark, f"{source}/wrong", f"{source}/lake")
-        load_all(spark, source, f"{source}/lake")
+                to_csv(df, f"{source}/rest/{name}.csv")
+        right = spark.read.schema(TABLES["fact_claims"]).option("header", True).csv(f"{source}/right/fact_claims.csv")
+        to_csv(right.withColumn("claim_amount", F.col("claim_amount") + 1), f"{source}/wrong/fact_claims.csv")
+        for delivery in ("wrong", "right"):
+            load_all(spark, f"{source}/{{rest,{delivery}}}", f"{source}/lake")
         return read_model(spark, f"{source}/lake").claims
 
     def clustered(spark: SparkSession, folder: str) -> DataFrame:

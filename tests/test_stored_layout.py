@@ -1,10 +1,12 @@
 """Clustered facts, repeated keys by hashes, and plans that follow collected statistics."""
 
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from claimspan.model import filter_model
 from claimspan.operators.duplicates import repeated_keys, suspected_hashes
 from claimspan.operators.quality import key_violations
@@ -13,6 +15,7 @@ from claimspan.plans.datasets import patient_claims, patient_profile
 from claimspan.schema import TABLES
 from claimspan.sources.clustering import interleaved, write_clustered
 from claimspan.sources.load import load_all
+from claimspan.sources.scratch import shared_folder
 from claimspan.sources.star import distinct_claims, from_star
 from claimspan.sources.tables import read_catalog_model, read_model, with_claim_year
 from tests.conftest import same
@@ -214,3 +217,26 @@ def test_every_frequent_claim_meets_a_dimension_once(spark, wide):
     cut = fraud.fraud_frequency_90d(wide, limit=1_000_000)
     assert every.columns == cut.columns
     assert same(every, cut)
+
+
+@pytest.mark.parametrize("first_year", [True, False])
+def test_a_reload_delivers_the_wrong_year_alone(spark, tmp_path, first_year):
+    """Also where no claim is of the calendar's first year."""
+    small = Path("/root/testdata/sf0.001")
+    for table in ("customer", "supplier", "part", "nation", "region", "orders"):
+        (tmp_path / f"{table}.parquet").symlink_to(small / f"{table}.parquet")
+    orders, lines = (spark.read.parquet(str(small / f"{t}.parquet")) for t in ("orders", "lineitem"))
+    begin = orders.agg(F.min(F.year("o_orderdate"))).first()[0]
+    late = orders.where(F.year("o_orderdate") > begin).select(F.col("o_orderkey").alias("l_orderkey"))
+    (lines if first_year else lines.join(late, "l_orderkey", "left_semi").select(lines.columns)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    shared = Path(shared_folder(spark))
+    before = set(shared.glob("*/wrong"))
+    got = registry.queries()["reloaded_claims"](spark, str(tmp_path))
+    expected = distinct_claims(spark, str(tmp_path))
+    columns = [c for c in expected.columns if c != "claim_id"]
+    assert same(got.select(columns), expected.select(columns))
+    (source,) = {p.parent for p in set(shared.glob("*/wrong")) - before}
+    count = {p: spark.read.schema(TABLES["fact_claims"]).option("header", True).csv(f"{source}/{p}/fact_claims.csv").count() for p in ("wrong", "right", "rest")}
+    of_year = expected.where(F.year(F.date_add(F.lit("1970-01-01").cast("date"), F.col("date_key"))) == begin).count()
+    assert count == {"wrong": of_year, "right": of_year, "rest": expected.count() - of_year}
+    assert (of_year > 0) == first_year
