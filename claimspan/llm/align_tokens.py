@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from claimspan.llm.common import Scratch, arrow, batch_of, chunks, extended, map_arrow
 from claimspan.llm.piece_bpe import piece_model
+from claimspan.llm.pretokens import byte_letters
 from claimspan.llm.token_files import encoder
 
 #: Most frequent pairs that are broadcast (16 bytes each).
@@ -188,10 +189,8 @@ class Aligner:
 
 
 def _byte_level() -> dict[str, int]:
-    """The character that byte-level tokenizers write for each byte: printable ones stand for themselves, others follow U+0100."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
+    """The byte of each character that byte-level tokenizers write."""
+    return {chr(c): b for b, c in enumerate(byte_letters().tolist())}
 
 
 def _where(flat: np.ndarray, at: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

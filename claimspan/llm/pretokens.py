@@ -11,6 +11,7 @@ as the library's default has it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 import numpy as np
 import regex
@@ -86,6 +87,15 @@ def splitter(specials: list[str]) -> Callable[[str], list[str]]:
     return split
 
 
+@cache
+def byte_letters() -> np.ndarray:
+    """The code point that stands for each byte in the tokenizer's vocabulary: itself if it prints, or one from 256 on."""
+    prints = np.zeros(256, bool)
+    for a, b in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)):
+        prints[a : b + 1] = True
+    return np.where(prints, np.arange(256), 255 + np.cumsum(~prints)).astype("<u4")
+
+
 def open_tokenizer(path: str):
     """The tokenizer of a .json file, and its special tokens."""
     import os

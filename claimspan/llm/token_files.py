@@ -10,9 +10,9 @@ group, which suits skewed vocabularies) or ``delta`` (differences, bit-packed).
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -22,90 +22,138 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimspan.llm.common import Scratch, arrow, chunks, map_arrow
-from claimspan.llm.pretokens import open_tokenizer, splitter, starts_of
-from claimspan.llm.words import distinct, hashes_of
+from claimspan.llm.pretokens import byte_letters, open_tokenizer, splitter, starts_of
+from claimspan.llm.words import distinct, hashes_of, mix
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
-#: Bytes of pre-tokens and their ids that a worker keeps, about, twice; long pre-tokens are not kept.
-HELD_BYTES = 64 << 20
-_LONG = 48
-#: Bytes an entry takes besides its text and its ids, about.
-_ENTRY = 200
+#: Pre-tokens that a worker keeps with their ids (a power of two), in sets of four; those of more ids are not kept.
+HELD = 1 << 21
+_WAYS = 4
+_WIDE = 8
 #: Bytes of text encoded at a time (a longer text alone).
-_CHUNK = 768 << 10
-#: Pre-tokens that the library encodes in one call.
-_TOGETHER = 4_096
+_CHUNK = 512 << 10
 
 _FILE = "part int, start_in_part long, n_tokens long, ids array<int>"
 
 
+class _Held:
+    """The ids of pre-tokens met lately, by two hashes of them (64 bits each), in arrays of a fixed size.
+
+    The first hash picks a set of ``_WAYS`` places; where all are taken, one of them is given up.
+    """
+
+    def __init__(self, ids: int):
+        sets = HELD // _WAYS
+        self.keys = np.zeros((sets, _WAYS), np.uint64)
+        self.checks = np.zeros((sets, _WAYS), np.uint64)  # odd where a place is taken
+        self.n = np.zeros(HELD, np.uint8)
+        self.ids = np.zeros((HELD, _WIDE), np.min_scalar_type(ids))
+
+    def _sets(self, key: np.ndarray) -> np.ndarray:
+        return (key & np.uint64(len(self.keys) - 1)).astype(np.int64)
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The place of each pre-token, -1 where it is not held."""
+        at = self._sets(key)
+        same = (self.keys[at] == key[:, None]) & (self.checks[at] == (check | np.uint64(1))[:, None])
+        return np.where(same.any(axis=1), at * _WAYS + same.argmax(axis=1), -1)
+
+    def put(self, key: np.ndarray, check: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
+        """Keep pre-tokens whose ``n`` ids each stand in ``ids`` on end."""
+        first = np.cumsum(n) - n
+        at = self._sets(key)
+        free = self.checks[at] == 0
+        way = np.where(free.any(axis=1), free.argmax(axis=1), (key >> np.uint64(62)).astype(np.int64) % _WAYS)
+        place, of = np.unique(at * _WAYS + way, return_index=True)
+        few = n[of] <= _WIDE
+        place, of = place[few], of[few]
+        self.keys.reshape(-1)[place] = key[of]
+        self.checks.reshape(-1)[place] = check[of] | np.uint64(1)
+        self.n[place] = n[of]
+        wide = np.minimum(first[of][:, None] + np.arange(_WIDE), len(ids) - 1)  # behind its ids, whatever follows
+        self.ids[place] = ids[wide]
+
+
+def _stretches(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The indexes of stretches of ``n`` each from ``start``, on end."""
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)
+
+
 class _Encoder:
     """Texts to the bytes of their ids (32-bit, little-endian); one for all tasks of a worker.
 
     The pre-tokens of a chunk are hashed with arrays (64 bits); only the
-    distinct ones become strings, and only those not met lately are encoded.
+    distinct ones not met lately become strings, which the library's model splits.
     """
 
     def __init__(self, path: str, specials: bool = True):
         self.made, found = open_tokenizer(path)
         self.specials = found if specials else []
         self.made.encode_special_tokens = not specials
+        self.model = self.made.model
         self.split = splitter(self.specials)
-        self.held: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.size = 0
+        self.held = _Held(max(self.made.get_vocab(with_added_tokens=True).values()))
         self.values = np.random.Generator(np.random.PCG64(5)).integers(1, 2**63, 0x110000, dtype=np.uint64)
 
-    def ids_of(self, pre: list[str]) -> list[bytes]:
-        if self.size > HELD_BYTES:  # what is still in use comes back from the older ones
-            self.held, self.older, self.size = {}, self.held, 0
-        found = list(map(self.held.get, pre))
-        missing = [i for i, ids in enumerate(found) if ids is None]
-        if missing:
-            now = {p: ids for p in {pre[i] for i in missing} if (ids := self.older.get(p))}
-            fresh = list({pre[i] for i in missing if pre[i] not in now})
-            for at in range(0, len(fresh), _TOGETHER):
-                some = fresh[at : at + _TOGETHER]
-                coded = self.made.encode_batch_fast(some, add_special_tokens=False)
-                now.update((p, array("I", e.ids).tobytes()) for p, e in zip(some, coded, strict=True))
-            for i in missing:
-                found[i] = now[pre[i]]
-            kept = {p: ids for p, ids in now.items() if len(p) <= _LONG}
-            self.held.update(kept)
-            self.size += sum(map(len, kept)) + sum(map(len, kept.values())) + _ENTRY * len(kept)
-        return found
+    def ids_of(self, pre: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each pre-token has, and the ids on end."""
+        # 0xFF is no byte of UTF-8, and the one that stands for itself in the model's alphabet
+        spelled = byte_letters()[np.frombuffer(b"\xff".join([p.encode() for p in pre]), np.uint8)]
+        words = spelled.tobytes().decode("utf-32-le").split("\xff")
+        split = self.model.tokenize
+        coded = [[t.id for t in split(w)] for w in words]
+        for i, p in enumerate(pre) if self.specials else ():
+            if p in self.specials:
+                coded[i] = self.made.encode(p, add_special_tokens=False).ids
+        n = np.fromiter(map(len, coded), np.int64, len(coded))
+        return n, np.fromiter(chain.from_iterable(coded), np.uint32, int(n.sum()))
+
+    def _starts(self, texts: list[str], points: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """Where pre-tokens start; texts with an apostrophe or a special token go through the pattern."""
+        start = starts_of(points, edges[:-1][edges[1:] > edges[:-1]])
+        odd = [i for i, t in enumerate(texts) if "'" in t or any(s in t for s in self.specials)]
+        if not odd:
+            return start
+        marks = np.zeros(len(points), bool)
+        marks[start] = True
+        for i in odd:
+            n = np.array([len(p) for p in self.split(texts[i])])
+            marks[edges[i] : edges[i + 1]] = False
+            marks[edges[i] + np.cumsum(n) - n] = True
+        return np.flatnonzero(marks)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out = [b""] * len(texts)
-        plain = []
-        for i, t in enumerate(texts):
-            if "'" in t or any(s in t for s in self.specials):
-                out[i] = b"".join(self.ids_of(self.split(t)))
-            elif t:
-                plain.append(i)
-        if plain:
-            for i, ids in zip(plain, self._together([texts[i] for i in plain]), strict=True):
-                out[i] = ids
-        return out
-
-    def _together(self, texts: list[str]) -> list[bytes]:
         text = "".join(texts)
+        if not text:
+            return [b""] * len(texts)
         edges = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        start = starts_of(points, edges[:-1])
+        start = self._starts(texts, points, edges)
         end = np.append(start[1:], len(points))
-        at, which = distinct(hashes_of(self.values[points], start, end))
-        known = self.ids_of([text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
-        ids = np.frombuffer(b"".join(known), "<u4")
-        n = np.array([len(b) // 4 for b in known])
-        first = np.cumsum(n) - n
+        hashes = hashes_of(self.values[points], start, end)
+        at, which = distinct(hashes)
+        key, a, b = hashes[at], start[at], end[at]
+        stops = np.cumsum(b - a)
+        check = hashes_of(mix(self.values[points[_stretches(a, b - a)]]), stops - (b - a), stops)
+
+        place = self.held.find(key, check)
+        new = np.flatnonzero(place < 0)
+        # the ids of each distinct pre-token: a row of those held, or a stretch behind them
+        n = self.held.n[place].astype(np.int64)
+        rows = self.held.ids[place[place >= 0]].astype("<u4")
+        first = (np.cumsum(place >= 0) - 1) * _WIDE
+        ids = rows.reshape(-1)
+        if len(new):
+            many, fresh = self.ids_of([text[i:j] for i, j in zip(a[new].tolist(), b[new].tolist(), strict=True)])
+            n[new], first[new] = many, len(ids) + np.cumsum(many) - many
+            ids = np.concatenate([ids, fresh])
+            self.held.put(key[new], check[new], many, fresh)
         many = n[which]
-        before = np.concatenate([[0], np.cumsum(many)])
-        flat = ids[np.arange(before[-1]) + np.repeat(first[which] - before[:-1], many)]
-        cut = before[np.searchsorted(start, edges)].tolist()
-        return [flat[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        flat = ids[_stretches(first[which], many)]
+        cut = np.concatenate([[0], np.cumsum(many)])[np.searchsorted(start, edges)].tolist()
+        return [flat[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
 
 
 @cache

@@ -136,6 +136,46 @@ def test_token_files(docs, rows, tokenizer, encoding):
     assert not got
 
 
+def library(path, specials=True):
+    """A function from a text to the bytes of the ids that the library gives for all of it."""
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(path)
+    made.encode_special_tokens = not specials
+    return lambda text: b"".join(i.to_bytes(4, "little") for i in made.encode(text, add_special_tokens=False).ids)
+
+
+def test_known_pretokens_are_not_split_again(tokenizer):
+    """Of 650,000 pre-tokens that a worker has met, nearly all still have their ids when they come back."""
+    from claimspan.llm import token_files as module
+
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    texts = ["".join(f" {i:05x}" for i in range(at, at + 25_000)).translate(letters) for at in range(0, 650_000, 25_000)]
+    made = module._Encoder(tokenizer)
+    first = [made([t]) for t in texts]
+    asked, ids_of = [], made.ids_of
+    made.ids_of = lambda pre: (asked.append(len(pre)), ids_of(pre))[1]
+    assert [made([t]) for t in texts] == first
+    assert sum(asked) < 65_000
+    assert first[-1][0] == library(tokenizer)(texts[-1])
+
+
+@pytest.mark.parametrize("specials", [True, False])
+@pytest.mark.parametrize(("held", "wide"), [(8, 2), (1 << 16, 8)])
+def test_encoder_gives_the_ids_of_the_library(tokenizer, monkeypatch, held, wide, specials):
+    """Full sets, pre-tokens of many ids, apostrophes and special tokens, many texts at a time."""
+    from claimspan.llm import token_files as module
+
+    monkeypatch.setattr(module, "HELD", held)
+    monkeypatch.setattr(module, "_WIDE", wide)
+    made, want = module._Encoder(tokenizer, specials), library(tokenizer, specials)
+    rng = random.Random(7)
+    pool = [*" \t\n\r\u3000\xa0'abcdeéß漢字😀ÿ\xad127.,", " the", "'ll", " ", "antidisestablishment", "<|endoftext|>"]
+    for _ in range(40):
+        texts = ["".join(rng.choices(pool, k=rng.choice([0, 1, 3, 40, 300]))) for _ in range(rng.choice([1, 4, 30]))]
+        assert made(texts) == [want(t) for t in texts]
+
+
 def test_pretokens_follow_the_pattern():
     rng = random.Random(2)
     pool = [chr(c) for c in range(0x700)] + list(" \t\n\r\x0b\x1c\x85  ﻿1a") * 60
