@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folders: dict[str, str] = {}
+_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,6 +26,22 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folders[app]
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Within the ``with`` block every execution deletes its shuffle files when it ends.
+
+    They stay until the driver happens to collect its garbage otherwise, so the disks hold
+    those of all steps so far. For writes, and for results that are collected once: a
+    DataFrame that is run a second time would have to shuffle again.
+    """
+    before = spark.conf.get(_FREED, "false")
+    spark.conf.set(_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Compute ``df`` once, store it in the shared folder and read it back.
 
@@ -35,7 +52,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -50,7 +68,8 @@ def released(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFra
 
     def store(df: DataFrame, label: str) -> DataFrame:
         path = f"{root}/{label}-{uuid.uuid4().hex}"
-        df.write.option("compression", "zstd").parquet(path)
+        with shuffles_freed(spark):
+            df.write.option("compression", "zstd").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     try:

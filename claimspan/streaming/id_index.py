@@ -5,8 +5,8 @@ and a digest of the whole row. Entries are dealt to buckets by the hash, sorted
 it and written with bloom filters, so a batch opens the buckets of its own ids
 alone, and of them only the row groups that can hold an id. The digest tells a
 copy of a stored claim from a contradiction, so the fact itself is not read.
-Digests are bytes; an index of the older layout (``entries``, with hexadecimal
-text) is not used, and one is made from the fact in its place.
+Digests have 16 bytes; an index of an older layout (``entries`` and ``digests``, with
+longer ones) is not used, and one is made from the fact in its place.
 
 ``open`` holds a mark for each append that has begun and not ended. An append that
 broke off is found by its mark, and its entries are held against the fact.
@@ -32,8 +32,8 @@ _ENTRY = "id_hash long, claim_id string, digest binary, bucket int, load string"
 
 
 def digest(content: list[str]) -> Column:
-    """A digest of a row; equal for equal rows alone (nulls included)."""
-    return F.unhex(F.sha2(F.to_json(F.struct(*sorted(content))), 256))
+    """A digest of a row (128 bits of its SHA-256); equal for equal rows alone (nulls included)."""
+    return F.substring(F.unhex(F.sha2(F.to_json(F.struct(*sorted(content))), 256)), 1, 16)
 
 
 def id_hash() -> Column:
@@ -50,7 +50,7 @@ class IdIndex:
     def __init__(self, spark: SparkSession, target: str):
         self.spark, self.target = spark, target.rstrip("/")
         self.root = f"{self.target}_ids"
-        self.entries = f"{self.root}/digests"
+        self.entries = f"{self.root}/digests16"
 
     # -- looking up -------------------------------------------------------
 
@@ -67,6 +67,9 @@ class IdIndex:
         if not self._exists(self.entries):
             return self.spark.createDataFrame([], _ENTRY)
         entries = self.files(ids)
+        # Many ids are not shuffled to learn that they are many.
+        if ids.agg(F.approx_count_distinct(id_hash())).first()[0] > 2 * NAMED_IDS:
+            return entries
         some = ids.select(id_hash().alias("h")).distinct().limit(NAMED_IDS + 1).collect()
         if len(some) <= NAMED_IDS:
             hashes = sorted(r[0] for r in some)
@@ -107,7 +110,7 @@ class IdIndex:
         load = uuid.uuid4().hex
         self._mark(load)
         self.enter(rows.select("claim_id", digest(content).alias("digest")), load)
-        rows.select(content).write.mode("append").partitionBy("claim_year").parquet(self.target)
+        rows.select(content).write.mode("append").option("compression", "zstd").partitionBy("claim_year").parquet(self.target)
         self._unmark(load)
 
     def repair(self, content: list[str]) -> None:

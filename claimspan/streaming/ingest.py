@@ -14,7 +14,7 @@ from claimspan.model import ClaimsModel
 from claimspan.operators.groups import rows_within
 from claimspan.operators.quality import value_rules
 from claimspan.schema import FOREIGN_KEYS, TABLES
-from claimspan.sources.scratch import released
+from claimspan.sources.scratch import released, shuffles_freed
 from claimspan.streaming.id_index import IdIndex, digest, id_hash
 
 _Store = Callable[[DataFrame, str], DataFrame]
@@ -58,7 +58,8 @@ def _apart(batch: DataFrame, index: IdIndex, store: _Store) -> tuple[DataFrame |
     here = batch.select(id_hash().alias("_hash"), F.lit(1).alias("_here"))
     stored = index.near(batch).select(F.col("id_hash").alias("_hash"), F.lit(0).alias("_here"))
     counted = here.unionByName(stored).groupBy("_hash").agg(F.sum("_here").alias("here"), F.count(F.lit(1)).alias("rows"))
-    hashes = store(counted.where("here > 0").select("_hash", (F.col("rows") > 1).alias("_doubtful")), "hashes")
+    hashes = counted.where("here > 0").select("_hash", (F.col("rows") > 1).alias("_doubtful"))
+    # Batches of one kind are the rule, and need no hash stored.
     many = {r["_doubtful"]: r["count"] for r in hashes.groupBy("_doubtful").count().collect()}  # at most two rows
     if len(many) < 2:
         return (None, batch) if True in many else (batch, None)
@@ -119,7 +120,7 @@ def append_new_claims(batch: DataFrame, target: str, aside: Callable[[DataFrame
     matching buckets of the id index, not the fact.
     """
     index = IdIndex(batch.sparkSession, target)
-    with released(batch.sparkSession) as store:
+    with released(batch.sparkSession) as store, shuffles_freed(batch.sparkSession):
         found = _sorted_out(batch, index, store)
         if aside:
             aside(found and found[1])
@@ -192,9 +193,11 @@ def ingest(
                 raise RejectedClaims(f"batch {number} has rows that cannot be stored")
             append_new_claims(arrived.where(~bad).drop(BAD_ROW, REASONS), target, aside if rejects else None)
 
-    return (
-        claims.writeStream.foreachBatch(keep)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # The query takes the settings of its session over as it starts.
+    with shuffles_freed(claims.sparkSession):
+        return (
+            claims.writeStream.foreachBatch(keep)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )

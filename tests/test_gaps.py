@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import replace
 
 import pytest
@@ -12,6 +13,7 @@ from claimspan.operators import quality
 from claimspan.plans import finance, fraud
 from claimspan.plans.datasets import DATASETS
 from claimspan.schema import TABLES
+from claimspan.sources import scratch
 from claimspan.sources.tables import read_with_rejects
 from claimspan.streaming import ingest
 from tests.conftest import rows
@@ -85,3 +87,23 @@ def test_swapped_columns_of_a_stream_are_refused(spark, tmp_path):
         ingest.ingest(
             ingest.claim_files(spark, str(inbox)), dates, str(tmp_path / "t"), str(tmp_path / "c"), str(tmp_path / "r")
         ).awaitTermination()
+
+
+def test_what_is_stored_leaves_no_shuffle_files(spark):
+    """The shuffle files of a finished write would else stay until the driver collects its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {str(found.apply(i).getName()) for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    df = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    with scratch.released(spark) as store:
+        assert len(rows(store(df, "a"))) == 700
+    assert len(rows(scratch.written(df, "b"))) == 700
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"

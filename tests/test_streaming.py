@@ -296,3 +296,24 @@ def test_new_claims_and_copies_are_not_stored_on_the_way(spark, tmp_path):
     # 100 new ids, D and the claim without an id; only contested rows are stored whole
     found = sorted_out(mixed)
     assert found[:2] == (102, [2, 2]) and 0 < found[2] < 12
+
+
+def test_digests_have_16_bytes(spark):
+    from claimspan.streaming.id_index import digest
+
+    d = [r["d"] for r in rows(_claims(spark, ["A", "B", "A", None]).select(digest(["claim_id", "amount"]).alias("d")))]
+    assert {len(x) for x in d} == {16} and len(set(d)) == 3 and d[0] == d[2]
+
+
+def test_many_ids_are_not_shuffled_to_learn_that_they_are_many(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    ingest.append_new_claims(_claims(spark, [f"C{i}" for i in range(300)]), target)
+    index, asked = IdIndex(spark, target), []
+    real = type(spark.range(1)).distinct
+    monkeypatch.setattr(type(spark.range(1)), "distinct", lambda df: asked.append(df.columns) or real(df))
+    monkeypatch.setattr("claimspan.streaming.id_index.NAMED_IDS", 20)
+    for n, exactly in ((300, 0), (10, 1)):
+        asked.clear()
+        near = index.near(_claims(spark, [f"C{i}" for i in range(n)]))
+        assert asked.count(["h"]) == exactly
+        assert {f"C{i}" for i in range(n)} <= {r["claim_id"] for r in rows(near)}
