@@ -26,7 +26,7 @@ from claimspan.schema import PRIMARY_KEYS, TABLES
 from claimspan.sources import star
 from claimspan.sources.clustering import write_clustered
 from claimspan.sources.load import load_all
-from claimspan.sources.scratch import shared_folder, written
+from claimspan.sources.scratch import released, shared_folder, shuffles_freed, written
 from claimspan.sources.star import from_star
 from claimspan.sources.tables import read_model, read_with_rejects, verify_counts, with_claim_year
 from claimspan.sources.versions import files_of
@@ -213,7 +213,8 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def to_csv(df: DataFrame, path: str, *split_by: str) -> None:
         # The files are read a few times at most: the fast level of gzip.
         fast = df.write.option("header", True).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-        fast.partitionBy(*split_by).csv(path)
+        with shuffles_freed(df.sparkSession):
+            fast.partitionBy(*split_by).csv(path)
 
     def as_csv(spark: SparkSession, folder: str) -> tuple[ClaimsModel, str]:
         m, source = from_star(spark, folder), f"{shared_folder(spark)}/{uuid.uuid4().hex}"
@@ -282,7 +283,8 @@ def _loads() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         middle = m.dates.selectExpr("(min(date_key) + max(date_key)) div 2").first()[0]
         load = F.when(F.col("date_key") <= middle, "earlier").when(F.col("date_key") > middle, "later")
         claims = m.claims.withColumn("load", load).where("load is not null")
-        summary.add_parts(summary.summarise(replace(m, claims=claims), [*summary.SUMMARY_KEYS, "load"]), path)
+        with released(spark) as store:
+            summary.add_parts(summary.summarise(replace(m, claims=claims), [*summary.SUMMARY_KEYS, "load"], store), path)
         return replace(m, summary=summary.read_summary(spark, path))
 
     def from_summary(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,6 +15,10 @@ from claimspan.functions.numeric import mean, ratio
 from claimspan.model import ATTRIBUTES, ClaimsModel
 from claimspan.schema import APPROVED, REJECTED
 
+#: The columns of a claim that the totals are made of.
+TOTALLED = ["claim_amount", "approved_amount", "status", "is_emergency", "is_readmission", "settlement_days", "length_of_stay"]
+
+
 def additive_totals() -> dict[str, Column]:
     """The counts and sums every measure is made of."""
     status = F.col("status")

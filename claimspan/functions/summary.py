@@ -17,19 +17,23 @@ cell and 32,768 numbers, which suits coarse keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimspan.functions.measures import additive_totals, flag_of, with_attributes
+from claimspan.functions.measures import TOTALLED, additive_totals, flag_of, with_attributes
 from claimspan.model import ATTRIBUTES, ClaimsModel
-from claimspan.sources.scratch import written
+from claimspan.operators.groups import rows_within
+from claimspan.sources.scratch import shuffles_freed, written
 
 _LG_K = 14
 #: Standard error of ``approximate_patients``, as a share of the count.
 PATIENT_ERROR = 1.04 / 2 ** (_LG_K / 2)
 SKETCH = "patients_sketch"
+#: A dimension of at most so many rows is broadcast (its keys and one number each); claims are shuffled to larger ones.
+FEW_ROWS = 500_000
 
 SUMMARY_KEYS = ["year", "quarter", "month", "month_name", "insurer", "plan_type", "hospital_tier", "treatment_type", "diagnosis_name", "state"]
 
@@ -41,27 +45,43 @@ def _coded(dim: DataFrame, key: str, names: list[str], code: str) -> tuple[DataF
     """
     dim = dim.select(key, *[F.col(ATTRIBUTES[a][2]).alias(a) for a in names])
     values = written(dim.select(*names).distinct().withColumn(code, F.monotonically_increasing_id()), "codes")
-    found = values.withColumnsRenamed({a: f"_of_{a}" for a in names})
+    # Values have several columns, so fewer of them are broadcast than of keys.
+    few = rows_within(values, FEW_ROWS // 10)
+    found = values.withColumnsRenamed({a: f"_of_{a}" for a in names}).hint("broadcast" if few else "merge")
     equal = reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(f"_of_{a}")) for a in names])
     return dim.join(found, equal).select(key, code), values
 
 
-def summarise(m: ClaimsModel, keys: list[str] = SUMMARY_KEYS) -> DataFrame:
+def summarise(
+    m: ClaimsModel, keys: list[str] = SUMMARY_KEYS, store: Callable[[DataFrame, str], DataFrame] = written
+) -> DataFrame:
     """The summary of a model's claims: one row per combination of ``keys`` and flags.
 
     With many keys there are almost as many cells as claims, so claims are added up once, and
     until then a claim carries one number per dimension in place of the attributes: a claim
     whose row is not found has none, which is what the flags say.
+
+    Claims are shuffled once per dimension of more than ``FEW_ROWS`` rows. Between two of
+    those, what is still needed of a claim goes through ``store``, so the shuffle files of one are gone
+    before the next one writes its own.
     """
     claims, values, fields = m.claims, {}, {}
     for a in keys:
         if a in ATTRIBUTES:
             fields.setdefault(ATTRIBUTES[a][:2], []).append(a)
-    # Patients come last: theirs is the largest dimension.
-    for (field, key), names in sorted(fields.items(), key=lambda f: f[0][0] == "patients"):
+    own = [a for a in keys if a not in ATTRIBUTES]
+    large = {f for f, key in fields if not rows_within(getattr(m, f).select(key), FEW_ROWS)}
+    # Small dimensions first: their numbers are shorter than their keys. Patients come last, theirs is the largest.
+    order = sorted(fields.items(), key=lambda f: (f[0][0] in large, f[0][0] == "patients"))
+    shuffled = False
+    for at, ((field, key), names) in enumerate(order):
+        if shuffled:
+            left = [k for (_, k), _ in order[at:]]
+            claims = store(claims.select(*dict.fromkeys([*own, *left, "patient_id", *TOTALLED, *[f"_{f}" for f in values]])), "coded-claims")
         coded, values[field] = _coded(getattr(m, field), key, names, f"_{field}")
-        claims = claims.join(coded, key, "left")
-    cells = claims.groupBy(*[f"_{f}" for f in values], *[a for a in keys if a not in ATTRIBUTES]).agg(
+        claims = claims.join(coded.hint("merge" if field in large else "broadcast"), key, "left")
+        shuffled = field in large
+    cells = claims.groupBy(*[f"_{f}" for f in values], *own).agg(
         *[e.alias(n) for n, e in additive_totals().items()], F.hll_sketch_agg("patient_id", F.lit(_LG_K)).alias(SKETCH)
     )
     for field, named in values.items():
@@ -77,12 +97,13 @@ def add_part(summary: DataFrame, path: str, load: str) -> None:
 
 def add_parts(summary: DataFrame, path: str) -> None:
     """Store the summaries of several loads in one pass; the column ``load``, one of the keys, tells them apart."""
-    (
-        summary.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load")
-        .parquet(path)
-    )
+    with shuffles_freed(summary.sparkSession):
+        (
+            summary.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("load")
+            .parquet(path)
+        )
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:

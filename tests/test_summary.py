@@ -108,3 +108,28 @@ def test_missing_attributes_are_not_missing_rows(make_model):
     quick = replace(m, summary=summary.summarise(m))
     for by in (["insurer"], ["insurer", "plan_type", "state"], ["state", "year"]):
         assert same(measure(m, list(MEASURES), by), measure(quick, list(MEASURES), by))
+
+
+def test_between_two_large_dimensions_claims_are_stored(both, monkeypatch):
+    """Each of their shuffles is an execution of its own; small dimensions come first and are broadcast."""
+    plain, _ = both
+    want = rows(summary.summarise(plain).drop(summary.SKETCH))
+    plans = []
+
+    def store(df, label):
+        plans.append(plan(df))
+        return summary.written(df, label)
+
+    summary.summarise(plain, store=store)
+    assert not plans
+    monkeypatch.setattr(summary, "FEW_ROWS", 15)  # only the hospitals are fewer
+    found = summary.summarise(plain, store=store)
+    texts, keys = [*plans, plan(found)], ["date_key", "policy_id", "patient_id"]
+    assert [[k for k in keys if f"SortMergeJoin [{k}#" in t] for t in texts] == [[k] for k in keys]
+    assert ["lineitem" in t for t in texts] == [True, False, False] and "BroadcastHashJoin [provider_id" in texts[0]
+    same(found.drop(summary.SKETCH), plain.spark.createDataFrame(want, found.drop(summary.SKETCH).schema))
+
+
+def test_a_small_table_is_broadcast_not_its_large_partner(star):
+    text = plan(star.patients.select("state").distinct())
+    assert "BuildRight" in text and "rightHint=(strategy=broadcast)" in plan(star.patients, "extended")
