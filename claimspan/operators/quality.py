@@ -54,13 +54,15 @@ def orphans(m: ClaimsModel, key: str) -> DataFrame:
     """Key values of the fact that have no dimension row, with claim counts.
 
     The fact is first reduced to one row per key value, so a frequent value
-    costs the anti-join no more than a rare one.
+    costs the anti-join no more than a rare one. The values lie by key then, and the
+    dimension's keys are brought to them: Spark's estimate of a column in compressed
+    files is too low to broadcast millions of keys by.
     """
     dim = m.tables()[FOREIGN_KEYS[key]]
     used = (
         m.claims.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("claims"))
     )
-    return used.join(dim.select(key), key, "left_anti")
+    return used.join(dim.select(key).hint("merge"), key, "left_anti")
 
 
 def reference_summary(m: ClaimsModel) -> DataFrame:

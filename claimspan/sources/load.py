@@ -12,6 +12,7 @@ from claimspan.operators.quality import findings
 from claimspan.schema import TABLES
 from claimspan.sources import years
 from claimspan.sources.clustering import write_clustered
+from claimspan.sources.scratch import shuffles_freed
 from claimspan.sources.tables import read_table, refresh_statistics, verify_counts, with_claim_year, write_table
 from claimspan.sources.versions import current, new_version, publish, remove
 
@@ -36,7 +37,8 @@ def load_all(
     """
     version, load = new_version(target), uuid.uuid4().hex
     try:
-        _write(spark, source, version, current(spark, target), load, clustered)
+        with shuffles_freed(spark):
+            _write(spark, source, version, current(spark, target), load, clustered)
         publish(spark, target, version)
     except Exception:
         remove(spark, version)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from claimspan.model import filter_model
+from claimspan.operators import quality
 from claimspan.plans import cohort, finance, fraud, provider, ranking, risk
 from claimspan.plans.datasets import DATASETS
 from claimspan.sources.tables import read_model, with_claim_year, write_table
@@ -152,3 +153,9 @@ def test_diagnosis_benchmark_reads_claims_twice(stored, monkeypatch):
     texts.append(plan(finance.diagnosis_cost_benchmark(stored)))
     assert sum(len(fact_scans(t)) for t in texts) == 2
     assert "Expand" not in plan(finance.state_access_cost(stored))
+
+
+def test_reference_check_broadcasts_no_dimension(stored):
+    """The estimate of one column in compressed files is low: millions of keys would go through the driver."""
+    text = plan(quality.reference_summary(stored))
+    assert text.count("SortMergeJoin") == 4 and "Broadcast" not in text
